@@ -127,3 +127,19 @@ def running_breaks(df: DataFrame, order: Sequence, brk: str, rn: str = "rn",
 
 def drop_scan_columns(df: DataFrame) -> DataFrame:
     return df.drop(KEY, CHUNK)
+
+
+def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                     out: str, width: int | None = None) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` of the key at or before each row in ``order``
+    (``last(value, ignorenulls)`` over a running frame), computed skew-safe by chunks."""
+    lw = local_window(order)
+    rows = chunked(df, keys, order, width)
+    local = rows.withColumn("_llast", F.last(value, ignorenulls=True).over(lw.rowsBetween(_BEFORE, 0)))
+    ordered = F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))
+    summary = rows.groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
+    carry = (summary.withColumn("_carry", F.last("_clast", ignorenulls=True)
+                                .over(_chunk_window().rowsBetween(_BEFORE, -1)))
+             .drop("_clast"))
+    out_df = local.join(carry, [KEY, CHUNK]).withColumn(out, F.coalesce(F.col("_llast"), F.col("_carry")))
+    return drop_scan_columns(out_df.drop("_llast", "_carry"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from rivulet.plans.registry import REGISTRY, Query, register
-from rivulet.plans import state_queries, text_queries, window_queries  # noqa: F401  (registration)
+from rivulet.plans import join_queries, state_queries, text_queries, window_queries  # noqa: F401  (registration)
 
 
 def queries():
