@@ -92,7 +92,9 @@ def async_lookup(df: DataFrame, key_col: str, client_factory: Callable[[], Calla
     ``client_factory`` runs once per task (open a connection there) and returns a callable;
     a ``close()`` on it is called at the end.  Per task at most ``capacity`` calls are in
     flight on ``workers`` threads; a call not answered ``timeout_ms`` after submission yields
-    ``timeout_value``.
+    ``timeout_value``.  A timed-out call is abandoned, not stopped (Python threads cannot be
+    killed): it keeps its worker thread until it returns, so size ``workers`` above the number
+    of calls expected to hang.
     """
     key_type = df.schema[key_col].dataType.simpleString()
     keys = df.select(key_col).distinct()

@@ -85,8 +85,11 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
         local = local.withColumn(f"_lag_{c}", F.lag(c).over(lw))
 
     summary_aggs = [F.count(F.lit(1)).alias("_n")]
-    last_key = F.struct(*_cols(order))
-    summary_aggs += [F.max_by(c, last_key).alias(f"_last_{c}") for c in prev]
+    for c in prev:
+        # The chunk's last value.  For the leading order column that is its max, a fixed-width
+        # hash aggregate; other columns need max_by over the order struct (a sort aggregate).
+        last = F.max(c) if c == order[0] else F.max_by(c, F.struct(*_cols(order)))
+        summary_aggs.append(last.alias(f"_last_{c}"))
     summary = rows.groupBy(KEY, CHUNK).agg(*summary_aggs)
     cw = _chunk_window()
     carry = summary.withColumn(
