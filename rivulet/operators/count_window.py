@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.keyed_scan import drop_scan_columns, keyed_sequence, running_breaks
+from rivulet.operators.keyed_scan import drop_scan_columns, keyed_runs, keyed_sequence, running_breaks
 
 
 def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[str], n: int = 2,
@@ -41,6 +41,10 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
     if ttl is None:
         seq = keyed_sequence(base, [key], order, width=width)
         pos, group = F.col("rn"), [key]
+    elif order[0] == time_col:
+        # time-ordered keys: runs from chunk summaries in one pass (see keyed_runs)
+        seq = keyed_runs(base, [key], order, duration_us(ttl), width=width)
+        pos, group = F.col("run_rn"), [key, "run_no"]
     else:
         seq = keyed_sequence(base, [key], order, prev=[time_col], width=width)
         gap_expired = F.col(time_col) >= F.col("prev_" + time_col) + F.expr(f"INTERVAL {ttl}")
@@ -57,3 +61,21 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
 def _int_div(a: Column, b: Column) -> Column:
     """Integer division truncating toward zero, like Java's ``long / long`` (SQL ``div``)."""
     return F.call_function("div", a, b)
+
+
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def duration_us(duration: str) -> int:
+    """``'6 hours'``, ``'1 second'``, ``'1 minute 30 seconds'`` -> microseconds."""
+    parts = duration.split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"bad duration {duration!r}")
+    total = 0
+    for num, unit in zip(parts[::2], parts[1::2]):
+        unit = unit.lower().rstrip("s")
+        if unit not in _UNIT_US:
+            raise ValueError(f"bad duration unit in {duration!r}")
+        total += int(float(num) * _UNIT_US[unit])
+    return total

@@ -146,3 +146,35 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
              .drop("_clast"))
     out_df = local.join(carry, [KEY, CHUNK]).withColumn(out, F.coalesce(F.col("_llast"), F.col("_carry")))
     return drop_scan_columns(out_df.drop("_llast", "_carry"))
+
+
+def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us: int, rn: str = "rn",
+               run_out: str = "run_no", pos_out: str = "run_rn", width: int | None = None) -> DataFrame:
+    """Positions plus gap-separated runs in one pass: a run starts at a key's first row and at
+    every row whose gap to the key's previous row (on ``order[0]``, a timestamp) is at least
+    ``gap_us`` microseconds.  Adds ``rn``, ``run_out`` (1-based) and ``pos_out`` (1-based
+    position in the run).
+
+    The chunk width is capped at ``gap_us``: two rows of one chunk are then less than the gap
+    apart, so a run can only start at a chunk's first row, and that is decided by the chunk
+    summaries alone (first and last time, count -- fixed-width hash aggregates).
+    """
+    width = min(width or DEFAULT_TIME_WIDTH_US, gap_us)
+    lw = local_window(order)
+    rows = chunked(df, keys, order, width)
+    local = rows.withColumn("_lrn", F.row_number().over(lw))
+    t = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    summary = rows.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"),
+                                           F.max(t).alias("_last"))
+    cw = _chunk_window()
+    upto = cw.rowsBetween(_BEFORE, 0)
+    carry = (summary
+             .withColumn("_before", F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)))
+             .withColumn("_prev_last", F.lag("_last").over(cw))
+             .withColumn("_brk", F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") >= gap_us)))
+    carry = (carry.withColumn(run_out, F.sum(F.col("_brk").cast("bigint")).over(upto))
+             .withColumn("_run_start", F.max(F.when(F.col("_brk"), F.col("_before") + 1)).over(upto))
+             .select(KEY, CHUNK, "_before", run_out, "_run_start"))
+    out = local.join(carry, [KEY, CHUNK]).withColumn(rn, F.col("_lrn") + F.col("_before"))
+    out = out.withColumn(pos_out, F.col(rn) - F.col("_run_start") + 1)
+    return out.drop("_lrn", "_before", "_run_start")

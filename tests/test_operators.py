@@ -68,6 +68,17 @@ def test_count_window_ttl_matches_model(spark, rows, ttl):
     assert got == sorted(_count_window_model(data, 2, ttl))
 
 
+@given(ROWS, st.integers(5, 40), st.sampled_from([3_000_000, 7_000_000, 60_000_000]))
+@SETTINGS
+def test_count_window_ttl_one_pass_matches_model(spark, rows, ttl, width):
+    """Time-ordered keys take the one-pass path (chunk width capped at the TTL)."""
+    df = _frame(spark, rows).withColumn("ts", F.timestamp_seconds("t"))
+    data = [tuple(r)[:3] for r in df.collect()]
+    res = count_window_average(df, "k", "v", ["ts", "t"], n=2, ttl=f"{ttl} seconds", time_col="ts", width=width)
+    got = sorted((r.k, r.run_no, r.win_no, r.avg) for r in res.collect())
+    assert got == sorted(_count_window_model(data, 2, ttl))
+
+
 @given(ROWS)
 @SETTINGS
 def test_sequence_and_last_value(spark, rows):
