@@ -2,10 +2,10 @@
 
 * ``lookup_json``: the set-based form.  The lookup table is cut to one row per key first (a
   partial + final aggregate, so duplicate or hot keys cost nothing extra), then left-joined to
-  the input: exactly one output per input row.  Spark picks the join strategy from the sizes:
-  a broadcast hash join when the cut table is small (AQE checks the measured size at run time),
-  else a shuffle join whose skewed partitions AQE splits.  Works on a streaming input too
-  (stream-static join).
+  the input: exactly one output per input row.  The cut table is broadcast when its measured
+  row count is under the cap (``sizing.broadcast_if_small``) -- the input is then never
+  shuffled; above the cap it is a shuffle join whose skewed partitions AQE splits.  Works on a
+  streaming input too (stream-static join).
 * ``async_lookup``: a call per distinct key to an external client, concurrently from each
   task, with a per-call timeout and a bound on calls in flight; results are joined back, so
   again one output per input row.  Output order is not kept.
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.json import json_or
+from rivulet.operators.sizing import broadcast_if_small
 
 
 def first_per_key(table: DataFrame, key: str, fields: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -36,6 +37,7 @@ def lookup_json(df: DataFrame, key_col: str, table: DataFrame, table_key: str, f
     """Add ``out``: compact JSON ``{"f1":...,"f2":...}`` of the key's first table row (null
     fields kept as ``null``), or the literal ``miss`` when the key has no row."""
     dim = first_per_key(table, table_key, fields, order).withColumnRenamed(table_key, "_dk")
+    dim, _ = broadcast_if_small(dim)
     joined = df.join(dim, df[key_col] == dim["_dk"], "left")
     return joined.select(*[df[c] for c in df.columns],
                          json_or(F.col("_rec"), F.col("_dk").isNotNull(), miss).alias(out))

@@ -148,3 +148,16 @@ def test_asof_join_inner_and_left(spark):
     left = asof_join(probe, versions, ["k"], "t", "t", ["val"], how="left")
     assert sorted((r.pid, r.version_val) for r in left.collect()) == [
         (1, "v5"), (2, "v5"), (3, None), (4, "v12"), (5, "n6")]
+
+
+def test_lookup_above_broadcast_cap_uses_shuffle_join(spark):
+    ids = spark.createDataFrame([(1, 1002), (2, 7)], "event_id int, id int")
+    dim = spark.createDataFrame([(1002, "Doe", "Ann"), (1003, "Roe", None)],
+                                "employeeNumber int, lastName string, firstName string")
+    spark.conf.set("rivulet.broadcast.maxRows", "1")
+    try:
+        res = lookup_json(ids, "id", dim, "employeeNumber", ["lastName", "firstName"])
+        assert sorted(tuple(r) for r in res.collect()) == [
+            (1, 1002, '{"lastName":"Doe","firstName":"Ann"}'), (2, 7, "{}")]
+    finally:
+        spark.conf.unset("rivulet.broadcast.maxRows")
