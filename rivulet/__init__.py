@@ -6,6 +6,17 @@ have a batch twin (window functions, joins) that defines the result and a stream
 (``transformWithState``) that is tested against it.
 """
 
+import sys as _sys
+
 from rivulet.session import build_session, checkpoint_root, configure
 
+# Ship the library's Python code (mapInPandas functions, data source readers, stateful
+# processors) to the Python workers by value, so executors need no installed copy.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: install the package instead
+    pass
+
 __all__ = ["build_session", "checkpoint_root", "configure"]
