@@ -19,6 +19,7 @@ from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rivulet.functions.json import json_or
 from rivulet.operators.sizing import broadcast_if_small
@@ -53,32 +54,34 @@ def lookup_or_timeout(df: DataFrame, key_col: str, table: DataFrame, table_key:
 
 def _call_batches(batches, key_col: str, out: str, client_factory: Callable, timeout_s: float,
                   capacity: int, workers: int, timeout_value: str):
+    """Per task: one client, one thread pool; per Arrow batch: one call per distinct key, at
+    most ``capacity`` in flight, each answered or timed out ``timeout_s`` after submission."""
     import pandas as pd
 
     client = client_factory()
     pool = ThreadPoolExecutor(max_workers=workers)
     try:
         for pdf in batches:
-            keys = pdf[key_col].tolist()
-            results: list = [None] * len(keys)
+            keys = list(pd.unique(pdf[key_col]))
+            answers: dict = {}
             inflight: dict = {}
             nxt = 0
             while nxt < len(keys) or inflight:
                 while nxt < len(keys) and len(inflight) < capacity:
-                    inflight[pool.submit(client, keys[nxt])] = (nxt, time.monotonic() + timeout_s)
+                    inflight[pool.submit(client, keys[nxt])] = (keys[nxt], time.monotonic() + timeout_s)
                     nxt += 1
                 earliest = min(deadline for _, deadline in inflight.values())
                 done, _ = wait(list(inflight), timeout=max(0.0, earliest - time.monotonic()),
                                return_when=FIRST_COMPLETED)
                 for fut in done:
-                    idx, _ = inflight.pop(fut)
-                    results[idx] = fut.result()  # a failing call fails the task (Spark retries it)
+                    key, _ = inflight.pop(fut)
+                    answers[key] = fut.result()  # a failing call fails the task (Spark retries it)
                 now = time.monotonic()
-                for fut, (idx, deadline) in list(inflight.items()):
+                for fut, (key, deadline) in list(inflight.items()):
                     if deadline <= now:  # abandoned: a Python thread cannot be stopped
                         inflight.pop(fut)
-                        results[idx] = timeout_value
-            yield pd.DataFrame({key_col: pdf[key_col], out: pd.Series(results, dtype=object)})
+                        answers[key] = timeout_value
+            yield pdf.assign(**{out: pdf[key_col].map(answers).astype(object)})
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
         close = getattr(client, "close", None)
@@ -89,7 +92,7 @@ def _call_batches(batches, key_col: str, out: str, client_factory: Callable, tim
 def async_lookup(df: DataFrame, key_col: str, client_factory: Callable[[], Callable], out: str = "info",
                  timeout_ms: int = 1000, capacity: int = 100, workers: int = 30,
                  timeout_value: str = "timeout") -> DataFrame:
-    """Add ``out`` = ``client(key)`` (a string), called once per distinct key.
+    """Add ``out`` = ``client(key)`` (a string).
 
     ``client_factory`` runs once per task (open a connection there) and returns a callable;
     a ``close()`` on it is called at the end.  Per task at most ``capacity`` calls are in
@@ -97,15 +100,28 @@ def async_lookup(df: DataFrame, key_col: str, client_factory: Callable[[], Calla
     ``timeout_value``.  A timed-out call is abandoned, not stopped (Python threads cannot be
     killed): it keeps its worker thread until it returns, so size ``workers`` above the number
     of calls expected to hang.
+
+    Batch input: the service is called once per distinct key; the answers are checkpointed to
+    the shared checkpoint folder (so retries of later stages never call the service again) and
+    joined back -- broadcast when their measured count is under the cap, so the input is not
+    shuffled.  Streaming input: each micro-batch is handled in place (stateless), one call per
+    distinct key of each Arrow batch.
     """
+    from rivulet.session import checkpoint_root
+
     key_type = df.schema[key_col].dataType.simpleString()
-    keys = df.select(key_col).distinct()
 
     def run(batches):
         return _call_batches(batches, key_col, out, client_factory, timeout_ms / 1000.0,
                              capacity, workers, timeout_value)
 
-    answers = keys.mapInPandas(run, f"{key_col} {key_type}, {out} string").withColumnRenamed(key_col, "_ak")
+    if df.isStreaming:
+        return df.mapInPandas(run, StructType(df.schema.fields + [StructField(out, StringType())]))
+
+    checkpoint_root(df.sparkSession)  # the cluster's shared folder (set only when unset)
+    keys = df.select(key_col).distinct()
+    answers = keys.mapInPandas(run, f"{key_col} {key_type}, {out} string").checkpoint(eager=True)
+    answers, _ = broadcast_if_small(answers.withColumnRenamed(key_col, "_ak"))
     joined = df.join(answers, df[key_col].eqNullSafe(answers["_ak"]), "left")
     return joined.select(*[df[c] for c in df.columns], F.col(out))
 

@@ -223,3 +223,18 @@ def test_lookup_stream_static(spark, tmp_path, no_empty_batches):
     assert got == [(7, "{}"), (1002, '{"lastName":"Doe","firstName":"Ann"}'),
                    (1002, '{"lastName":"Doe","firstName":"Ann"}'),
                    (1003, '{"lastName":"Roe","firstName":null}')]
+
+
+def test_async_lookup_stream(spark, tmp_path, no_empty_batches):
+    """J3 on a stream: one output per input line, calls per micro-batch."""
+    from rivulet.functions.parse import parse_int
+    from rivulet.operators.enrich import async_lookup, digest_client
+    folder = str(tmp_path / "ids")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "ids.txt"), "w") as fh:
+        fh.write("1\n2\n1\n")
+    ids = read_text_lines(spark, folder, stream=True).select(parse_int("value").alias("id"))
+    rows = run_available(async_lookup(ids, "id", digest_client), _name("aio")).collect()
+    import hashlib
+    assert sorted((r.id, r.info) for r in rows) == sorted(
+        (i, hashlib.md5(str(i).encode()).hexdigest()) for i in (1, 2, 1))
