@@ -22,11 +22,7 @@ def java_split(line, sep: str = " ") -> Column:
     if len(sep) != 1:
         raise ValueError("separator must be a single character")
     line = _col(line)
-    if sep == " ":
-        stripped = F.rtrim(line)
-    else:
-        # Trailing run of the separator, anchored at the absolute end (\z, not $).
-        stripped = F.regexp_replace(line, _regex_quote(sep) + "+\\z", "")
+    stripped = F.rtrim(line) if sep == " " else F.rtrim(line, F.lit(sep))  # trailing run, no regex
     empty = F.array().cast("array<string>")
     return (F.when((line != F.lit("")) & (stripped == F.lit("")), empty)
             .otherwise(F.split(stripped, _regex_quote(sep), -1)))

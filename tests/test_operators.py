@@ -161,3 +161,14 @@ def test_lookup_above_broadcast_cap_uses_shuffle_join(spark):
             (1, 1002, '{"lastName":"Doe","firstName":"Ann"}'), (2, 7, "{}")]
     finally:
         spark.conf.unset("rivulet.broadcast.maxRows")
+
+
+def test_batch_windows_drop_rows_without_time(spark):
+    from rivulet.operators.windows import tumble_count, tumble_sum
+    df = spark.createDataFrame([("amy", "2020-03-20 15:22:10", 1), ("amy", None, 1), ("bob", "2020-03-20 15:22:59", 1),
+                                (None, "2020-03-20 15:22:30", 1)], "u string, t string, n int") \
+        .withColumn("t", F.col("t").cast("timestamp_ntz"))
+    got = sorted((r.u or "", r.cnt, str(r.start_time)) for r in tumble_count(df, "t", "u", "1 minute").collect())
+    assert got == [("", 0, "2020-03-20 15:22:00"), ("amy", 1, "2020-03-20 15:22:00"), ("bob", 1, "2020-03-20 15:22:00")]
+    sums = sorted((r.u or "", r.n) for r in tumble_sum(df, "t", "u", "n", "1 minute").collect())
+    assert sums == [("", 1), ("amy", 1), ("bob", 1)]
