@@ -25,11 +25,13 @@ def stable_bucket(cols: Sequence[str], buckets: int) -> Column:
 
 
 def buffered_groups(df: DataFrame, bucket: str, order: Sequence[str], threshold: int,
-                    out: str = "batch_no", width: int | None = None) -> DataFrame:
+                    out: str = "batch_no", width: int | None = None,
+                    chunk_rows: int | None = None) -> DataFrame:
     """Rows that are delivered, with ``out`` = 0-based group number within their bucket."""
     if threshold < 1:
         raise ValueError("threshold must be >= 1")
-    seq = drop_scan_columns(keyed_sequence(df, [bucket], order, total="_total", width=width))
+    seq = drop_scan_columns(keyed_sequence(df, [bucket], order, total="_total", width=width,
+                                              chunk_rows=chunk_rows))
     delivered = F.col("rn") <= F.floor(F.col("_total") / threshold) * threshold
     return (seq.where(delivered)
             .withColumn(out, F.floor((F.col("rn") - 1) / threshold).cast("bigint"))

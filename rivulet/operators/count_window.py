@@ -23,12 +23,14 @@ from rivulet.operators.keyed_scan import drop_scan_columns, keyed_runs, keyed_se
 
 def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[str], n: int = 2,
                          ttl: str | None = None, time_col: str | None = None,
-                         out: str = "avg", width: int | None = None) -> DataFrame:
+                         out: str = "avg", width: int | None = None,
+                         chunk_rows: int | None = None) -> DataFrame:
     """``(key, [run_no,] win_no, out)``: one row per complete window of ``n`` values.
 
     ``ttl`` (e.g. ``'1 second'``, ``'6 hours'``) with ``time_col`` (timestamp) applies state
     expiry on that clock: a value whose gap to the key's previous value is ``>= ttl`` finds the
-    state expired.  ``run_no`` (1-based) is then part of the output.
+    state expired.  ``run_no`` (1-based) is then part of the output.  ``width`` / ``chunk_rows``
+    tune the hot-key splitting of ``keyed_scan`` (results do not depend on them).
     """
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -39,14 +41,14 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
         cols.append(time_col)
     base = df.select(*cols)
     if ttl is None:
-        seq = keyed_sequence(base, [key], order, width=width)
+        seq = keyed_sequence(base, [key], order, width=width, chunk_rows=chunk_rows)
         pos, group = F.col("rn"), [key]
     elif order[0] == time_col:
         # time-ordered keys: runs from chunk summaries in one pass (see keyed_runs)
-        seq = keyed_runs(base, [key], order, duration_us(ttl), width=width)
+        seq = keyed_runs(base, [key], order, duration_us(ttl), width=width, chunk_rows=chunk_rows)
         pos, group = F.col("run_rn"), [key, "run_no"]
     else:
-        seq = keyed_sequence(base, [key], order, prev=[time_col], width=width)
+        seq = keyed_sequence(base, [key], order, prev=[time_col], width=width, chunk_rows=chunk_rows)
         gap_expired = F.col(time_col) >= F.col("prev_" + time_col) + F.expr(f"INTERVAL {ttl}")
         seq = seq.withColumn("_brk", F.col("prev_" + time_col).isNull() | gap_expired)
         seq = running_breaks(seq, order, "_brk")

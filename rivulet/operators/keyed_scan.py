@@ -1,24 +1,29 @@
-"""Skew-safe ordered scans within a key: position, total, previous value, running breaks.
+"""Skew-safe ordered scans within a key: position, total, previous value, runs, last value.
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task, so a key
-holding a third of the data makes one task read a third of the data.  Here each key is cut
-into *chunks*: contiguous stretches of its order, ``chunk = floor(first order column / width)``
-(a time bucket for timestamps, an id range for integers).  The chunk is a pure function of the
-row, so every branch of the plan computes the same chunks with no sampling pass and no cache.
-
+holding a third of the data makes one task read a third of the data.  Here such *hot* keys are
+cut into *chunks*, contiguous stretches of their order; every other key is one chunk.
+
+0. hot keys: keys holding more than ``total / P`` rows (P = shuffle partitions; never fewer
+   than ``MIN_CHUNK_ROWS``).  There are at most P of them, so their table (key, first order
+   value, chunk width) has a proven size bound and is broadcast.  A hot key's chunk width is
+   chosen from its own row count and span so that a chunk holds about ``total / P`` rows:
+   ``chunk = floor((order value - first) / width)``, a pure function of the row -- every plan
+   branch computes the same chunks, with no sampling pass and no cache;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
-2. chunk summaries: one row per ``(key, chunk)`` (count, last value, ...), aggregated map-side
-   before the shuffle, so only summaries move;
+2. chunk summaries: one row per ``(key, chunk)`` (count, first/last value, ...), aggregated
+   map-side before the shuffle; about one row per key plus one per hot chunk;
 3. carry: a window over a key's chunk summaries gives what earlier chunks contribute (rows
-   before, value of the previous row, breaks before, ...).  A hot key contributes one summary
-   row per chunk, not one row per record;
+   before, value of the previous row, runs before, ...);
 4. join the carry back on ``(key, chunk)``.  The big side is already hash-partitioned on those
    columns by step 1, so only the carry moves (AQE broadcasts it when it is small).
 
-Results are exact for any width; the width only sets the chunk size.  Rows of one key that
-share a single order value (a burst at one instant) fall in one chunk.  The key is carried as
-one struct column so that null key values group and join together.  Order columns must make
-the order within a key unique for deterministic positions.
+Results are exact for any chunking; chunking only sets task sizes.  A fixed ``width`` (all keys
+chunked) can be forced, e.g. in tests.  The first order column must be a timestamp, date or
+integer for a hot key to be split (other types: one chunk).  Rows of one key sharing a single
+order value (a burst at one instant) fall in one chunk.  The key is carried as one struct column
+so that null key values group and join together.  Order columns must make the order within a
+key unique for deterministic positions.
 """
 
 from __future__ import annotations
@@ -33,31 +38,67 @@ KEY = "_scan_key"
 CHUNK = "_scan_chunk"
 _BEFORE = Window.unboundedPreceding
 
-# Default chunk widths: one minute of time, 65,536 ids of an integer order.
-DEFAULT_TIME_WIDTH_US = 60 * 1_000_000
-DEFAULT_INT_WIDTH = 1 << 16
+# Fixed value: below this many rows a key is never split (a chunk at least this large).
+MIN_CHUNK_ROWS = 100_000
 
 
 def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def chunk_of(df: DataFrame, order_col: str, width: int | None = None) -> Column:
-    """Chunk number of a row from its first order column (monotone in that column)."""
+def order_value(df: DataFrame, order_col: str) -> Column | None:
+    """A ``bigint`` monotone in ``order_col`` (epoch micros, epoch days, the integer), or None."""
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.floor(F.unix_micros(c.cast("timestamp")) / (width or DEFAULT_TIME_WIDTH_US))
+        return F.unix_micros(c.cast("timestamp"))
     if isinstance(dtype, DateType):
-        return F.floor(F.unix_date(c) / (width or 1))
+        return F.unix_date(c).cast("bigint")
     if isinstance(dtype, IntegralType):
-        return F.floor(c / (width or DEFAULT_INT_WIDTH))
-    return F.lit(0).cast("bigint")  # no monotone bucketing for this type: one chunk per key
-
-
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None) -> DataFrame:
-    """Add the struct key column and the chunk column (no shuffle by itself)."""
-    return df.withColumn(KEY, F.struct(*keys)).withColumn(CHUNK, chunk_of(df, order[0], width))
+        return c.cast("bigint")
+    return None
+
+
+def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
+             max_width: int | None = None) -> DataFrame | None:
+    """Broadcastable ``(_hk, _hmin, _hw)``: keys with more than ``chunk_rows`` rows, their first
+    order value and chunk width.  ``chunk_rows`` defaults to ``max(total / P, MIN_CHUNK_ROWS)``
+    (one count of the input); then at most P keys qualify.  None when no key can qualify."""
+    if chunk_rows is None:
+        parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        total = keyed.count()
+        if total <= MIN_CHUNK_ROWS:
+            return None
+        chunk_rows = max(-(-total // parts), MIN_CHUNK_ROWS)
+    stats = (keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_hn"), F.min(value).alias("_hmin"),
+                                    F.max(value).alias("_hmax"))
+             .where(F.col("_hn") > chunk_rows))
+    width = F.greatest(F.lit(1).cast("bigint"),
+                       F.ceil((F.col("_hmax") - F.col("_hmin") + 1) * chunk_rows / F.col("_hn")).cast("bigint"))
+    if max_width:
+        width = F.least(width, F.lit(max_width).cast("bigint"))
+    return F.broadcast(stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw")))
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None,
+            chunk_rows: int | None = None, max_width: int | None = None) -> DataFrame:
+    """Add the struct key column and the chunk column (see module doc).  ``width``: fixed
+    chunking of every key; else hot keys only, sized by ``chunk_rows``.  ``max_width`` caps a
+    chunk's span of the order value."""
+    keyed = df.withColumn(KEY, F.struct(*keys))
+    value = order_value(df, order[0])
+    if value is None:
+        return keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
+    if width is not None:
+        w = min(width, max_width) if max_width else width
+        return keyed.withColumn(CHUNK, F.floor(value / w).cast("bigint"))
+    hot = hot_keys(keyed, value, chunk_rows, max_width)
+    if hot is None:
+        return keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
+    joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
+    chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.floor((value - F.col("_hmin")) / F.col("_hw")).cast("bigint"))
+    return joined.withColumn(CHUNK, chunk).drop("_hk", "_hmin", "_hw")
 
 
 def local_window(order: Sequence) -> Window:
@@ -70,7 +111,7 @@ def _chunk_window() -> Window:
 
 def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rn",
                    total: str | None = None, prev: Sequence[str] = (), prev_prefix: str = "prev_",
-                   width: int | None = None) -> DataFrame:
+                   width: int | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add ``out``: 1-based position of the row within its key in ``order`` (ties must be broken
     by ``order``), ``total``: rows of the key, and ``prev_<c>``: ``c`` on the key's previous row.
 
@@ -79,7 +120,7 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
     ``drop_scan_columns`` when done.
     """
     lw = local_window(order)
-    rows = chunked(df, keys, order, width)
+    rows = chunked(df, keys, order, width, chunk_rows)
     local = rows.withColumn("_lrn", F.row_number().over(lw))
     for c in prev:
         local = local.withColumn(f"_lag_{c}", F.lag(c).over(lw))
@@ -133,11 +174,11 @@ def drop_scan_columns(df: DataFrame) -> DataFrame:
 
 
 def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                     out: str, width: int | None = None) -> DataFrame:
+                     out: str, width: int | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add ``out``: the last non-null ``value`` of the key at or before each row in ``order``
     (``last(value, ignorenulls)`` over a running frame), computed skew-safe by chunks."""
     lw = local_window(order)
-    rows = chunked(df, keys, order, width)
+    rows = chunked(df, keys, order, width, chunk_rows)
     local = rows.withColumn("_llast", F.last(value, ignorenulls=True).over(lw.rowsBetween(_BEFORE, 0)))
     ordered = F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))
     summary = rows.groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
@@ -149,32 +190,40 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
 
 
 def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us: int, rn: str = "rn",
-               run_out: str = "run_no", pos_out: str = "run_rn", width: int | None = None) -> DataFrame:
+               run_out: str = "run_no", pos_out: str = "run_rn", width: int | None = None,
+               chunk_rows: int | None = None) -> DataFrame:
     """Positions plus gap-separated runs in one pass: a run starts at a key's first row and at
     every row whose gap to the key's previous row (on ``order[0]``, a timestamp) is at least
     ``gap_us`` microseconds.  Adds ``rn``, ``run_out`` (1-based) and ``pos_out`` (1-based
     position in the run).
 
-    The chunk width is capped at ``gap_us``: two rows of one chunk are then less than the gap
-    apart, so a run can only start at a chunk's first row, and that is decided by the chunk
-    summaries alone (first and last time, count -- fixed-width hash aggregates).
+    A split key's chunks span at most ``gap_us``: two rows of such a chunk are closer than the
+    gap, so its runs can only start at a chunk's first row, which the chunk summaries (first
+    and last time, count -- fixed-width hash aggregates) decide.  A key kept whole has one
+    chunk, and the local window finds its run starts.
     """
-    width = min(width or DEFAULT_TIME_WIDTH_US, gap_us)
     lw = local_window(order)
-    rows = chunked(df, keys, order, width)
-    local = rows.withColumn("_lrn", F.row_number().over(lw))
+    rows = chunked(df, keys, order, width, chunk_rows, max_width=gap_us)
     t = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    lag_t = F.lag(t).over(lw)
+    inner_brk = lag_t.isNotNull() & (t - lag_t >= gap_us)  # a run start after a chunk's first row
+    upto = lw.rowsBetween(_BEFORE, 0)
+    local = (rows.withColumn("_lrn", F.row_number().over(lw))
+             .withColumn("_ibrk", inner_brk))
+    local = (local.withColumn("_lruns", F.sum(F.col("_ibrk").cast("bigint")).over(upto))
+             .withColumn("_lstart", F.max(F.when(F.col("_ibrk"), F.col("_lrn"))).over(upto)))
     summary = rows.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"),
                                            F.max(t).alias("_last"))
     cw = _chunk_window()
-    upto = cw.rowsBetween(_BEFORE, 0)
+    cupto = cw.rowsBetween(_BEFORE, 0)
     carry = (summary
              .withColumn("_before", F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)))
              .withColumn("_prev_last", F.lag("_last").over(cw))
-             .withColumn("_brk", F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") >= gap_us)))
-    carry = (carry.withColumn(run_out, F.sum(F.col("_brk").cast("bigint")).over(upto))
-             .withColumn("_run_start", F.max(F.when(F.col("_brk"), F.col("_before") + 1)).over(upto))
-             .select(KEY, CHUNK, "_before", run_out, "_run_start"))
+             .withColumn("_cbrk", F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") >= gap_us)))
+    carry = (carry.withColumn("_cruns", F.sum(F.col("_cbrk").cast("bigint")).over(cupto))
+             .withColumn("_cstart", F.max(F.when(F.col("_cbrk"), F.col("_before") + 1)).over(cupto))
+             .select(KEY, CHUNK, "_before", "_cruns", "_cstart"))
     out = local.join(carry, [KEY, CHUNK]).withColumn(rn, F.col("_lrn") + F.col("_before"))
-    out = out.withColumn(pos_out, F.col(rn) - F.col("_run_start") + 1)
-    return out.drop("_lrn", "_before", "_run_start")
+    out = (out.withColumn(run_out, F.col("_cruns") + F.col("_lruns"))
+           .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart") + F.col("_before"), F.col("_cstart")) + 1))
+    return out.drop("_lrn", "_ibrk", "_lruns", "_lstart", "_before", "_cruns", "_cstart")

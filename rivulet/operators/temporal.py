@@ -19,7 +19,8 @@ from rivulet.operators.keyed_scan import keyed_last_value
 
 def asof_join(probe: DataFrame, versions: DataFrame, keys: Sequence[str], probe_time: str,
               version_time: str, version_cols: Sequence[str], how: str = "inner",
-              prefix: str = "version_", width: int | None = None) -> DataFrame:
+              prefix: str = "version_", width: int | None = None,
+              chunk_rows: int | None = None) -> DataFrame:
     """``probe`` columns plus ``prefix + c`` for each of ``version_cols`` of the matching version.
 
     ``how='inner'`` drops probes without a version (the temporal-join default); ``'left'``
@@ -36,7 +37,7 @@ def asof_join(probe: DataFrame, versions: DataFrame, keys: Sequence[str], probe_
     v = versions.select(*[F.col(k) for k in keys], F.col(version_time).alias("_t"), F.lit(0).alias("_tag"),
                         F.lit(None).cast(p.schema["_p"].dataType).alias("_p"), vstruct.alias("_v"))
     both = p.unionByName(v)
-    scanned = keyed_last_value(both, keys, ["_t", "_tag", "_v"], "_v", "_match", width)
+    scanned = keyed_last_value(both, keys, ["_t", "_tag", "_v"], "_v", "_match", width, chunk_rows)
     probes = scanned.where(F.col("_tag") == 1)
     if how == "inner":
         probes = probes.where(F.col("_match").isNotNull())

@@ -48,12 +48,12 @@ def _count_window_model(rows, n, ttl=None):
     return out
 
 
-@given(ROWS, st.integers(1, 3))
+@given(ROWS, st.integers(1, 3), st.sampled_from([{"width": 7}, {"chunk_rows": 3}, {}]))
 @SETTINGS
-def test_count_window_matches_model(spark, rows, n):
+def test_count_window_matches_model(spark, rows, n, chunking):
     df = _frame(spark, rows)
     data = [tuple(r) for r in df.collect()]
-    got = sorted((r.k, r.win_no, r.avg) for r in count_window_average(df, "k", "v", ["t"], n=n, width=7).collect())
+    got = sorted((r.k, r.win_no, r.avg) for r in count_window_average(df, "k", "v", ["t"], n=n, **chunking).collect())
     want = sorted((k, w, a) for k, _, w, a in _count_window_model(data, n))
     assert got == want
 
@@ -68,13 +68,14 @@ def test_count_window_ttl_matches_model(spark, rows, ttl):
     assert got == sorted(_count_window_model(data, 2, ttl))
 
 
-@given(ROWS, st.integers(5, 40), st.sampled_from([3_000_000, 7_000_000, 60_000_000]))
+@given(ROWS, st.integers(5, 40), st.sampled_from([{"width": 3_000_000}, {"width": 60_000_000},
+                                                   {"chunk_rows": 2}, {"chunk_rows": 5}, {}]))
 @SETTINGS
-def test_count_window_ttl_one_pass_matches_model(spark, rows, ttl, width):
+def test_count_window_ttl_one_pass_matches_model(spark, rows, ttl, chunking):
     """Time-ordered keys take the one-pass path (chunk width capped at the TTL)."""
     df = _frame(spark, rows).withColumn("ts", F.timestamp_seconds("t"))
     data = [tuple(r)[:3] for r in df.collect()]
-    res = count_window_average(df, "k", "v", ["ts", "t"], n=2, ttl=f"{ttl} seconds", time_col="ts", width=width)
+    res = count_window_average(df, "k", "v", ["ts", "t"], n=2, ttl=f"{ttl} seconds", time_col="ts", **chunking)
     got = sorted((r.k, r.run_no, r.win_no, r.avg) for r in res.collect())
     assert got == sorted(_count_window_model(data, 2, ttl))
 
@@ -87,7 +88,7 @@ def test_sequence_and_last_value(spark, rows):
     want = df.select("k", "t", F.row_number().over(w).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("tot"),
                      F.lag("v").over(w).alias("prev_v"),
                      F.last("x", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("lx"))
-    seq = drop_scan_columns(keyed_sequence(df, ["k"], ["t"], total="tot", prev=["v"], width=5))
+    seq = drop_scan_columns(keyed_sequence(df, ["k"], ["t"], total="tot", prev=["v"], chunk_rows=3))
     got = keyed_last_value(seq, ["k"], ["t"], "x", "lx", width=3)
     cols = ["k", "t", "rn", "tot", "prev_v", "lx"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
@@ -143,7 +144,7 @@ def test_asof_join_inner_and_left(spark):
                                   "pid int, k string, t int")
     versions = spark.createDataFrame([("a", 5, "v5"), ("a", 12, "v12"), ("b", 2, "b2"), (None, 6, "n6")],
                                      "k string, t int, val string")
-    inner = asof_join(probe, versions, ["k"], "t", "t", ["val"], width=4)
+    inner = asof_join(probe, versions, ["k"], "t", "t", ["val"], chunk_rows=1)
     assert sorted((r.pid, r.version_val) for r in inner.collect()) == [(1, "v5"), (2, "v5"), (4, "v12"), (5, "n6")]
     left = asof_join(probe, versions, ["k"], "t", "t", ["val"], how="left")
     assert sorted((r.pid, r.version_val) for r in left.collect()) == [
