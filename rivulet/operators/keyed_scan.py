@@ -61,9 +61,11 @@ def order_value(df: DataFrame, order_col: str) -> Column | None:
 
 def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
              max_width: int | None = None) -> DataFrame | None:
-    """Broadcastable ``(_hk, _hmin, _hw)``: keys with more than ``chunk_rows`` rows, their first
-    order value and chunk width.  ``chunk_rows`` defaults to ``max(total / P, MIN_CHUNK_ROWS)``
-    (one count of the input); then at most P keys qualify.  None when no key can qualify."""
+    """Broadcast ``(_hk, _hmin, _hw)``: keys with more than ``chunk_rows`` rows, their first
+    order value and chunk width -- or None when there is no such key.
+
+    ``chunk_rows`` defaults to ``max(total / P, MIN_CHUNK_ROWS)`` (one count of the input); then
+    at most P keys qualify, so the table is collected (at most P rows) and broadcast."""
     if chunk_rows is None:
         parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         total = keyed.count()
@@ -77,28 +79,34 @@ def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
                        F.ceil((F.col("_hmax") - F.col("_hmin") + 1) * chunk_rows / F.col("_hn")).cast("bigint"))
     if max_width:
         width = F.least(width, F.lit(max_width).cast("bigint"))
-    return F.broadcast(stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw")))
+    table = stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw"))
+    rows = table.collect()  # bounded: at most total / chunk_rows rows
+    if not rows:
+        return None
+    return F.broadcast(keyed.sparkSession.createDataFrame(rows, table.schema))
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None,
-            chunk_rows: int | None = None, max_width: int | None = None) -> DataFrame:
-    """Add the struct key column and the chunk column (see module doc).  ``width``: fixed
-    chunking of every key; else hot keys only, sized by ``chunk_rows``.  ``max_width`` caps a
-    chunk's span of the order value."""
+            chunk_rows: int | None = None, max_width: int | None = None) -> tuple[DataFrame, bool]:
+    """``(frame, split)``: the frame with the struct key column and the chunk column (see module
+    doc); ``split`` is False when every key is a single chunk (no carry needed).  ``width``:
+    fixed chunking of every key; else hot keys only, sized by ``chunk_rows``.  ``max_width``
+    caps a chunk's span of the order value."""
     keyed = df.withColumn(KEY, F.struct(*keys))
     value = order_value(df, order[0])
+    whole = keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
     if value is None:
-        return keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
+        return whole, False
     if width is not None:
         w = min(width, max_width) if max_width else width
-        return keyed.withColumn(CHUNK, F.floor(value / w).cast("bigint"))
+        return keyed.withColumn(CHUNK, F.floor(value / w).cast("bigint")), True
     hot = hot_keys(keyed, value, chunk_rows, max_width)
     if hot is None:
-        return keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
+        return whole, False
     joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
     chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
         F.floor((value - F.col("_hmin")) / F.col("_hw")).cast("bigint"))
-    return joined.withColumn(CHUNK, chunk).drop("_hk", "_hmin", "_hw")
+    return joined.withColumn(CHUNK, chunk).drop("_hk", "_hmin", "_hw"), True
 
 
 def local_window(order: Sequence) -> Window:
@@ -120,10 +128,17 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
     ``drop_scan_columns`` when done.
     """
     lw = local_window(order)
-    rows = chunked(df, keys, order, width, chunk_rows)
+    rows, split = chunked(df, keys, order, width, chunk_rows)
     local = rows.withColumn("_lrn", F.row_number().over(lw))
     for c in prev:
         local = local.withColumn(f"_lag_{c}", F.lag(c).over(lw))
+    if not split:  # every key is one chunk: the local window is the whole answer
+        out_df = local.withColumnRenamed("_lrn", out)
+        for c in prev:
+            out_df = out_df.withColumnRenamed(f"_lag_{c}", prev_prefix + c)
+        if total:
+            out_df = out_df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(KEY, CHUNK)))
+        return out_df
 
     summary_aggs = [F.count(F.lit(1)).alias("_n")]
     for c in prev:
@@ -178,8 +193,10 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     """Add ``out``: the last non-null ``value`` of the key at or before each row in ``order``
     (``last(value, ignorenulls)`` over a running frame), computed skew-safe by chunks."""
     lw = local_window(order)
-    rows = chunked(df, keys, order, width, chunk_rows)
+    rows, split = chunked(df, keys, order, width, chunk_rows)
     local = rows.withColumn("_llast", F.last(value, ignorenulls=True).over(lw.rowsBetween(_BEFORE, 0)))
+    if not split:
+        return drop_scan_columns(local.withColumnRenamed("_llast", out))
     ordered = F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))
     summary = rows.groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
     carry = (summary.withColumn("_carry", F.last("_clast", ignorenulls=True)
@@ -203,7 +220,7 @@ def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us:
     chunk, and the local window finds its run starts.
     """
     lw = local_window(order)
-    rows = chunked(df, keys, order, width, chunk_rows, max_width=gap_us)
+    rows, split = chunked(df, keys, order, width, chunk_rows, max_width=gap_us)
     t = F.unix_micros(F.col(order[0]).cast("timestamp"))
     lag_t = F.lag(t).over(lw)
     inner_brk = lag_t.isNotNull() & (t - lag_t >= gap_us)  # a run start after a chunk's first row
@@ -212,6 +229,11 @@ def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us:
              .withColumn("_ibrk", inner_brk))
     local = (local.withColumn("_lruns", F.sum(F.col("_ibrk").cast("bigint")).over(upto))
              .withColumn("_lstart", F.max(F.when(F.col("_ibrk"), F.col("_lrn"))).over(upto)))
+    if not split:  # one chunk per key: its first row starts run 1
+        out = (local.withColumnRenamed("_lrn", rn)
+               .withColumn(run_out, F.col("_lruns") + 1)
+               .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart"), F.lit(1)) + 1))
+        return out.drop("_ibrk", "_lruns", "_lstart")
     summary = rows.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"),
                                            F.max(t).alias("_last"))
     cw = _chunk_window()
