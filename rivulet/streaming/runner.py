@@ -75,3 +75,24 @@ def drain(query: StreamingQuery, timeout_s: float = 120) -> None:
         raise TimeoutError(f"stream {query.name} still busy after {timeout_s}s")
     if errors:
         raise errors[0]
+
+
+def asof_join_batches(probe_stream: DataFrame, versions: DataFrame, keys, probe_time: str,
+                      version_time: str, version_cols, path: str, name: str, how: str = "inner",
+                      checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """J4 on a stream: every micro-batch of probes is as-of joined (``asof_join``) with the
+    version table as it is when the batch runs, and written to ``path/batch_id=<id>``
+    (overwrite per batch: a replayed batch rewrites the same folder)."""
+    from rivulet.operators.temporal import asof_join
+
+    spark: SparkSession = probe_stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        joined = asof_join(batch, versions, keys, probe_time, version_time, version_cols, how=how)
+        joined.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    writer = (probe_stream.writeStream.foreachBatch(write).queryName(name)
+              .option("checkpointLocation", checkpoint or checkpoint_location(spark, name)))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

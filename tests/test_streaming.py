@@ -238,3 +238,18 @@ def test_async_lookup_stream(spark, tmp_path, no_empty_batches):
     import hashlib
     assert sorted((r.id, r.info) for r in rows) == sorted(
         (i, hashlib.md5(str(i).encode()).hexdigest()) for i in (1, 2, 1))
+
+
+def test_asof_join_stream_batches(spark, tmp_path, no_empty_batches):
+    from rivulet.streaming.runner import asof_join_batches
+    schema = "pid int, k string, t int"
+    folder, out = str(tmp_path / "probes"), str(tmp_path / "asof_out")
+    _write_json(spark, [(1, "a", 5), (2, "a", 10)], schema, folder, 0)
+    _write_json(spark, [(3, "b", 1), (4, "a", 20)], schema, folder, 1)
+    versions = spark.createDataFrame([("a", 5, "v5"), ("a", 12, "v12"), ("b", 2, "b2")], "k string, t int, val string")
+    q = asof_join_batches(_stream(spark, folder, schema), versions, ["k"], "t", "t", ["val"], out, _name("asof"),
+                          how="left", trigger={"availableNow": True})
+    assert q.awaitTermination(120)
+    q.stop()
+    got = sorted((r.pid, r.version_val) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "v5"), (2, "v5"), (3, None), (4, "v12")]
