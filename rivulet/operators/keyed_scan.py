@@ -75,8 +75,11 @@ def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
     stats = (keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_hn"), F.min(value).alias("_hmin"),
                                     F.max(value).alias("_hmax"))
              .where(F.col("_hn") > chunk_rows))
+    # span * rows-per-chunk / rows, in double: the product overflows a long for microsecond spans
+    # (the width only sizes chunks; any positive width gives the same results)
+    span = (F.col("_hmax") - F.col("_hmin") + 1).cast("double")
     width = F.greatest(F.lit(1).cast("bigint"),
-                       F.ceil((F.col("_hmax") - F.col("_hmin") + 1) * chunk_rows / F.col("_hn")).cast("bigint"))
+                       F.ceil(span * F.lit(float(chunk_rows)) / F.col("_hn")).cast("bigint"))
     if max_width:
         width = F.least(width, F.lit(max_width).cast("bigint"))
     table = stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw"))

@@ -1,0 +1,44 @@
+"""A key holding a third of all rows: the default (automatic) path must detect it, split it into
+several chunks, and still give the same answer as a plain per-key window."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from rivulet.operators.count_window import count_window_average
+from rivulet.operators.keyed_scan import CHUNK, KEY, MIN_CHUNK_ROWS, chunked
+
+COPIES = 40
+
+
+def _skewed(spark):
+    """40 time-shifted copies of the sf0.01 events (400k rows); a third of them on user 0."""
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "ts", "user_id", "value")
+    rows = ev.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(COPIES - 1).cast("bigint"))))
+    return rows.select(
+        (F.col("event_id") + F.col("copy") * 1_000_000).alias("event_id"),
+        (F.col("ts") + F.make_dt_interval(F.col("copy") * 31)).alias("ts"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id") + 1).alias("user_id"),
+        F.floor("value").cast("bigint").alias("v"))
+
+
+def test_hot_key_detected_and_split(spark):
+    df = _skewed(spark)
+    frame, split = chunked(df, ["user_id"], ["ts", "event_id"])
+    assert split
+    hot_rows = df.where(F.col("user_id") == 0).count()
+    target = max(df.count() // int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_CHUNK_ROWS)
+    chunks = frame.where(F.col("user_id") == 0).select(CHUNK).distinct().count()
+    assert chunks >= -(-hot_rows // target) >= 2
+    biggest = frame.groupBy(KEY, CHUNK).count().agg(F.max("count")).first()[0]
+    assert biggest <= 0.75 * hot_rows
+
+
+def test_hot_key_result_equals_plain_window(spark):
+    df = _skewed(spark)
+    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    plain = (df.withColumn("win_no", F.floor((F.row_number().over(w) - 1) / 2).cast("bigint"))
+             .groupBy("user_id", "win_no").agg(F.count(F.lit(1)).alias("c"), F.sum("v").alias("s"))
+             .where("c = 2").select("user_id", "win_no", F.expr("s div c").alias("avg")))
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    assert got.count() > 100_000
