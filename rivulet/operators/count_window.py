@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.keyed_scan import drop_scan_columns, keyed_runs, keyed_sequence, running_breaks
+from rivulet.operators.keyed_scan import KEY, keyed_runs, keyed_sequence, running_breaks
 
 
 def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[str], n: int = 2,
@@ -42,22 +42,24 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
     base = df.select(*cols)
     if ttl is None:
         seq = keyed_sequence(base, [key], order, width=width, chunk_rows=chunk_rows)
-        pos, group = F.col("rn"), [key]
+        pos, runs = F.col("rn"), []
     elif order[0] == time_col:
         # time-ordered keys: runs from chunk summaries in one pass (see keyed_runs)
         seq = keyed_runs(base, [key], order, duration_us(ttl), width=width, chunk_rows=chunk_rows)
-        pos, group = F.col("run_rn"), [key, "run_no"]
+        pos, runs = F.col("run_rn"), ["run_no"]
     else:
         seq = keyed_sequence(base, [key], order, prev=[time_col], width=width, chunk_rows=chunk_rows)
         gap_expired = F.col(time_col) >= F.col("prev_" + time_col) + F.expr(f"INTERVAL {ttl}")
         seq = seq.withColumn("_brk", F.col("prev_" + time_col).isNull() | gap_expired)
         seq = running_breaks(seq, order, "_brk")
-        pos, group = F.col("run_rn"), [key, "run_no"]
-    windows = drop_scan_columns(seq).withColumn("win_no", F.floor((pos - 1) / n).cast("bigint"))
-    agg = (windows.groupBy(*group, "win_no")
+        pos, runs = F.col("run_rn"), ["run_no"]
+    # Group by the scan's struct key: when no key was split the scan is hash-partitioned by it,
+    # so this aggregate needs no further shuffle.
+    windows = seq.withColumn("win_no", F.floor((pos - 1) / n).cast("bigint"))
+    agg = (windows.groupBy(KEY, *runs, "win_no")
            .agg(F.count(F.lit(1)).alias("_c"), F.sum(value).alias("_s")))
     return (agg.where(F.col("_c") == n)
-            .select(*group, "win_no", _int_div(F.col("_s"), F.col("_c")).alias(out)))
+            .select(F.col(KEY)[key].alias(key), *runs, "win_no", _int_div(F.col("_s"), F.col("_c")).alias(out)))
 
 
 def _int_div(a: Column, b: Column) -> Column:

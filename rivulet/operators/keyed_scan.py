@@ -112,8 +112,11 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int
     return joined.withColumn(CHUNK, chunk).drop("_hk", "_hmin", "_hw"), True
 
 
-def local_window(order: Sequence) -> Window:
-    return Window.partitionBy(KEY, CHUNK).orderBy(*_cols(order))
+def local_window(order: Sequence, split: bool = True) -> Window:
+    """Window within ``(key, chunk)``; by the key alone when no key is split, so that a later
+    grouping by the key (plus anything) reuses the same hash partitioning -- no new shuffle."""
+    parts = (KEY, CHUNK) if split else (KEY,)
+    return Window.partitionBy(*parts).orderBy(*_cols(order))
 
 
 def _chunk_window() -> Window:
@@ -130,17 +133,17 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
     (``running_breaks``) can reuse the same chunks and partitioning; call
     ``drop_scan_columns`` when done.
     """
-    lw = local_window(order)
     rows, split = chunked(df, keys, order, width, chunk_rows)
+    lw = local_window(order, split)
     local = rows.withColumn("_lrn", F.row_number().over(lw))
     for c in prev:
         local = local.withColumn(f"_lag_{c}", F.lag(c).over(lw))
-    if not split:  # every key is one chunk: the local window is the whole answer
+    if not split:  # every key is one chunk: the per-key window is the whole answer
         out_df = local.withColumnRenamed("_lrn", out)
         for c in prev:
             out_df = out_df.withColumnRenamed(f"_lag_{c}", prev_prefix + c)
         if total:
-            out_df = out_df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(KEY, CHUNK)))
+            out_df = out_df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
         return out_df
 
     summary_aggs = [F.count(F.lit(1)).alias("_n")]
@@ -195,8 +198,8 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
                      out: str, width: int | None = None, chunk_rows: int | None = None) -> DataFrame:
     """Add ``out``: the last non-null ``value`` of the key at or before each row in ``order``
     (``last(value, ignorenulls)`` over a running frame), computed skew-safe by chunks."""
-    lw = local_window(order)
     rows, split = chunked(df, keys, order, width, chunk_rows)
+    lw = local_window(order, split)
     local = rows.withColumn("_llast", F.last(value, ignorenulls=True).over(lw.rowsBetween(_BEFORE, 0)))
     if not split:
         return drop_scan_columns(local.withColumnRenamed("_llast", out))
@@ -222,8 +225,8 @@ def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us:
     and last time, count -- fixed-width hash aggregates) decide.  A key kept whole has one
     chunk, and the local window finds its run starts.
     """
-    lw = local_window(order)
     rows, split = chunked(df, keys, order, width, chunk_rows, max_width=gap_us)
+    lw = local_window(order, split)
     t = F.unix_micros(F.col(order[0]).cast("timestamp"))
     lag_t = F.lag(t).over(lw)
     inner_brk = lag_t.isNotNull() & (t - lag_t >= gap_us)  # a run start after a chunk's first row
