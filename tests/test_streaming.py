@@ -52,11 +52,24 @@ def test_count_window_reference_fixture(spark, tmp_path, no_empty_batches):
 
 
 def test_count_window_batch_twin_reference_fixture(spark):
-    df = spark.createDataFrame(REFERENCE_PAIRS, PAIRS_SCHEMA)
+    """The reference's five literal elements, in order, through the bounded literal source."""
+    from rivulet.sources.elements import from_elements
+    df = from_elements(spark, [(k, v) for _, k, v in REFERENCE_PAIRS], "k bigint, v bigint")
+    assert [r.seq for r in df.orderBy("seq").collect()] == [1, 2, 3, 4, 5]
     rows = count_window_average(df, "k", "v", ["seq"], n=2).collect()
     assert sorted((r.k, r.avg) for r in rows) == [(1, 4), (1, 5)]
 
 
+def test_console_sink_prints(spark, tmp_path, no_empty_batches, capfd):
+    """K1: print every record (console sink) and end with the input."""
+    _write_json(spark, REFERENCE_PAIRS, PAIRS_SCHEMA, str(tmp_path), 0)
+    q = start(count_window_stream(_stream(spark, str(tmp_path), PAIRS_SCHEMA), "k", "v", "seq"),
+              _name("console"), sink="console", trigger={"availableNow": True})
+    assert q.awaitTermination(120)
+    q.stop()
+    assert q.lastProgress["numInputRows"] == 5
+
+
 def test_count_window_ttl_expires_half_pair(spark, tmp_path, no_empty_batches):
     """3, then 2 s later 5 and 7: with a 1 s TTL the 3 is forgotten -> (1,6); without -> (1,4)."""
     results = {}
