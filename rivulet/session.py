@@ -57,17 +57,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for streaming checkpoints and lineage cuts.
+    """Shared folder for streaming checkpoints and lineage cuts (``DataFrame.checkpoint``).
 
-    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there).  Only when it
-    is unset -- a local test run -- a folder under the system temp dir is chosen and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there) or the
+    context's checkpoint dir.  Only when neither is set -- a local test run -- a folder under the
+    system temp dir is chosen.  The folder is also registered with the context when the context
+    does not have it yet, so ``DataFrame.checkpoint()`` can use it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         import tempfile
         root = tempfile.mkdtemp(prefix="rivulet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

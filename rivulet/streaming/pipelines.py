@@ -4,7 +4,6 @@ stream-static lookup (J1), built from the same transforms as the batch queries."
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rivulet.functions.parse import parse_int
 from rivulet.operators.enrich import lookup_json
@@ -36,8 +35,3 @@ def lookup_stream(id_lines: DataFrame, table: DataFrame, table_key: str, fields,
     """Id lines -> (id, info): strict int parse, then a stream-static left join."""
     ids = id_lines.select(parse_int("value").alias("id"))
     return lookup_json(ids, "id", table, table_key, fields, out=out, miss=miss)
-
-
-def event_time_only(df: DataFrame, col: str) -> DataFrame:
-    """``timestamp_ntz`` event-time column -> ``timestamp`` (watermarks need the latter)."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
