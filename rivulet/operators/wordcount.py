@@ -15,7 +15,7 @@ def split_words(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...
     Java split rules (see ``rivulet.functions.text``); a generator in the scan stage, no shuffle.
     """
     return (lines.select(*keep, F.posexplode(java_split(value_col, sep)).alias("pos", "word"))
-            .select(*keep, (F.col("pos") + 1).alias("word_no"), "word"))
+            .select(*keep, (F.col("pos") + 1).cast("bigint").alias("word_no"), "word"))
 
 
 def word_pairs(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

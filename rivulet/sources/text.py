@@ -32,4 +32,4 @@ def document_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = docs.select(id_col, F.split(text_col, "\n", -1).alias("_parts"))
     pieces = parts.select(id_col, F.size("_parts").alias("_n"), F.posexplode("_parts").alias("pos", "value"))
     keep = (F.col("pos") < F.col("_n") - 1) | (F.col("value") != F.lit(""))
-    return pieces.where(keep).select(id_col, (F.col("pos") + 1).alias("line_no"), "value")
+    return pieces.where(keep).select(id_col, (F.col("pos") + 1).cast("bigint").alias("line_no"), "value")
