@@ -74,8 +74,8 @@ def buffered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("counter_source",
-          "SELECT CAST(t.s AS INTEGER) AS subtask, e.rn - 1 AS value "
-          "FROM (SELECT row_number() OVER () AS rn FROM events) AS e, range(4) AS t(s)")
+          "SELECT CAST(i % 4 AS INTEGER) AS subtask, i // 4 AS value "
+          "FROM range(0, 4 * (SELECT count(*) FROM events)) AS r(i)")
 def counter_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: 4 counter instances, each counting 0..N-1 where N = number of events."""
     n = read_table(spark, sf_dir, "events", "event_id").count()
