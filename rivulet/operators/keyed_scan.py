@@ -11,12 +11,14 @@ cut into *chunks*, contiguous stretches of their order; every other key is one c
    ``chunk = floor((order value - first) / width)``, a pure function of the row -- every plan
    branch computes the same chunks, with no sampling pass and no cache;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
-2. chunk summaries: one row per ``(key, chunk)`` (count, first/last value, ...), aggregated
-   map-side before the shuffle; about one row per key plus one per hot chunk;
+2. chunk summaries: one row per chunk of a split key (count, first/last value, ...),
+   aggregated map-side before the shuffle; rows of keys kept whole are not summarised;
 3. carry: a window over a key's chunk summaries gives what earlier chunks contribute (rows
    before, value of the previous row, runs before, ...);
-4. join the carry back on ``(key, chunk)``.  The big side is already hash-partitioned on those
-   columns by step 1, so only the carry moves (AQE broadcasts it when it is small).
+4. left-join the carry back on ``(key, chunk)`` (keys kept whole get the defaults: nothing
+   before them).  The big side is already hash-partitioned on those columns by step 1, so
+   only the carry moves (AQE broadcasts it when it is small).  When no key is split at all,
+   steps 2-4 are skipped and the window runs per key.
 
 Results are exact for any chunking; chunking only sets task sizes.  A fixed ``width`` (all keys
 chunked) can be forced, e.g. in tests.  The first order column must be a timestamp, date or
@@ -36,6 +38,7 @@ from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, Timestam
 
 KEY = "_scan_key"
 CHUNK = "_scan_chunk"
+SPLIT = "_scan_split"  # the row's key is cut into several chunks (only those need a carry)
 _BEFORE = Window.unboundedPreceding
 
 # Fixed value: below this many rows a key is never split (a chunk at least this large).
@@ -92,9 +95,10 @@ def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None,
             chunk_rows: int | None = None, max_width: int | None = None) -> tuple[DataFrame, bool]:
     """``(frame, split)``: the frame with the struct key column and the chunk column (see module
-    doc); ``split`` is False when every key is a single chunk (no carry needed).  ``width``:
-    fixed chunking of every key; else hot keys only, sized by ``chunk_rows``.  ``max_width``
-    caps a chunk's span of the order value."""
+    doc); ``split`` is False when every key is a single chunk (no carry needed), else the frame
+    also flags the rows of split keys (``SPLIT``).  ``width``: fixed chunking of every key;
+    else hot keys only, sized by ``chunk_rows``.  ``max_width`` caps a chunk's span of the order
+    value."""
     keyed = df.withColumn(KEY, F.struct(*keys))
     value = order_value(df, order[0])
     whole = keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
@@ -102,14 +106,15 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int
         return whole, False
     if width is not None:
         w = min(width, max_width) if max_width else width
-        return keyed.withColumn(CHUNK, F.floor(value / w).cast("bigint")), True
+        return keyed.withColumns({CHUNK: F.floor(value / w).cast("bigint"), SPLIT: F.lit(True)}), True
     hot = hot_keys(keyed, value, chunk_rows, max_width)
     if hot is None:
         return whole, False
     joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
     chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
         F.floor((value - F.col("_hmin")) / F.col("_hw")).cast("bigint"))
-    return joined.withColumn(CHUNK, chunk).drop("_hk", "_hmin", "_hw"), True
+    return (joined.withColumns({CHUNK: chunk, SPLIT: F.col("_hw").isNotNull()})
+            .drop("_hk", "_hmin", "_hw"), True)
 
 
 def local_window(order: Sequence, split: bool = True) -> Window:
@@ -152,17 +157,22 @@ def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str
         # hash aggregate; other columns need max_by over the order struct (a sort aggregate).
         last = F.max(c) if c == order[0] else F.max_by(c, F.struct(*_cols(order)))
         summary_aggs.append(last.alias(f"_last_{c}"))
-    summary = rows.groupBy(KEY, CHUNK).agg(*summary_aggs)
+    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(*summary_aggs)
     cw = _chunk_window()
     carry = summary.withColumn(
         "_before", F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)))
     for c in prev:
         carry = carry.withColumn(f"_carry_{c}", F.lag(f"_last_{c}").over(cw))
     if total:
-        carry = carry.withColumn(total, F.sum("_n").over(Window.partitionBy(KEY)))
+        carry = carry.withColumn("_ctotal", F.sum("_n").over(Window.partitionBy(KEY)))
+        local = local.withColumn("_lcount", F.count(F.lit(1)).over(Window.partitionBy(KEY, CHUNK)))
     carry = carry.drop("_n", *[f"_last_{c}" for c in prev])
 
-    out_df = local.join(carry, [KEY, CHUNK]).withColumn(out, F.col("_lrn") + F.col("_before"))
+    # keys kept whole have no summary row: left join, nothing before them
+    out_df = (local.join(carry, [KEY, CHUNK], "left")
+              .withColumn(out, F.col("_lrn") + F.coalesce(F.col("_before"), F.lit(0))))
+    if total:
+        out_df = out_df.withColumn(total, F.coalesce(F.col("_ctotal"), F.col("_lcount"))).drop("_ctotal", "_lcount")
     for c in prev:
         out_df = out_df.withColumn(
             prev_prefix + c, F.when(F.col("_lrn") == 1, F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")))
@@ -176,22 +186,28 @@ def running_breaks(df: DataFrame, order: Sequence, brk: str, rn: str = "rn",
     ``run_out`` = number of breaks up to and including the row (1-based run number when the
     key's first row is a break) and ``pos_out`` = 1-based position of the row inside its run.
     Reuses the chunks and partitioning of the previous scan."""
-    lw = local_window(order).rowsBetween(_BEFORE, 0)
+    split = SPLIT in df.columns
+    lw = local_window(order, split).rowsBetween(_BEFORE, 0)
     b = F.col(brk).cast("int")
     local = (df.withColumn("_lruns", F.sum(b).over(lw))
              .withColumn("_llast", F.max(F.when(F.col(brk), F.col(rn))).over(lw)))
-    summary = df.groupBy(KEY, CHUNK).agg(F.sum(b).alias("_b"), F.max(F.when(F.col(brk), F.col(rn))).alias("_lb"))
+    if not split:  # one chunk per key: the local running values are the answer
+        out = (local.withColumnRenamed("_lruns", run_out)
+               .withColumn(pos_out, F.col(rn) - F.col("_llast") + 1))
+        return out.drop("_llast")
+    summary = (df.where(F.col(SPLIT)).groupBy(KEY, CHUNK)
+               .agg(F.sum(b).alias("_b"), F.max(F.when(F.col(brk), F.col(rn))).alias("_lb")))
     cw = _chunk_window().rowsBetween(_BEFORE, -1)
     carry = (summary.withColumn("_b_before", F.coalesce(F.sum("_b").over(cw), F.lit(0)))
              .withColumn("_lb_before", F.max("_lb").over(cw)).drop("_b", "_lb"))
-    out = local.join(carry, [KEY, CHUNK])
-    out = (out.withColumn(run_out, F.col("_b_before") + F.col("_lruns"))
+    out = local.join(carry, [KEY, CHUNK], "left")
+    out = (out.withColumn(run_out, F.coalesce(F.col("_b_before"), F.lit(0)) + F.col("_lruns"))
            .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_llast"), F.col("_lb_before")) + 1))
     return out.drop("_lruns", "_llast", "_b_before", "_lb_before")
 
 
 def drop_scan_columns(df: DataFrame) -> DataFrame:
-    return df.drop(KEY, CHUNK)
+    return df.drop(KEY, CHUNK, SPLIT)
 
 
 def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -204,11 +220,12 @@ def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     if not split:
         return drop_scan_columns(local.withColumnRenamed("_llast", out))
     ordered = F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))
-    summary = rows.groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
+    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
     carry = (summary.withColumn("_carry", F.last("_clast", ignorenulls=True)
                                 .over(_chunk_window().rowsBetween(_BEFORE, -1)))
              .drop("_clast"))
-    out_df = local.join(carry, [KEY, CHUNK]).withColumn(out, F.coalesce(F.col("_llast"), F.col("_carry")))
+    out_df = (local.join(carry, [KEY, CHUNK], "left")
+              .withColumn(out, F.coalesce(F.col("_llast"), F.col("_carry"))))
     return drop_scan_columns(out_df.drop("_llast", "_carry"))
 
 
@@ -240,8 +257,8 @@ def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us:
                .withColumn(run_out, F.col("_lruns") + 1)
                .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart"), F.lit(1)) + 1))
         return out.drop("_ibrk", "_lruns", "_lstart")
-    summary = rows.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"),
-                                           F.max(t).alias("_last"))
+    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"), F.max(t).alias("_last"))
     cw = _chunk_window()
     cupto = cw.rowsBetween(_BEFORE, 0)
     carry = (summary
@@ -251,7 +268,12 @@ def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us:
     carry = (carry.withColumn("_cruns", F.sum(F.col("_cbrk").cast("bigint")).over(cupto))
              .withColumn("_cstart", F.max(F.when(F.col("_cbrk"), F.col("_before") + 1)).over(cupto))
              .select(KEY, CHUNK, "_before", "_cruns", "_cstart"))
-    out = local.join(carry, [KEY, CHUNK]).withColumn(rn, F.col("_lrn") + F.col("_before"))
+    # keys kept whole have no summary row: nothing before them, their first row starts run 1
+    out = (local.join(carry, [KEY, CHUNK], "left")
+           .withColumns({"_before": F.coalesce(F.col("_before"), F.lit(0)),
+                         "_cruns": F.coalesce(F.col("_cruns"), F.lit(1)),
+                         "_cstart": F.coalesce(F.col("_cstart"), F.lit(1))}))
+    out = out.withColumn(rn, F.col("_lrn") + F.col("_before"))
     out = (out.withColumn(run_out, F.col("_cruns") + F.col("_lruns"))
            .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart") + F.col("_before"), F.col("_cstart")) + 1))
     return out.drop("_lrn", "_ibrk", "_lruns", "_lstart", "_before", "_cruns", "_cstart")
