@@ -266,3 +266,52 @@ def test_asof_join_stream_batches(spark, tmp_path, no_empty_batches):
     q.stop()
     got = sorted((r.pid, r.version_val) for r in spark.read.parquet(out).collect())
     assert got == [(1, "v5"), (2, "v5"), (3, None), (4, "v12")]
+
+
+def test_buffered_stream_equals_batch(spark, tmp_path, no_empty_batches):
+    schema = "seq int, bucket int, event_id bigint"
+    folder = tmp_path / "in"
+    os.makedirs(folder)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    pdf = ev.toPandas().sort_values(["event_id"]).reset_index(drop=True)
+    pdf["seq"] = range(1, len(pdf) + 1)
+    pdf["bucket"] = (pdf["user_id"] % 4).astype(int)
+    n = len(pdf)
+    for i in range(4):
+        part = pdf.iloc[i * n // 4:(i + 1) * n // 4]
+        _write_json(spark, [(int(a), int(b), int(c)) for a, b, c in part[["seq", "bucket", "event_id"]].itertuples(index=False)],
+                    schema, str(folder), i)
+    stream = run_available(buffered_stream(_stream(spark, str(folder), schema), "bucket", "seq", ["event_id"], 3),
+                           _name("bufev"))
+    rows = ev.select((F.col("user_id") % 4).cast("int").alias("bucket"), "event_id")
+    batch = buffered_groups(rows, "bucket", ["event_id"], 3)
+    got = sorted((r.bucket, r.batch_no, r.event_id) for r in stream.collect())
+    want = sorted((r.bucket, r.batch_no, r.event_id) for r in batch.collect())
+    assert len(got) == len(want) > 0 and got == want
+
+
+def test_user_count_stream_equals_batch(spark, tmp_path):
+    """A2 as a stream (update mode, generous watermark so nothing is late) == the batch twin."""
+    from rivulet.operators.windows import tumble_count
+    from rivulet.sources.user_actions import action_lines_from_events, user_actions_from_events
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    lines = action_lines_from_events(ev.orderBy("ts", "event_id")).toPandas()["value"].tolist()
+    folder = tmp_path / "lines"
+    os.makedirs(folder)
+    n = len(lines)
+    for i in range(4):
+        with open(folder / f"f{i}.txt", "w") as fh:
+            fh.write("\n".join(lines[i * n // 4:(i + 1) * n // 4]) + "\n")
+    stream = user_count_stream(read_text_lines(spark, str(folder), stream=True, max_files_per_trigger=1),
+                               size="1 hour", delay="3650 days")
+    name = _name("ucev")
+    q = start(stream, name, mode="update", trigger={"availableNow": True})
+    assert q.awaitTermination(120)
+    q.stop()
+    final = {}
+    for r in spark.table(name).collect():
+        k = (r.user_name, r.start_time.replace(tzinfo=None))
+        final[k] = max(final.get(k, 0), r.cnt)
+    batch = tumble_count(user_actions_from_events(ev), "user_action_time", "user_name", "1 hour")
+    want = {(r.user_name, r.start_time): r.cnt for r in batch.collect()}
+    assert final == want
