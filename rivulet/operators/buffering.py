@@ -32,7 +32,8 @@ def buffered_groups(df: DataFrame, bucket: str, order: Sequence[str], threshold:
         raise ValueError("threshold must be >= 1")
     seq = drop_scan_columns(keyed_sequence(df, [bucket], order, total="_total", width=width,
                                               chunk_rows=chunk_rows))
-    delivered = F.col("rn") <= F.floor(F.col("_total") / threshold) * threshold
+    n = F.lit(threshold).cast("bigint")
+    delivered = F.col("rn") <= F.call_function("div", F.col("_total"), n) * n  # integer math throughout
     return (seq.where(delivered)
-            .withColumn(out, F.floor((F.col("rn") - 1) / threshold).cast("bigint"))
+            .withColumn(out, F.call_function("div", F.col("rn") - 1, n))
             .drop("rn", "_total"))

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.parse import duration_us
 from rivulet.operators.keyed_scan import KEY, keyed_runs, keyed_sequence, running_breaks
 
 
@@ -55,7 +56,7 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
         pos, runs = F.col("run_rn"), ["run_no"]
     # Group by the scan's struct key: when no key was split the scan is hash-partitioned by it,
     # so this aggregate needs no further shuffle.
-    windows = seq.withColumn("win_no", F.floor((pos - 1) / n).cast("bigint"))
+    windows = seq.withColumn("win_no", _int_div(pos - 1, F.lit(n)).cast("bigint"))
     agg = (windows.groupBy(KEY, *runs, "win_no")
            .agg(F.count(F.lit(1)).alias("_c"), F.sum(value).alias("_s")))
     return (agg.where(F.col("_c") == n)
@@ -65,21 +66,3 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
 def _int_div(a: Column, b: Column) -> Column:
     """Integer division truncating toward zero, like Java's ``long / long`` (SQL ``div``)."""
     return F.call_function("div", a, b)
-
-
-_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
-
-
-def duration_us(duration: str) -> int:
-    """``'6 hours'``, ``'1 second'``, ``'1 minute 30 seconds'`` -> microseconds."""
-    parts = duration.split()
-    if not parts or len(parts) % 2:
-        raise ValueError(f"bad duration {duration!r}")
-    total = 0
-    for num, unit in zip(parts[::2], parts[1::2]):
-        unit = unit.lower().rstrip("s")
-        if unit not in _UNIT_US:
-            raise ValueError(f"bad duration unit in {duration!r}")
-        total += int(float(num) * _UNIT_US[unit])
-    return total

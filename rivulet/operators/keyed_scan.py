@@ -112,7 +112,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int
         return whole, False
     joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
     chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.floor((value - F.col("_hmin")) / F.col("_hw")).cast("bigint"))
+        F.call_function("div", value - F.col("_hmin"), F.col("_hw")))  # exact: offsets are >= 0
     return (joined.withColumns({CHUNK: chunk, SPLIT: F.col("_hw").isNotNull()})
             .drop("_hk", "_hmin", "_hw"), True)
 

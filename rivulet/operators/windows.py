@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.parse import duration_us
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,8 +30,6 @@ def _group_window(df: DataFrame, time_col: str, size: str):
     the aggregate (a null test on the grouping key would be pushed down and inlined)."""
     if df.isStreaming:
         return F.window(time_col, size).alias("w"), F.col("w.start"), None
-    from rivulet.operators.count_window import duration_us
-
     us = duration_us(size)
     dtype = df.schema[time_col].dataType.simpleString()
     micros = F.unix_micros(F.col(time_col).cast("timestamp"))
