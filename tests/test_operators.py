@@ -173,3 +173,14 @@ def test_batch_windows_drop_rows_without_time(spark):
     assert got == [("", 0, "2020-03-20 15:22:00"), ("amy", 1, "2020-03-20 15:22:00"), ("bob", 1, "2020-03-20 15:22:00")]
     sums = sorted((r.u or "", r.n) for r in tumble_sum(df, "t", "u", "n", "1 minute").collect())
     assert sums == [("", 1), ("amy", 1), ("bob", 1)]
+
+
+def test_ttl_boundary_gap_equal_to_ttl_expires(spark):
+    df = spark.createDataFrame([(1, 0, 3), (1, 10, 5)], "k int, t bigint, v bigint").withColumn(
+        "ts", F.timestamp_seconds("t"))
+    for order in (["ts", "t"], ["t"]):  # one-pass path and the fallback path
+        expired = count_window_average(df, "k", "v", order, n=2, ttl="10 seconds", time_col="ts").collect()
+        shorter = count_window_average(df, "k", "v", order, n=2, ttl="9999999 microseconds", time_col="ts").collect()
+        assert expired == [] and shorter == []
+        alive = count_window_average(df, "k", "v", order, n=2, ttl="10000001 microseconds", time_col="ts").collect()
+        assert [(r.k, r.avg) for r in alive] == [(1, 4)]
