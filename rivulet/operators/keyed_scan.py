@@ -5,9 +5,10 @@ holding a third of the data makes one task read a third of the data.  Here such
 cut into *chunks*, contiguous stretches of their order; every other key is one chunk.
 
 0. hot keys: keys holding more than ``total / P`` rows (P = shuffle partitions; never fewer
-   than ``MIN_CHUNK_ROWS``).  There are at most P of them, so their table (key, first order
-   value, chunk width) has a proven size bound and is broadcast.  A hot key's chunk width is
-   chosen from its own row count and span so that a chunk holds about ``total / P`` rows:
+   than ``MIN_CHUNK_ROWS``), found in a uniform sample of about 400 P rows -- so their table
+   (key, first order value, chunk width) has about 2P rows at most, a proven bound, and is
+   broadcast.  A hot key's chunk width is chosen from its estimated row count and span so that
+   a chunk holds about ``total / P`` rows:
    ``chunk = floor((order value - first) / width)``, a pure function of the row -- every plan
    branch computes the same chunks, with no sampling pass and no cache;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
@@ -62,34 +63,46 @@ def order_value(df: DataFrame, order_col: str) -> Column | None:
     return None
 
 
+# Fixed value: expected sampled rows of a key at the hot threshold (detection by sampling).
+SAMPLE_ROWS_PER_HOT_KEY = 400
+
+
 def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
              max_width: int | None = None) -> DataFrame | None:
-    """Broadcast ``(_hk, _hmin, _hw)``: keys with more than ``chunk_rows`` rows, their first
-    order value and chunk width -- or None when there is no such key.
-
-    ``chunk_rows`` defaults to ``max(total / P, MIN_CHUNK_ROWS)`` (one count of the input); then
-    at most P keys qualify, so the table is collected (at most P rows) and broadcast."""
+    """Broadcast ``(_hk, _hmin, _hw)``: the keys to split, their first order value and chunk
+    width -- or None when no key needs splitting.
+
+    Default: one row count; keys above ``max(total / P, MIN_CHUNK_ROWS)`` rows are found in a
+    uniform sample of about ``SAMPLE_ROWS_PER_HOT_KEY * P`` rows (a key at the threshold
+    expects that many sampled rows; keys with at least half of it are split -- at most about
+    2P keys).  Count and span of a split key are estimated from the sample: they only size the
+    chunks, and any chunking gives the same results.  With an explicit ``chunk_rows`` the
+    per-key counts are exact (no sampling)."""
+    spark = keyed.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if chunk_rows is None:
-        parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         total = keyed.count()
         if total <= MIN_CHUNK_ROWS:
             return None
         chunk_rows = max(-(-total // parts), MIN_CHUNK_ROWS)
-    stats = (keyed.groupBy(KEY).agg(F.count(F.lit(1)).alias("_hn"), F.min(value).alias("_hmin"),
-                                    F.max(value).alias("_hmax"))
-             .where(F.col("_hn") > chunk_rows))
+        fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY * total / chunk_rows / total)
+        source, min_hits, scale = keyed.sample(fraction=fraction, seed=17), SAMPLE_ROWS_PER_HOT_KEY // 2, 1.0 / fraction
+    else:
+        source, min_hits, scale = keyed, chunk_rows + 1, 1.0
+    stats = (source.groupBy(KEY).agg(F.count(F.lit(1)).alias("_hits"), F.min(value).alias("_hmin"),
+                                     F.max(value).alias("_hmax"))
+             .where(F.col("_hits") >= min_hits))
+    est_rows = F.col("_hits") * F.lit(scale)
     # span * rows-per-chunk / rows, in double: the product overflows a long for microsecond spans
-    # (the width only sizes chunks; any positive width gives the same results)
     span = (F.col("_hmax") - F.col("_hmin") + 1).cast("double")
-    width = F.greatest(F.lit(1).cast("bigint"),
-                       F.ceil(span * F.lit(float(chunk_rows)) / F.col("_hn")).cast("bigint"))
+    width = F.greatest(F.lit(1).cast("bigint"), F.ceil(span * F.lit(float(chunk_rows)) / est_rows).cast("bigint"))
     if max_width:
         width = F.least(width, F.lit(max_width).cast("bigint"))
     table = stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw"))
-    rows = table.collect()  # bounded: at most total / chunk_rows rows
+    rows = table.collect()  # bounded: about 2P rows (sampled) or total / chunk_rows (exact)
     if not rows:
         return None
-    return F.broadcast(keyed.sparkSession.createDataFrame(rows, table.schema))
+    return F.broadcast(spark.createDataFrame(rows, table.schema))
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None,
@@ -111,8 +124,9 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int
     if hot is None:
         return whole, False
     joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
+    off = value - F.col("_hmin")  # may be negative: the first value can come from a sample
     chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.call_function("div", value - F.col("_hmin"), F.col("_hw")))  # exact: offsets are >= 0
+        F.call_function("div", off - F.pmod(off, F.col("_hw")), F.col("_hw")))  # exact floor division
     return (joined.withColumns({CHUNK: chunk, SPLIT: F.col("_hw").isNotNull()})
             .drop("_hk", "_hmin", "_hw"), True)
 
