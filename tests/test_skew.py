@@ -42,3 +42,18 @@ def test_hot_key_result_equals_plain_window(spark):
              .where("c = 2").select("user_id", "win_no", F.expr("s div c").alias("avg")))
     assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
     assert got.count() > 100_000
+
+
+def test_hot_key_ttl_runs_equal_plain_window(spark):
+    df = _skewed(spark)
+    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2, ttl="1 hour", time_col="ts")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    brk = F.lag("ts").over(w).isNull() | (F.col("ts") >= F.lag("ts").over(w) + F.expr("INTERVAL 1 HOUR"))
+    runs = (df.withColumn("brk", brk.cast("bigint"))
+            .withColumn("run_no", F.sum("brk").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    wr = Window.partitionBy("user_id", "run_no").orderBy("ts", "event_id")
+    plain = (runs.withColumn("win_no", F.floor((F.row_number().over(wr) - 1) / 2).cast("bigint"))
+             .groupBy("user_id", "run_no", "win_no").agg(F.count(F.lit(1)).alias("c"), F.sum("v").alias("s"))
+             .where("c = 2").select("user_id", "run_no", "win_no", F.expr("s div c").alias("avg")))
+    assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    assert got.count() > 50_000
