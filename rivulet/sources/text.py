@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 
 
-def read_text_lines(spark: SparkSession, path: str, stream: bool = False,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+def read_text_lines(spark: SparkSession, path: str | None = None, stream: bool = False,
+                    max_files_per_trigger: int | None = None, host: str | None = None,
+                    port: int | None = None) -> DataFrame:
     """One row ``value string`` per line of the text files under ``path``.
 
-    ``stream=True`` gives the streaming twin (new files become new micro-batches).  This is the
-    testable stand-in for a socket line source; Spark's ``socket`` format is not used because it
-    is neither fault tolerant nor replayable.
+    ``stream=True`` gives the streaming twin (new files become new micro-batches): the
+    replayable, fault-tolerant stand-in for a socket line source.  ``host`` / ``port`` read a
+    TCP line stream with Spark's ``socket`` format instead, as the reference's jobs do; that
+    source keeps no offsets (no recovery after failure) and is meant for demos only.
     """
+    if host is not None:
+        if port is None:
+            raise ValueError("a socket source needs host and port")
+        return spark.readStream.format("socket").option("host", host).option("port", port).load()
+    if path is None:
+        raise ValueError("path (or host and port) is required")
     if not stream:
         return spark.read.text(path)
     reader = spark.readStream.format("text")

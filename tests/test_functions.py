@@ -104,3 +104,10 @@ def test_window_sizes_keep_word_totals(spark):
         agg = tumble_sum(pairs, "ts", "word", "n", size).groupBy("word").agg(F.sum("n").alias("t"))
         totals.append(sorted(tuple(r) for r in agg.collect()))
     assert all(t == totals[0] for t in totals) and sum(t for _, t in totals[0]) == ev.count()
+
+
+def test_socket_option_is_a_lazy_stream(spark):
+    """The socket form is only declared here (nothing is started, no connection is made)."""
+    from rivulet.sources.text import read_text_lines
+    df = read_text_lines(spark, host="localhost", port=9)
+    assert df.isStreaming and df.columns == ["value"]
