@@ -1,6 +1,6 @@
 """Text splitting with the record semantics of the reference jobs.
 
-* A *line* is one record of a text stream: text is cut at ``\\n``; a final empty piece (text
+* A *line* is one record of a text stream (cut by ``sources.text.document_lines``): text is cut at ``\\n``; a final empty piece (text
   ending in a newline, or empty text) is no line -- the same rule as Spark's text reader.
 * Splitting a line on a one-character separator follows Java's ``String.split(sep)``:
   leading and inner empty tokens are kept, trailing empty tokens are dropped, an empty line
@@ -28,12 +28,5 @@ def java_split(line, sep: str = " ") -> Column:
             .otherwise(F.split(stripped, _regex_quote(sep), -1)))
 
 
-def lines_array(text) -> Column:
-    """``array<string>`` of the lines of ``text`` (see module doc)."""
-    parts = F.split(_col(text), "\n", -1)
-    n = F.size(parts)
-    return F.filter(parts, lambda x, i: (i < n - 1) | (x != F.lit("")))
-
-
 def _regex_quote(s: str) -> str:
     return "".join("\\" + ch if ch in ".$^{[(|)*+?\\]}" else ch for ch in s)
