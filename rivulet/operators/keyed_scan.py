@@ -9,8 +9,8 @@ cut into *chunks*, contiguous stretches of their order; every other key is one c
    (key, first order value, chunk width) has about 2P rows at most, a proven bound, and is
    broadcast.  A hot key's chunk width is chosen from its estimated row count and span so that
    a chunk holds about ``total / P`` rows:
-   ``chunk = floor((order value - first) / width)``, a pure function of the row -- every plan
-   branch computes the same chunks, with no sampling pass and no cache;
+   ``chunk = floor((order value - first) / width)``, a pure function of the row and of the
+   collected table -- every plan branch computes the same chunks, with no cache or checkpoint;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
 2. chunk summaries: one row per chunk of a split key (count, first/last value, ...),
    aggregated map-side before the shuffle; rows of keys kept whole are not summarised;
