@@ -184,3 +184,26 @@ def test_ttl_boundary_gap_equal_to_ttl_expires(spark):
         assert expired == [] and shorter == []
         alive = count_window_average(df, "k", "v", order, n=2, ttl="10000001 microseconds", time_col="ts").collect()
         assert [(r.k, r.avg) for r in alive] == [(1, 4)]
+
+
+def test_async_lookup_respects_capacity(spark):
+    """With more threads than capacity, no task ever has more than ``capacity`` calls in flight."""
+    def counting_client():
+        import threading
+        lock = threading.Lock()
+        state = {"now": 0}
+
+        def call(key):
+            with lock:
+                state["now"] += 1
+                seen = state["now"]
+            time.sleep(0.05)
+            with lock:
+                state["now"] -= 1
+            return str(seen)
+        return call
+
+    df = spark.createDataFrame([(i, i) for i in range(40)], "event_id int, id int").coalesce(1)
+    res = async_lookup(df, "id", counting_client, timeout_ms=5000, capacity=3, workers=10).collect()
+    assert len(res) == 40
+    assert 2 <= max(int(r.info) for r in res) <= 3  # concurrent, and bounded
