@@ -97,13 +97,15 @@ def test_sequence_and_last_value(spark, rows):
 def test_buffered_groups_many_chunks(spark):
     rows = [(i, i % 3) for i in range(100)]
     df = spark.createDataFrame(rows, "id bigint, bucket int")
-    got = sorted((r.bucket, r.batch_no, r.id) for r in buffered_groups(df, "bucket", ["id"], 4, width=6).collect())
     want = []
     for b in range(3):
         ids = [i for i, bb in rows if bb == b]
         full = len(ids) // 4 * 4
         want += [(b, j // 4, ids[j]) for j in range(full)]
-    assert got == sorted(want)
+    for chunking in ({"width": 6}, {"chunk_rows": 5}, {}):
+        got = sorted((r.bucket, r.batch_no, r.id)
+                     for r in buffered_groups(df, "bucket", ["id"], 4, **chunking).collect())
+        assert got == sorted(want), chunking
 
 
 def test_null_keys_group_together(spark):
