@@ -70,4 +70,21 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (epochs + CASE WHEN more AND rest > 0 THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM x"""
 
-ORACLE_SQL = {"op5_quality_rules": OP5, "op7_mix_sources": OP7}
+OP1 = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM d),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^{SPACES}+', ''), '{SPACES}+$', ''),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT doc_id, line, pos, key IN (SELECT key FROM f) AS gone FROM k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+OP6 = rf"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '{SPACES}+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM d"""
+
+ORACLE_SQL = {"op1_line_dedup": OP1, "op6_exact_dedup": OP6, "op5_quality_rules": OP5, "op7_mix_sources": OP7}

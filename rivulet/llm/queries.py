@@ -11,6 +11,25 @@ from rivulet.session import configure
 from rivulet.sources.tables import read_table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.lines import apply_bitmaps, line_keep_bitmaps
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    bitmaps = line_keep_bitmaps(docs, min_docs=10, min_chars=1, keep_first=False)
+    return apply_bitmaps(docs, bitmaps).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.exact import exact_groups
+    return exact_groups(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.simhash import fingerprint_hex, simhash_groups
+    groups = simhash_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, max_bits=2)
+    return groups.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.quality import quality_rules
     return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
@@ -23,7 +42,8 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-BUILDERS = {f.__name__: f for f in (op5_quality_rules, op7_mix_sources)}
+BUILDERS = {f.__name__: f for f in (
+    op1_line_dedup, op5_quality_rules, op6_exact_dedup, op7_mix_sources, op9_simhash_near_dedup)}
 
 
 def _configured(fn):
