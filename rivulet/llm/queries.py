@@ -30,6 +30,15 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.common import shared_folder
+    from rivulet.llm.huffman import read_ids, write_ids
+    from rivulet.llm.units import tokenizer_settings
+    folder = shared_folder(spark, "token-ids")
+    write_ids(read_table(spark, sf_dir, "documents", "doc_id", "text"), folder, tokenizer_settings(tokenizer_path("word_bpe_49k.json")), end_id=2)
+    return read_ids(spark, folder).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.quality import quality_rules
     return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
@@ -42,8 +51,22 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.packing import pack_documents
+    from rivulet.llm.units import tokenizer_settings
+    packed = pack_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                            tokenizer_settings(tokenizer_path("byte_bpe_50k.json")), end_id=2, size=1024)
+    return packed.select("doc_id", "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 BUILDERS = {f.__name__: f for f in (
-    op1_line_dedup, op5_quality_rules, op6_exact_dedup, op7_mix_sources, op9_simhash_near_dedup)}
+    op1_line_dedup, op4_huffman_ids, op5_quality_rules, op6_exact_dedup, op7_mix_sources,
+    op9_simhash_near_dedup, op10_best_fit_packing)}
 
 
 def _configured(fn):
