@@ -30,6 +30,24 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.secrets import find_secrets
+    found = find_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    listed = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
+def op3_html_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.html import extract_text
+    return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.common import shared_folder
     from rivulet.llm.huffman import read_ids, write_ids
@@ -65,8 +83,8 @@ def tokenizer_path(name: str) -> str:
 
 
 BUILDERS = {f.__name__: f for f in (
-    op1_line_dedup, op4_huffman_ids, op5_quality_rules, op6_exact_dedup, op7_mix_sources,
-    op9_simhash_near_dedup, op10_best_fit_packing)}
+    op1_line_dedup, op2_secret_scan, op3_html_min_cut, op4_huffman_ids, op5_quality_rules,
+    op6_exact_dedup, op7_mix_sources, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 
 def _configured(fn):
