@@ -24,6 +24,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.substrings import kept_bytes, repeated_spans
+    found = repeated_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"), length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+                        removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                        F.sha2(kept_bytes(F.col("text"), F.col("spans")), 256).alias("kept_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.simhash import fingerprint_hex, simhash_groups
     groups = simhash_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, max_bits=2)
@@ -84,7 +93,7 @@ def tokenizer_path(name: str) -> str:
 
 BUILDERS = {f.__name__: f for f in (
     op1_line_dedup, op2_secret_scan, op3_html_min_cut, op4_huffman_ids, op5_quality_rules,
-    op6_exact_dedup, op7_mix_sources, op9_simhash_near_dedup, op10_best_fit_packing)}
+    op6_exact_dedup, op7_mix_sources, op8_suffix_dedup, op9_simhash_near_dedup, op10_best_fit_packing)}
 
 
 def _configured(fn):
