@@ -28,8 +28,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SPACE_CLASS, shared_folder, stored, text_or_empty
+from rivulet.llm.common import SPACE_CLASS, broadcast_below, shared_folder, stored, text_or_empty
 
+BROADCAST_ROWS = 100_000  # locators that are broadcast instead of shuffling the documents
 FILES_PER_TRIGGER = 1000  # digest files that one micro-batch takes
 
 
@@ -121,7 +122,9 @@ def _regroup(found: DataFrame, odd: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of a frame read straight from files that stay, with all their columns."""
-    gone = exact_groups(df, id_col, text).where(~F.col("kept")).select(F.col("file").alias("_gone_file"), F.col("row").alias("_gone_row"))
+    groups = exact_groups(df, id_col, text)
+    gone = stored(groups.where(~F.col("kept")).select(F.col("file").alias("_gone_file"), F.col("row").alias("_gone_row")), "exact-gone")
+    gone = broadcast_below(gone, BROADCAST_ROWS)
     placed = df.select("*", F.col("_metadata.file_path").alias("_dedup_file"), F.col("_metadata.row_index").alias("_dedup_row"))
     return placed.join(gone, (F.col("_dedup_file") == F.col("_gone_file")) & (F.col("_dedup_row") == F.col("_gone_row")),
                        "left_anti").drop("_dedup_file", "_dedup_row")

@@ -145,3 +145,14 @@ def quality_rules(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RUL
     out = measured(df, text).withColumn("base_failed", base_failed())
     out = out.withColumn("kept", ~F.col("base_failed") & verdict(rules))
     return out.drop(*[c for c in out.columns if c.startswith("_q_")])
+
+
+def kept_documents(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows that the rules keep, with the columns of ``df``.
+
+    A plain filter would be pushed below the projection with every measure written out in its
+    place, once per use; the row number in the projection stops that.
+    """
+    rows = quality_rules(df.withColumn("_document", F.struct("*")), text, rules).select(
+        F.col("kept").alias("_kept"), "_document", F.monotonically_increasing_id().alias("_row"))
+    return rows.where(F.col("_kept") & (F.col("_row") >= 0)).select("_document.*")
