@@ -46,3 +46,26 @@ def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a (stored, narrow) frame only if it is counted to hold at most ``rows`` rows;
     else leave the choice of join to Spark."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+FILTER_BITS = 1 << 26
+_PAGE = 4096 * 8  # bits of one bitmap that Spark's bitmap aggregate makes
+
+
+def bit_table(keys: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFrame:
+    """A bit set of fixed size over 64-bit keys: at most ``bits / 32768`` rows (page, bitmap) of
+    4 KB, so it may be broadcast whatever the number of keys."""
+    at = F.pmod(key, F.lit(bits)) + 1
+    return keys.select(at.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("_bit_page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("_bit_map"))
+
+
+def with_may_match(df: DataFrame, key: Column, table: DataFrame, out: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` plus ``out``: false only if the key is certainly not among the table's keys."""
+    at = F.pmod(key, F.lit(bits))
+    place = F.pmod(at, F.lit(_PAGE))
+    joined = df.withColumns({"_bit_own": F.floor(at / _PAGE) + 1, "_bit_at": place}).join(
+        F.broadcast(table), F.col("_bit_own") == F.col("_bit_page"), "left")
+    byte = F.conv(F.hex(F.substring("_bit_map", F.floor(F.col("_bit_at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, F.pmod(F.col("_bit_at"), F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
+    return joined.withColumn(out, F.coalesce(bit == 1, F.lit(False))).drop("_bit_own", "_bit_at", "_bit_page", "_bit_map")

@@ -24,7 +24,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SPACE_CHARS, row_digest, text_or_empty
+from rivulet.llm.common import SPACE_CHARS, bit_table, row_digest, stored, text_or_empty, with_may_match
 
 
 def line_key(line: Column) -> Column:
@@ -45,6 +45,7 @@ def line_keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     lines = lines.withColumn("line", line_key(F.col("line"))).where(F.length("line") >= min_chars)
     lines = lines.select("id", "text_hash", "n_lines", "pos", row_digest(F.col("line")).alias("k")).select(
         "id", "text_hash", "n_lines", "pos", F.col("k.a").alias("ka"), F.col("k.b").alias("kb"))
+    lines = stored(lines, "lines")  # narrow rows; the range sampling and both uses read these
 
     ranged = lines.repartitionByRange("ka", "kb", "id", "text_hash")
     in_doc = Window.partitionBy("ka", "kb", "id", "text_hash").orderBy("pos")
@@ -72,18 +73,23 @@ def keep_runs(dropped: Column, n: Column) -> Column:
 
 
 def apply_bitmaps(df: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` plus ``n_lines``, ``n_dropped`` and ``kept_text``; the texts move once, by id."""
+    """``df`` plus ``n_lines``, ``n_dropped`` and ``kept_text``.  Only texts that may lose a line
+    are moved to their bitmap (by document); a bit set of fixed size tells the others."""
+    bitmaps = stored(bitmaps, "line-bitmaps")
     marks = bitmaps.select(F.col(id_col).alias("_line_id"), F.col("text_hash").alias("_line_hash"),
                            F.struct("n_dropped", "keep_runs").alias("_line_mark"))
     source = text_or_empty(text)
-    rows = df.withColumn("_line_own", F.xxhash64(source))
-    out = rows.join(marks, rows[id_col].eqNullSafe(F.col("_line_id")) & (F.col("_line_own") == F.col("_line_hash")), "left")
+    rows = df.withColumns({"_line_own": F.xxhash64(source), "_line_all": F.split(source, "\n"), "_line_text": source})
+    rows = rows.withColumn("n_lines", F.size("_line_all").cast("bigint"))
+    rows = with_may_match(rows, F.col("_line_own"), bit_table(bitmaps, F.col("text_hash")), "_line_may")
+    moved = rows.where("_line_may").join(
+        marks, F.col(id_col).eqNullSafe(F.col("_line_id")) & (F.col("_line_own") == F.col("_line_hash")), "left")
     mark = F.col("_line_mark")
     kept = F.flatten(F.transform(mark["keep_runs"], lambda r: F.slice("_line_all", r["start"] + 1, r["length"])))
-    out = out.withColumns({"_line_all": F.split(source, "\n"), "_line_text": source})
-    out = out.withColumns({
-        "n_lines": F.size("_line_all").cast("bigint"),
+    moved = moved.withColumns({
         "n_dropped": F.coalesce(mark["n_dropped"], F.lit(0)).cast("bigint"),
         "kept_text": F.when(mark.isNull(), F.col("_line_text")).otherwise(F.array_join(kept, "\n")),
     })
-    return out.drop(*[c for c in out.columns if c.startswith("_line_")])
+    whole = rows.where(~F.col("_line_may")).withColumns({"n_dropped": F.lit(0).cast("bigint"), "kept_text": F.col("_line_text")})
+    columns = [c for c in df.columns if c not in ("n_lines", "n_dropped", "kept_text")] + ["n_lines", "n_dropped", "kept_text"]
+    return moved.select(*columns).union(whole.select(*columns))
