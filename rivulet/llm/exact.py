@@ -7,12 +7,12 @@
    row that stays (least id, then locator) and the group's size.  A restart resumes from the
    checkpoint; ``observe`` can also be pointed at an endless stream.
 3. The final state is read back as a table (``statestore`` source) and joined to the digest rows.
-4. Hits are checked on full bytes: texts of groups with a hit are joined to the text that their
-   locator names.  A text that differs in spite of its digest leaves the group and is grouped by
-   its bytes.
+4. Hits are checked on full bytes: of every group with a hit the least and the greatest text are
+   compared.  Should they differ in spite of the digest, the group is split by its bytes.  A bit
+   set of fixed size keeps texts without a hit out of this step.
 
 Only built-in functions run.  A group that holds a third of all rows is pre-aggregated map-side
-before the state, and its joins are on narrow rows or (step 4) split by AQE.
+before the state and in step 4; the join back is on narrow rows and split by AQE.
 
 Edge cases: a null text counts as empty; null ids order last (``keep_id`` is null only if the
 whole group has null ids); of rows that share text and id exactly one stays, decided by the
@@ -28,9 +28,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import SPACE_CLASS, broadcast_below, shared_folder, stored, text_or_empty
+from rivulet.llm.common import SPACE_CLASS, bit_table, broadcast_below, shared_folder, stored, text_or_empty, with_may_match
 
 BROADCAST_ROWS = 100_000  # locators that are broadcast instead of shuffling the documents
+# Close a partition's store once it has committed: an open one reserves several MB of local disk.
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 FILES_PER_TRIGGER = 1000  # digest files that one micro-batch takes
 
 
@@ -61,9 +63,12 @@ def observe(stream: DataFrame) -> DataFrame:
 def run_state(digests: str, schema, spark, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """Stream the stored digest rows through the state; the final state as a table."""
     place = shared_folder(spark, "exact-state")
+    before = spark.conf.get(UNLOAD)
+    spark.conf.set(UNLOAD, "true")  # read when the stream starts
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(digests)
     query = (observe(stream).writeStream.format("noop").outputMode("update").option("checkpointLocation", place)
              .trigger(availableNow=True).start())
+    spark.conf.set(UNLOAD, before)
     query.awaitTermination()
     state = spark.read.format("statestore").load(place)
     return state.select("key.digest", F.col("value")[_field(state, "min")].alias("stay"),
@@ -102,22 +107,20 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def _unequal(source: DataFrame, groups: DataFrame) -> DataFrame:
-    """Hits whose bytes differ from those at the retained locator."""
-    texts = source.join(groups.select("digest", "stay"), "digest")
-    at_locator = (F.col("file") == F.col("stay.file")) & (F.col("row") == F.col("stay.row"))
-    retained = texts.where(at_locator).select("digest", F.col("norm").alias("retained"))
-    return (texts.where(~at_locator).join(retained, "digest").where(F.col("norm") != F.col("retained"))
-            .select("id", "digest", "file", "row", "norm"))
+    """Rows whose digest stands for different bytes.  Per digest with a hit, the least and the
+    greatest text are compared byte for byte; they are found with map-side combine."""
+    key = F.xxhash64("digest")
+    hits = with_may_match(source, key, bit_table(groups.select("digest"), key), "_hit").where("_hit")
+    mixed = hits.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).where("a <> b").select("digest")
+    return hits.join(mixed, "digest").select("id", "digest", "file", "row", "norm")
 
 
 def _regroup(found: DataFrame, odd: DataFrame) -> DataFrame:
     stay = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     own = odd.groupBy("digest", "norm").agg(F.min(stay).alias("_stay"), F.count(F.lit(1)).alias("_n"))
     own = odd.join(own, ["digest", "norm"]).select("file", "row", "_stay", "_n")
-    less = odd.groupBy("digest").agg(F.count(F.lit(1)).alias("_less"))
-    out = found.join(own, ["file", "row"], "left").join(less, "digest", "left")
-    return (out.withColumn("n", F.coalesce("_n", F.col("n") - F.coalesce("_less", F.lit(0))))
-            .withColumn("stay", F.coalesce("_stay", "stay")).drop("_stay", "_n", "_less"))
+    out = found.join(own, ["file", "row"], "left")
+    return out.withColumn("n", F.coalesce("_n", "n")).withColumn("stay", F.coalesce("_stay", "stay")).drop("_stay", "_n")
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
