@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.units import encoder  # by name: its code is shipped with the functions that use it
+
 MAX_BITS = 18
 STRIDE = 512
 BLOCK_TOKENS = 1 << 17
@@ -45,7 +47,6 @@ def write_plain(df: DataFrame, path: str, settings: str, end_id: int, id_col: st
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from rivulet.llm.units import encoder
         encode, end = encoder(settings).encode, end_id.to_bytes(4, "little")
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for batch in batches:

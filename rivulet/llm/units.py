@@ -1,7 +1,7 @@
 """Token ids of whole texts by the ``tokenizers`` library, through a cache of text units.
 
-A text is cut at places that no token crosses, each distinct unit is encoded once per worker
-and the ids are joined as bytes.  Where a tokenizer allows that follows from its own settings:
+A text is cut at places that no token crosses; each distinct unit is encoded once per worker and
+the ids are joined as bytes.  Where a tokenizer allows that follows from its own settings:
 
 * ``words``: white space is dropped before words are matched (a Split of lower-cased text):
   units are the runs between ASCII white space;
@@ -10,37 +10,59 @@ and the ids are joined as bytes.  Where a tokenizer allows that follows from its
 * any other tokenizer: the whole text is one unit and nothing is cached.
 
 Letters followed by ASCII punctuation never share a token, so ``word,`` is composed of two
-cached pieces.  Both caches are emptied when they reach ``CACHE_LIMIT`` entries, which bounds
-the memory of a worker and cannot change a result.
+cached parts.  A run of letters is one word for the tokenizer's model, which is then asked
+directly; everything else goes through the whole tokenizer.  The caches are emptied when they
+reach ``CACHE_LIMIT`` entries, which bounds the memory of a worker and cannot change a result.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
-CACHE_LIMIT = 300_000
+CACHE_LIMIT = 600_000
+PUNCTUATION = b".,;:!?"
 # Letters up to U+024F: their case mapping and composed form are the same everywhere.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-_TAIL = re.compile(f"( ?[{_LETTERS}]+)([.,;:!?]+)")
-_WORD = re.compile(f"[{_LETTERS}]+")
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")  # without U+0130, whose lower case holds a mark
 _SPACE_AFTER_SPACE = re.compile(r"[\s\x1c-\x1f] ")
 _UNIT_START = re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
-_LINE_END = re.compile(r"(?<=[^\s\x1c-\x1f])(\n)(?=[^\s\x1c-\x1f])")
+_LINE_END = re.compile(r"(?<=[^\s\x1c-\x1f])\n(?=[^\s\x1c-\x1f])")
 
 
 def cut_rule(settings: dict) -> str:
     pre, norm = settings.get("pre_tokenizer") or {}, settings.get("normalizer") or {}
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
         return "spaces"
-    first = (pre.get("pretokenizers") or [{}])[0]
+    first, *rest = pre.get("pretokenizers") or [{}]
     kinds = [n.get("type") for n in norm.get("normalizers", [])]
     if kinds == ["NFC", "Replace", "Lowercase"] and first.get("type") == "Split" and first.get("invert") \
-            and first.get("behavior") == "Removed" and r"[^\s\p{L}\p{N}]+" in first["pattern"].get("Regex", ""):
+            and first.get("behavior") == "Removed" and r"[\p{L}]+" in first["pattern"].get("Regex", "") \
+            and [r.get("type") for r in rest] == ["ByteLevel"] and not rest[0].get("use_regex"):
         return "words"
     return "whole"
 
 
+def byte_letters() -> str:
+    """Byte-level tokenizers spell byte b as the b-th character of this string: printable Latin-1
+    stands for itself, the other bytes take the code points from 256 on in turn."""
+    plain = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    other = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(other)) for b in range(256))
+
+
+class _Units(dict):
+    """Unit -> ids; a missing unit is encoded on its first use."""
+
+    def __init__(self, owner: "UnitEncoder", prefix: bytes):
+        super().__init__()
+        self.owner, self.prefix = owner, prefix
+
+    def __missing__(self, unit: bytes) -> bytes:
+        ids = self[unit] = self.owner.unit_ids(self, unit)
+        return ids
+
+
 class UnitEncoder:
     def __init__(self, settings: str):
         import os
@@ -49,53 +71,53 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_str(settings)
         self.rule = cut_rule(json.loads(settings))
-        self.heads: dict[bytes, bytes] = {}  # units as they stand
-        self.tails: dict[bytes, bytes] = {}  # units after a space (rule "spaces")
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _split(self, unit: str) -> list[str]:
-        out = []
-        for part in _LINE_END.split(unit) if self.rule == "spaces" and "\n" in unit else (unit,):
-            m = _TAIL.fullmatch(part)
-            out += m.groups() if m else (part,)
-        return [p.lower() if _WORD.fullmatch(p) else p for p in out] if self.rule == "words" else out
-
-    def _learn(self, cache: dict[bytes, bytes], units: set[bytes], prefix: str) -> None:
-        missing = {u: self._split(prefix + u.decode()) for u in units.difference(cache)}
-        new = list({p for parts in missing.values() for p in parts if p not in self.pieces})
-        self.pieces.update(zip(new, self._ids(new)))
-        for u, parts in missing.items():
-            cache[u] = b"".join([self.pieces[p] for p in parts])
-
-    def _trim(self) -> None:
-        for cache in (self.heads, self.tails, self.pieces):
-            if len(cache) > CACHE_LIMIT:
-                cache.clear()
+        self.spelled = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
+        self.heads = _Units(self, b"")  # units as they stand
+        self.tails = _Units(self, b" ")  # units after a space (rule "spaces")
+
+    def _text_ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _word_ids(self, word: bytes) -> bytes:
+        spelling = word.decode("latin-1").translate(self.spelled)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelling)]).tobytes()
+
+    def unit_ids(self, known: _Units, unit: bytes) -> bytes:
+        core = unit.rstrip(PUNCTUATION)
+        if not core.isalpha() and not _WORD.fullmatch(core.decode()):  # of bytes: ASCII letters
+            return self._mixed_ids(known, unit)
+        lower = core.lower() if core.isascii() else core.decode().lower().encode()
+        if self.rule == "words" and lower != core:
+            ids = known[lower]
+        elif len(core) < len(unit):
+            ids = known[core]
+        else:
+            return self._word_ids(known.prefix + core)
+        return ids + self.heads[unit[len(core):]] if len(core) < len(unit) else ids
+
+    def _mixed_ids(self, known: _Units, unit: bytes) -> bytes:
+        text = (known.prefix + unit).decode()
+        if self.rule == "spaces" and "\n" in text:
+            parts = _LINE_END.split(text)
+            if len(parts) > 1:  # a line end between two words is a token of its own
+                first = known[parts[0].encode()[len(known.prefix):]]
+                return first + b"".join([self.heads[b"\n"] + self.heads[p.encode()] for p in parts[1:]])
+        return self._text_ids(text)
 
     def encode(self, raw: bytes) -> bytes:
         """Ids of one UTF-8 text as little-endian unsigned 32-bit integers."""
         if not raw:
             return b""
         if self.rule == "whole":
-            return self._ids([raw.decode()])[0]
-        self._trim()
+            return self._text_ids(raw.decode())
+        for cache in (self.heads, self.tails):
+            if len(cache) > CACHE_LIMIT:
+                cache.clear()
         if self.rule == "words":
-            units = raw.split()
-            self._learn(self.heads, set(units), "")
-            return b"".join(map(self.heads.__getitem__, units))
+            return b"".join(map(self.heads.__getitem__, raw.split()))
         if _spaced(raw):
-            text = raw.decode()
-            parts = [p.encode() for p in _UNIT_START.split(text)]
-            self._learn(self.heads, set(parts), "")
-            return b"".join(map(self.heads.__getitem__, parts))
+            return b"".join([self.heads[p.encode()] for p in _UNIT_START.split(raw.decode())])
         units = raw.split(b" ")
-        self._learn(self.heads, {units[0]}, "")
-        self._learn(self.tails, set(units[1:]), " ")
         return self.heads[units[0]] + b"".join(map(self.tails.__getitem__, units[1:]))
 
 
