@@ -25,13 +25,12 @@ def stable_bucket(cols: Sequence[str], buckets: int) -> Column:
 
 
 def buffered_groups(df: DataFrame, bucket: str, order: Sequence[str], threshold: int,
-                    out: str = "batch_no", width: int | None = None,
-                    chunk_rows: int | None = None) -> DataFrame:
-    """Rows that are delivered, with ``out`` = 0-based group number within their bucket."""
+                    out: str = "batch_no", chunk_rows: int | None = None) -> DataFrame:
+    """Rows that are delivered, with ``out`` = 0-based group number within their bucket.  Arrival
+    order is ascending with nulls first."""
     if threshold < 1:
         raise ValueError("threshold must be >= 1")
-    seq = drop_scan_columns(keyed_sequence(df, [bucket], order, total="_total", width=width,
-                                              chunk_rows=chunk_rows))
+    seq = drop_scan_columns(keyed_sequence(df, [bucket], order, total="_total", chunk_rows=chunk_rows))
     n = F.lit(threshold).cast("bigint")
     delivered = F.col("rn") <= F.call_function("div", F.col("_total"), n) * n  # integer math throughout
     return (seq.where(delivered)

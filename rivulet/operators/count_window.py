@@ -19,19 +19,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.parse import duration_us
-from rivulet.operators.keyed_scan import KEY, keyed_runs, keyed_sequence, running_breaks
+from rivulet.operators.keyed_scan import KEY, keyed_runs, keyed_sequence
 
 
 def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[str], n: int = 2,
                          ttl: str | None = None, time_col: str | None = None,
-                         out: str = "avg", width: int | None = None,
-                         chunk_rows: int | None = None) -> DataFrame:
+                         out: str = "avg", chunk_rows: int | None = None) -> DataFrame:
     """``(key, [run_no,] win_no, out)``: one row per complete window of ``n`` values.
 
     ``ttl`` (e.g. ``'1 second'``, ``'6 hours'``) with ``time_col`` (timestamp) applies state
     expiry on that clock: a value whose gap to the key's previous value is ``>= ttl`` finds the
-    state expired.  ``run_no`` (1-based) is then part of the output.  ``width`` / ``chunk_rows``
-    tune the hot-key splitting of ``keyed_scan`` (results do not depend on them).
+    state expired.  ``run_no`` (1-based) is then part of the output.  ``chunk_rows`` sets the row
+    target of the splitting of long keys (see ``keyed_scan``; results do not depend on it).
+
+    Order is ascending with nulls first.  A null value fails the query, as it fails the stream.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -41,21 +42,15 @@ def count_window_average(df: DataFrame, key: str, value: str, order: Sequence[st
     if time_col and time_col not in cols:
         cols.append(time_col)
     base = df.select(*cols)
+    checked = F.coalesce(F.col(value), F.raise_error(F.lit(f"null in {value}")).cast(df.schema[value].dataType))
+    base = base.withColumn(value, checked)
     if ttl is None:
-        seq = keyed_sequence(base, [key], order, width=width, chunk_rows=chunk_rows)
+        seq = keyed_sequence(base, [key], order, chunk_rows=chunk_rows)
         pos, runs = F.col("rn"), []
-    elif order[0] == time_col:
-        # time-ordered keys: runs from chunk summaries in one pass (see keyed_runs)
-        seq = keyed_runs(base, [key], order, duration_us(ttl), width=width, chunk_rows=chunk_rows)
-        pos, runs = F.col("run_rn"), ["run_no"]
     else:
-        seq = keyed_sequence(base, [key], order, prev=[time_col], width=width, chunk_rows=chunk_rows)
-        gap_expired = F.col(time_col) >= F.col("prev_" + time_col) + F.expr(f"INTERVAL {ttl}")
-        seq = seq.withColumn("_brk", F.col("prev_" + time_col).isNull() | gap_expired)
-        seq = running_breaks(seq, order, "_brk")
+        seq = keyed_runs(base, [key], order, time_col, duration_us(ttl), chunk_rows=chunk_rows)
         pos, runs = F.col("run_rn"), ["run_no"]
-    # Group by the scan's struct key: when no key was split the scan is hash-partitioned by it,
-    # so this aggregate needs no further shuffle.
+    # Windows may reach over a chunk's end, so they are summed by key: map-side combine first.
     windows = seq.withColumn("win_no", _int_div(pos - 1, F.lit(n)).cast("bigint"))
     agg = (windows.groupBy(KEY, *runs, "win_no")
            .agg(F.count(F.lit(1)).alias("_c"), F.sum(value).alias("_s")))

@@ -1,32 +1,33 @@
 """Skew-safe ordered scans within a key: position, total, previous value, runs, last value.
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task, so a key
-holding a third of the data makes one task read a third of the data.  Here such *hot* keys are
-cut into *chunks*, contiguous stretches of their order; every other key is one chunk.
-
-0. hot keys: keys holding more than ``total / P`` rows (P = shuffle partitions; never fewer
-   than ``MIN_CHUNK_ROWS``), found in a uniform sample of about 400 P rows -- so their table
-   (key, first order value, chunk width) has about 2P rows at most, a proven bound, and is
-   broadcast.  A hot key's chunk width is chosen from its estimated row count and span so that
-   a chunk holds about ``total / P`` rows:
-   ``chunk = floor((order value - first) / width)``, a pure function of the row and of the
-   collected table -- every plan branch computes the same chunks, with no cache or checkpoint;
+holding a third of the data makes one task read a third of the data.  Here long keys are cut into
+*chunks*, contiguous stretches of their order, of about ``chunk_rows`` rows each.
+
+0. boundaries: a uniform sample (``SAMPLES_PER_CHUNK`` rows per chunk) gives, for every key that
+   has more sampled rows than a chunk, the rows at every ``SAMPLES_PER_CHUNK``-th place of its
+   order.  They are quantiles, so chunks are even in *rows* however the values are spread.
+   Nothing runs while the query is built: the sampled pass is part of the plan.  The boundaries
+   are joined to the rows by broadcast in two levels (groups of ``FAN`` chunks, then chunks), so
+   a row is compared with about 2 * FAN of them at most; there are ``MAX_BOUNDARIES`` at most
+   (beyond that the chunks grow), a fixed bound on what is broadcast.  Only comparisons of
+   (key, order tuple) are made: any orderable type, no arithmetic on values, nulls included.
+   The chunk is a pure function of the row and the sample (fixed seed), so every branch of the
+   plan and every retry computes the same chunks;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
-2. chunk summaries: one row per chunk of a split key (count, first/last value, ...),
-   aggregated map-side before the shuffle; rows of keys kept whole are not summarised;
-3. carry: a window over a key's chunk summaries gives what earlier chunks contribute (rows
-   before, value of the previous row, runs before, ...);
-4. left-join the carry back on ``(key, chunk)`` (keys kept whole get the defaults: nothing
-   before them).  The big side is already hash-partitioned on those columns by step 1, so
-   only the carry moves (AQE broadcasts it when it is small).  When no key is split at all,
-   steps 2-4 are skipped and the window runs per key.
-
-Results are exact for any chunking; chunking only sets task sizes.  A fixed ``width`` (all keys
-chunked) can be forced, e.g. in tests.  The first order column must be a timestamp, date or
-integer for a hot key to be split (other types: one chunk).  Rows of one key sharing a single
-order value (a burst at one instant) fall in one chunk.  The key is carried as one struct column
-so that null key values group and join together.  Order columns must make the order within a
-key unique for deterministic positions.
+2. chunk summaries: one row per chunk of a split key (count, last value, runs, ...), from the rows
+   after the local window -- same partitioning, no further shuffle; rows of keys kept whole are
+   not summarised;
+3. carry: a window over a key's chunk summaries gives what earlier chunks contribute;
+4. the carry is left-joined back on ``(key, chunk)`` null-safely (keys kept whole get the
+   defaults: nothing before them).  The big side stays where it is; AQE broadcasts the small one.
+
+Results are exact for any chunking; chunking only sets task sizes.
+
+Order: ascending, **nulls first**, everywhere (windows, boundaries, chunk order).  A 64-bit hash of
+all columns breaks ties of the order columns, so positions are deterministic and a burst of rows
+at one instant can be split; rows equal in every column are interchangeable.  Keys are carried as
+one struct column so that null key values group and join together.
 """
 
 from __future__ import annotations
@@ -35,259 +36,190 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
 KEY = "_scan_key"
 CHUNK = "_scan_chunk"
 SPLIT = "_scan_split"  # the row's key is cut into several chunks (only those need a carry)
+ORDER = "_scan_order"  # the order tuple with the tie-break
 _BEFORE = Window.unboundedPreceding
 
-# Fixed value: below this many rows a key is never split (a chunk at least this large).
-MIN_CHUNK_ROWS = 100_000
-
-
-def _cols(cs) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
-def order_value(df: DataFrame, order_col: str) -> Column | None:
-    """A ``bigint`` monotone in ``order_col`` (epoch micros, epoch days, the integer), or None."""
-    dtype = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dtype, DateType):
-        return F.unix_date(c).cast("bigint")
-    if isinstance(dtype, IntegralType):
-        return c.cast("bigint")
-    return None
-
-
-# Fixed value: expected sampled rows of a key at the hot threshold (detection by sampling).
-SAMPLE_ROWS_PER_HOT_KEY = 400
-
-
-def hot_keys(keyed: DataFrame, value: Column, chunk_rows: int | None = None,
-             max_width: int | None = None) -> DataFrame | None:
-    """Broadcast ``(_hk, _hmin, _hw)``: the keys to split, their first order value and chunk
-    width -- or None when no key needs splitting.
-
-    Default: one row count; keys above ``max(total / P, MIN_CHUNK_ROWS)`` rows are found in a
-    uniform sample of about ``SAMPLE_ROWS_PER_HOT_KEY * P`` rows (a key at the threshold
-    expects that many sampled rows; keys with at least half of it are split -- at most about
-    2P keys).  Count and span of a split key are estimated from the sample: they only size the
-    chunks, and any chunking gives the same results.  With an explicit ``chunk_rows`` the
-    per-key counts are exact (no sampling)."""
-    spark = keyed.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if chunk_rows is None:
-        total = keyed.count()
-        if total <= MIN_CHUNK_ROWS:
-            return None
-        chunk_rows = max(-(-total // parts), MIN_CHUNK_ROWS)
-        fraction = min(1.0, SAMPLE_ROWS_PER_HOT_KEY * total / chunk_rows / total)
-        source, min_hits, scale = keyed.sample(fraction=fraction, seed=17), SAMPLE_ROWS_PER_HOT_KEY // 2, 1.0 / fraction
-    else:
-        source, min_hits, scale = keyed, chunk_rows + 1, 1.0
-    stats = (source.groupBy(KEY).agg(F.count(F.lit(1)).alias("_hits"), F.min(value).alias("_hmin"),
-                                     F.max(value).alias("_hmax"))
-             .where(F.col("_hits") >= min_hits))
-    est_rows = F.col("_hits") * F.lit(scale)
-    # span * rows-per-chunk / rows, in double: the product overflows a long for microsecond spans
-    span = (F.col("_hmax") - F.col("_hmin") + 1).cast("double")
-    width = F.greatest(F.lit(1).cast("bigint"), F.ceil(span * F.lit(float(chunk_rows)) / est_rows).cast("bigint"))
-    if max_width:
-        width = F.least(width, F.lit(max_width).cast("bigint"))
-    table = stats.select(F.col(KEY).alias("_hk"), "_hmin", width.alias("_hw"))
-    rows = table.collect()  # bounded: about 2P rows (sampled) or total / chunk_rows (exact)
-    if not rows:
-        return None
-    return F.broadcast(spark.createDataFrame(rows, table.schema))
-
-
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: int | None = None,
-            chunk_rows: int | None = None, max_width: int | None = None) -> tuple[DataFrame, bool]:
-    """``(frame, split)``: the frame with the struct key column and the chunk column (see module
-    doc); ``split`` is False when every key is a single chunk (no carry needed), else the frame
-    also flags the rows of split keys (``SPLIT``).  ``width``: fixed chunking of every key;
-    else hot keys only, sized by ``chunk_rows``.  ``max_width`` caps a chunk's span of the order
-    value."""
-    keyed = df.withColumn(KEY, F.struct(*keys))
-    value = order_value(df, order[0])
-    whole = keyed.withColumn(CHUNK, F.lit(0).cast("bigint"))
-    if value is None:
-        return whole, False
-    if width is not None:
-        w = min(width, max_width) if max_width else width
-        return keyed.withColumns({CHUNK: F.floor(value / w).cast("bigint"), SPLIT: F.lit(True)}), True
-    hot = hot_keys(keyed, value, chunk_rows, max_width)
-    if hot is None:
-        return whole, False
-    joined = keyed.join(hot, keyed[KEY] == hot["_hk"], "left")
-    off = value - F.col("_hmin")  # may be negative: the first value can come from a sample
-    chunk = F.when(F.col("_hw").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.call_function("div", off - F.pmod(off, F.col("_hw")), F.col("_hw")))  # exact floor division
-    return (joined.withColumns({CHUNK: chunk, SPLIT: F.col("_hw").isNotNull()})
-            .drop("_hk", "_hmin", "_hw"), True)
-
-
-def local_window(order: Sequence, split: bool = True) -> Window:
-    """Window within ``(key, chunk)``; by the key alone when no key is split, so that a later
-    grouping by the key (plus anything) reuses the same hash partitioning -- no new shuffle."""
-    parts = (KEY, CHUNK) if split else (KEY,)
-    return Window.partitionBy(*parts).orderBy(*_cols(order))
+#: Rows that one chunk of a long key holds on average (a task's worth).
+CHUNK_ROWS = 1_000_000
+#: Sampled rows per chunk: chunk sizes vary by about 1 / sqrt of it around the target.
+SAMPLES_PER_CHUNK = 100
+#: Chunks of a key that are looked up together.
+FAN = 128
+#: Boundaries of all keys together; with more of them the chunks grow instead.
+MAX_BOUNDARIES = FAN * FAN
+_SEED = 17
+
+
+def chunk_table(keyed: DataFrame, chunk_rows: int) -> DataFrame:
+    """``(_ck, _chunk, _lo, _hi)``: the chunks of every long key, from one sampled pass.  A chunk
+    holds the rows with ``_lo <= order < _hi`` (null: open end); at most MAX_BOUNDARIES + keys
+    rows, where a listed key has at least one boundary."""
+    fraction = min(1.0, SAMPLES_PER_CHUNK / chunk_rows)
+    step = max(1, round(chunk_rows * fraction))  # sampled rows per chunk
+    sample = keyed.select(KEY, ORDER)
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=_SEED)
+    ordered = Window.partitionBy(KEY).orderBy(ORDER)
+    sampled_rows = sample.agg(F.count(F.lit(1))).scalar()
+    stride = F.greatest(F.lit(step).cast("bigint"), F.ceil(sampled_rows / MAX_BOUNDARIES))
+    ranked = sample.withColumns({"_nth": F.row_number().over(ordered) - 1, "_hits": F.count(F.lit(1)).over(Window.partitionBy(KEY))})
+    marks = ranked.where((F.col("_hits") > step) & (F.col("_nth") > 0) & (F.col("_nth") % stride == 0))
+    marks = marks.withColumns({"_m": F.row_number().over(ordered), "_next": F.lead(ORDER).over(ordered)})
+    own = F.struct(F.col("_m").alias("_chunk"), F.col(ORDER).alias("_lo"), F.col("_next").alias("_hi"))
+    first = F.struct(F.lit(0).alias("_chunk"), F.when(F.lit(False), F.col(ORDER)).alias("_lo"), F.col(ORDER).alias("_hi"))
+    return marks.select(F.col(KEY).alias("_ck"), F.inline(F.when(F.col("_m") == 1, F.array(first, own)).otherwise(F.array(own))))
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
+    """``df`` with the struct key, the order tuple, the chunk and the flag of split keys."""
+    chunk_rows = CHUNK_ROWS if chunk_rows is None else chunk_rows
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be at least 1")
+    tie = F.xxhash64(*df.columns)
+    keyed = df.withColumns({KEY: F.struct(*keys), ORDER: F.struct(*[F.col(c) for c in order], tie.alias("_tie"))})
+    fine = chunk_table(keyed, chunk_rows).withColumn("_coarse", F.floor(F.col("_chunk") / FAN))
+    ends = Window.partitionBy("_ck").orderBy("_chunk")
+    coarse = fine.where(F.col("_chunk") % FAN == 0).select(
+        F.col("_ck").alias("_gk"), F.col("_coarse").alias("_group"), F.col("_lo").alias("_glo"), F.lead("_lo").over(ends).alias("_ghi"))
+    out = keyed.join(F.broadcast(coarse), (F.col(KEY) == F.col("_gk")) & _within("_glo", "_ghi"), "left").drop("_gk", "_glo", "_ghi")
+    out = out.join(F.broadcast(fine), (F.col(KEY) == F.col("_ck")) & (F.col("_group") == F.col("_coarse")) & _within("_lo", "_hi"), "left")
+    return out.withColumns({CHUNK: F.coalesce("_chunk", F.lit(0)).cast("bigint"), SPLIT: F.col("_chunk").isNotNull()}).drop(
+        "_group", "_coarse", "_ck", "_chunk", "_lo", "_hi")
+
+
+def _within(low: str, high: str) -> Column:
+    return (F.col(low).isNull() | (F.col(low) <= F.col(ORDER))) & (F.col(high).isNull() | (F.col(ORDER) < F.col(high)))
+
+
+def local_window() -> Window:
+    return Window.partitionBy(KEY, CHUNK).orderBy(ORDER)
 
 
 def _chunk_window() -> Window:
     return Window.partitionBy(KEY).orderBy(CHUNK)
 
 
-def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rn",
+def _summary(local: DataFrame, *aggs: Column) -> DataFrame:
+    return local.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(*aggs)
+
+
+def _with_carry(local: DataFrame, carry: DataFrame) -> DataFrame:
+    """Left join on (key, chunk); a struct key is never null, so null key values meet."""
+    names = [c for c in carry.columns if c not in (KEY, CHUNK)]
+    carry = carry.select(F.col(KEY).alias("_ck"), F.col(CHUNK).alias("_cc"), *names)
+    joined = local.join(carry, local[KEY].eqNullSafe(F.col("_ck")) & (local[CHUNK] == F.col("_cc")), "left")
+    return joined.drop("_ck", "_cc")
+
+
+def keyed_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
                    total: str | None = None, prev: Sequence[str] = (), prev_prefix: str = "prev_",
-                   width: int | None = None, chunk_rows: int | None = None) -> DataFrame:
-    """Add ``out``: 1-based position of the row within its key in ``order`` (ties must be broken
-    by ``order``), ``total``: rows of the key, and ``prev_<c>``: ``c`` on the key's previous row.
+                   chunk_rows: int | None = None) -> DataFrame:
+    """Add ``out``: 1-based position of the row within its key, ``total``: rows of the key, and
+    ``prev_<c>``: ``c`` on the key's previous row.
 
-    The result keeps the internal ``KEY`` / ``CHUNK`` columns so that a further scan
-    (``running_breaks``) can reuse the same chunks and partitioning; call
-    ``drop_scan_columns`` when done.
+    The result keeps the internal scan columns so that a further scan (``running_breaks``) can
+    reuse the same chunks and partitioning; call ``drop_scan_columns`` when done.
     """
-    rows, split = chunked(df, keys, order, width, chunk_rows)
-    lw = local_window(order, split)
-    local = rows.withColumn("_lrn", F.row_number().over(lw))
+    lw = local_window()
+    local = chunked(df, keys, order, chunk_rows).withColumn("_lrn", F.row_number().over(lw))
     for c in prev:
         local = local.withColumn(f"_lag_{c}", F.lag(c).over(lw))
-    if not split:  # every key is one chunk: the per-key window is the whole answer
-        out_df = local.withColumnRenamed("_lrn", out)
-        for c in prev:
-            out_df = out_df.withColumnRenamed(f"_lag_{c}", prev_prefix + c)
-        if total:
-            out_df = out_df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(KEY)))
-        return out_df
-
-    summary_aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in prev:
-        # The chunk's last value.  For the leading order column that is its max, a fixed-width
-        # hash aggregate; other columns need max_by over the order struct (a sort aggregate).
-        last = F.max(c) if c == order[0] else F.max_by(c, F.struct(*_cols(order)))
-        summary_aggs.append(last.alias(f"_last_{c}"))
-    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(*summary_aggs)
+    if total:
+        local = local.withColumn("_lcount", F.count(F.lit(1)).over(Window.partitionBy(KEY, CHUNK)))
+    last = [F.max_by(F.struct(*prev), ORDER).alias("_last")] if prev else []
     cw = _chunk_window()
-    carry = summary.withColumn(
+    carry = _summary(local, F.count(F.lit(1)).alias("_n"), *last).withColumn(
         "_before", F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)))
-    for c in prev:
-        carry = carry.withColumn(f"_carry_{c}", F.lag(f"_last_{c}").over(cw))
     if total:
         carry = carry.withColumn("_ctotal", F.sum("_n").over(Window.partitionBy(KEY)))
-        local = local.withColumn("_lcount", F.count(F.lit(1)).over(Window.partitionBy(KEY, CHUNK)))
-    carry = carry.drop("_n", *[f"_last_{c}" for c in prev])
-
-    # keys kept whole have no summary row: left join, nothing before them
-    out_df = (local.join(carry, [KEY, CHUNK], "left")
-              .withColumn(out, F.col("_lrn") + F.coalesce(F.col("_before"), F.lit(0))))
+    if prev:
+        carry = carry.withColumn("_carry", F.lag("_last").over(cw)).drop("_last")
+    found = _with_carry(local, carry.drop("_n"))
+    found = found.withColumn(out, F.col("_lrn") + F.coalesce("_before", F.lit(0)))
     if total:
-        out_df = out_df.withColumn(total, F.coalesce(F.col("_ctotal"), F.col("_lcount"))).drop("_ctotal", "_lcount")
+        found = found.withColumn(total, F.coalesce("_ctotal", "_lcount")).drop("_ctotal", "_lcount")
     for c in prev:
-        out_df = out_df.withColumn(
-            prev_prefix + c, F.when(F.col("_lrn") == 1, F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")))
-    drop = ["_lrn", "_before"] + [f"_lag_{c}" for c in prev] + [f"_carry_{c}" for c in prev]
-    return out_df.drop(*drop)
+        found = found.withColumn(prev_prefix + c, F.when(F.col("_lrn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}")))
+    return found.drop("_lrn", "_before", "_carry", *[f"_lag_{c}" for c in prev])
 
 
-def running_breaks(df: DataFrame, order: Sequence, brk: str, rn: str = "rn",
-                   run_out: str = "run_no", pos_out: str = "run_rn") -> DataFrame:
+def running_breaks(df: DataFrame, brk: str, rn: str = "rn", run_out: str = "run_no", pos_out: str = "run_rn") -> DataFrame:
     """On a ``keyed_sequence`` result with a boolean column ``brk`` (a run starts at this row):
     ``run_out`` = number of breaks up to and including the row (1-based run number when the
     key's first row is a break) and ``pos_out`` = 1-based position of the row inside its run.
     Reuses the chunks and partitioning of the previous scan."""
-    split = SPLIT in df.columns
-    lw = local_window(order, split).rowsBetween(_BEFORE, 0)
-    b = F.col(brk).cast("int")
-    local = (df.withColumn("_lruns", F.sum(b).over(lw))
-             .withColumn("_llast", F.max(F.when(F.col(brk), F.col(rn))).over(lw)))
-    if not split:  # one chunk per key: the local running values are the answer
-        out = (local.withColumnRenamed("_lruns", run_out)
-               .withColumn(pos_out, F.col(rn) - F.col("_llast") + 1))
-        return out.drop("_llast")
-    summary = (df.where(F.col(SPLIT)).groupBy(KEY, CHUNK)
-               .agg(F.sum(b).alias("_b"), F.max(F.when(F.col(brk), F.col(rn))).alias("_lb")))
-    cw = _chunk_window().rowsBetween(_BEFORE, -1)
-    carry = (summary.withColumn("_b_before", F.coalesce(F.sum("_b").over(cw), F.lit(0)))
-             .withColumn("_lb_before", F.max("_lb").over(cw)).drop("_b", "_lb"))
-    out = local.join(carry, [KEY, CHUNK], "left")
-    out = (out.withColumn(run_out, F.coalesce(F.col("_b_before"), F.lit(0)) + F.col("_lruns"))
-           .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_llast"), F.col("_lb_before")) + 1))
-    return out.drop("_lruns", "_llast", "_b_before", "_lb_before")
+    upto = local_window().rowsBetween(_BEFORE, 0)
+    local = df.withColumns({"_lruns": F.sum(F.col(brk).cast("bigint")).over(upto),
+                            "_lstart": F.max(F.when(F.col(brk), F.col(rn))).over(upto)})
+    earlier = _chunk_window().rowsBetween(_BEFORE, -1)
+    carry = _summary(local, F.max("_lruns").alias("_runs"), F.max("_lstart").alias("_start"))
+    carry = carry.select(KEY, CHUNK, F.sum("_runs").over(earlier).alias("_cruns"), F.max("_start").over(earlier).alias("_cstart"))
+    found = _with_carry(local, carry)
+    return found.withColumns({run_out: F.coalesce("_cruns", F.lit(0)) + F.col("_lruns"),
+                              pos_out: F.col(rn) - F.coalesce("_lstart", "_cstart") + 1}).drop("_lruns", "_lstart", "_cruns", "_cstart")
+
+
+def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col: str, gap_us: int, rn: str = "rn",
+               run_out: str = "run_no", pos_out: str = "run_rn", chunk_rows: int | None = None) -> DataFrame:
+    """Positions plus gap-separated runs: a run starts at a key's first row and at every row whose
+    gap to the key's previous row on ``time_col`` (a timestamp) is at least ``gap_us``
+    microseconds; a row after one without a time starts a run too.
+    Adds ``rn``, ``run_out`` (1-based) and ``pos_out`` (1-based position in the run).
+
+    Breaks after a chunk's first row are found by the local window; whether the first row starts
+    a run is decided by the carry (last time of the chunk before).  Chunks do not depend on the
+    gap, however short it is.
+    """
+    lw = local_window()
+    upto = lw.rowsBetween(_BEFORE, 0)
+    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    local = chunked(df, keys, order, chunk_rows).withColumns({"_t": t, "_lrn": F.row_number().over(lw)})
+    local = local.withColumn("_lag", F.lag("_t").over(lw))
+    local = local.withColumn("_brk", (F.col("_lrn") > 1) & _run_starts(F.col("_lag"), F.col("_t"), gap_us))
+    local = local.withColumns({"_lruns": F.sum(F.col("_brk").cast("bigint")).over(upto),
+                               "_lstart": F.max(F.when(F.col("_brk"), F.col("_lrn"))).over(upto)})
+    ends = F.struct(ORDER, "_t")
+    carry = _summary(local, F.count(F.lit(1)).alias("_n"), F.max("_lruns").alias("_b"), F.max("_lstart").alias("_s"),
+                     F.min(ends).alias("_first"), F.max(ends).alias("_last"))
+    cw = _chunk_window()
+    carry = carry.withColumns({
+        "_before": F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)),
+        "_prev": F.lag("_last").over(cw)})
+    carry = carry.withColumn("_cbrk", F.col("_prev").isNull() | _run_starts(F.col("_prev._t"), F.col("_first._t"), gap_us))
+    own = F.when(F.col("_cbrk"), F.col("_before") + 1)  # where a run that starts the chunk begins
+    carry = carry.withColumns({
+        "_cruns": F.sum(F.col("_cbrk").cast("bigint")).over(cw.rowsBetween(_BEFORE, 0))
+        + F.coalesce(F.sum("_b").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)),
+        "_cstart": F.coalesce(own, F.max(F.coalesce(F.col("_s") + F.col("_before"), own)).over(cw.rowsBetween(_BEFORE, -1)))})
+    found = _with_carry(local, carry.select(KEY, CHUNK, "_before", "_cruns", "_cstart"))
+    before, runs, start = (F.coalesce(c, F.lit(d)) for c, d in (("_before", 0), ("_cruns", 1), ("_cstart", 1)))
+    found = found.withColumns({rn: F.col("_lrn") + before, run_out: runs + F.col("_lruns"),
+                               pos_out: F.col("_lrn") + before - F.coalesce(F.col("_lstart") + before, start) + 1})
+    return found.drop("_t", "_lrn", "_lag", "_brk", "_lruns", "_lstart", "_before", "_cruns", "_cstart")
+
+
+def _run_starts(before: Column, here: Column, gap_us: int) -> Column:
+    """Does a row at ``here`` after one at ``before`` start a run?  (SQL: ``lag IS NULL OR t >= lag +
+    gap``, unknown counts as no.)"""
+    return F.coalesce(before.isNull() | (here - before >= gap_us), F.lit(False))
 
 
 def drop_scan_columns(df: DataFrame) -> DataFrame:
-    return df.drop(KEY, CHUNK, SPLIT)
+    return df.drop(KEY, CHUNK, SPLIT, ORDER)
 
 
 def keyed_last_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                     out: str, width: int | None = None, chunk_rows: int | None = None) -> DataFrame:
-    """Add ``out``: the last non-null ``value`` of the key at or before each row in ``order``
+                     out: str, chunk_rows: int | None = None) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` of the key at or before each row
     (``last(value, ignorenulls)`` over a running frame), computed skew-safe by chunks."""
-    rows, split = chunked(df, keys, order, width, chunk_rows)
-    lw = local_window(order, split)
-    local = rows.withColumn("_llast", F.last(value, ignorenulls=True).over(lw.rowsBetween(_BEFORE, 0)))
-    if not split:
-        return drop_scan_columns(local.withColumnRenamed("_llast", out))
-    ordered = F.when(F.col(value).isNotNull(), F.struct(*_cols(order)))
-    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(F.max_by(value, ordered).alias("_clast"))
-    carry = (summary.withColumn("_carry", F.last("_clast", ignorenulls=True)
-                                .over(_chunk_window().rowsBetween(_BEFORE, -1)))
-             .drop("_clast"))
-    out_df = (local.join(carry, [KEY, CHUNK], "left")
-              .withColumn(out, F.coalesce(F.col("_llast"), F.col("_carry"))))
-    return drop_scan_columns(out_df.drop("_llast", "_carry"))
-
-
-def keyed_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_us: int, rn: str = "rn",
-               run_out: str = "run_no", pos_out: str = "run_rn", width: int | None = None,
-               chunk_rows: int | None = None) -> DataFrame:
-    """Positions plus gap-separated runs in one pass: a run starts at a key's first row and at
-    every row whose gap to the key's previous row (on ``order[0]``, a timestamp) is at least
-    ``gap_us`` microseconds.  Adds ``rn``, ``run_out`` (1-based) and ``pos_out`` (1-based
-    position in the run).
-
-    A split key's chunks span at most ``gap_us``: two rows of such a chunk are closer than the
-    gap, so its runs can only start at a chunk's first row, which the chunk summaries (first
-    and last time, count -- fixed-width hash aggregates) decide.  A key kept whole has one
-    chunk, and the local window finds its run starts.
-    """
-    rows, split = chunked(df, keys, order, width, chunk_rows, max_width=gap_us)
-    lw = local_window(order, split)
-    t = F.unix_micros(F.col(order[0]).cast("timestamp"))
-    lag_t = F.lag(t).over(lw)
-    inner_brk = lag_t.isNotNull() & (t - lag_t >= gap_us)  # a run start after a chunk's first row
-    upto = lw.rowsBetween(_BEFORE, 0)
-    local = (rows.withColumn("_lrn", F.row_number().over(lw))
-             .withColumn("_ibrk", inner_brk))
-    local = (local.withColumn("_lruns", F.sum(F.col("_ibrk").cast("bigint")).over(upto))
-             .withColumn("_lstart", F.max(F.when(F.col("_ibrk"), F.col("_lrn"))).over(upto)))
-    if not split:  # one chunk per key: its first row starts run 1
-        out = (local.withColumnRenamed("_lrn", rn)
-               .withColumn(run_out, F.col("_lruns") + 1)
-               .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart"), F.lit(1)) + 1))
-        return out.drop("_ibrk", "_lruns", "_lstart")
-    summary = rows.where(F.col(SPLIT)).groupBy(KEY, CHUNK).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(t).alias("_first"), F.max(t).alias("_last"))
-    cw = _chunk_window()
-    cupto = cw.rowsBetween(_BEFORE, 0)
-    carry = (summary
-             .withColumn("_before", F.coalesce(F.sum("_n").over(cw.rowsBetween(_BEFORE, -1)), F.lit(0)))
-             .withColumn("_prev_last", F.lag("_last").over(cw))
-             .withColumn("_cbrk", F.col("_prev_last").isNull() | (F.col("_first") - F.col("_prev_last") >= gap_us)))
-    carry = (carry.withColumn("_cruns", F.sum(F.col("_cbrk").cast("bigint")).over(cupto))
-             .withColumn("_cstart", F.max(F.when(F.col("_cbrk"), F.col("_before") + 1)).over(cupto))
-             .select(KEY, CHUNK, "_before", "_cruns", "_cstart"))
-    # keys kept whole have no summary row: nothing before them, their first row starts run 1
-    out = (local.join(carry, [KEY, CHUNK], "left")
-           .withColumns({"_before": F.coalesce(F.col("_before"), F.lit(0)),
-                         "_cruns": F.coalesce(F.col("_cruns"), F.lit(1)),
-                         "_cstart": F.coalesce(F.col("_cstart"), F.lit(1))}))
-    out = out.withColumn(rn, F.col("_lrn") + F.col("_before"))
-    out = (out.withColumn(run_out, F.col("_cruns") + F.col("_lruns"))
-           .withColumn(pos_out, F.col(rn) - F.coalesce(F.col("_lstart") + F.col("_before"), F.col("_cstart")) + 1))
-    return out.drop("_lrn", "_ibrk", "_lruns", "_lstart", "_before", "_cruns", "_cstart")
+    lw = local_window().rowsBetween(_BEFORE, 0)
+    local = chunked(df, keys, order, chunk_rows).withColumn("_llast", F.last(value, ignorenulls=True).over(lw))
+    summary = _summary(local, F.max_by(value, F.when(F.col(value).isNotNull(), F.col(ORDER))).alias("_clast"))
+    earlier = _chunk_window().rowsBetween(_BEFORE, -1)
+    carry = summary.select(KEY, CHUNK, F.last("_clast", ignorenulls=True).over(earlier).alias("_carry"))
+    found = _with_carry(local, carry)
+    return drop_scan_columns(found.withColumn(out, F.coalesce("_llast", "_carry")).drop("_llast", "_carry"))

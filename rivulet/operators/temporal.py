@@ -3,7 +3,7 @@ version time is at or before the probe time.
 
 Written as one ordered scan instead of a range join: probes and versions are unioned, ordered
 per key by (time, versions before probes), and every probe takes the last version seen so far
-(``keyed_last_value``, skew-safe by time chunks).  No pair of rows is ever formed beyond the
+(``keyed_last_value``, skew-safe by chunks).  No pair of rows is ever formed beyond the
 one match per probe, and one shuffle of the union does the work.
 """
 
@@ -19,13 +19,14 @@ from rivulet.operators.keyed_scan import keyed_last_value
 
 def asof_join(probe: DataFrame, versions: DataFrame, keys: Sequence[str], probe_time: str,
               version_time: str, version_cols: Sequence[str], how: str = "inner",
-              prefix: str = "version_", width: int | None = None,
+              prefix: str = "version_", null_keys_equal: bool = False,
               chunk_rows: int | None = None) -> DataFrame:
     """``probe`` columns plus ``prefix + c`` for each of ``version_cols`` of the matching version.
 
     ``how='inner'`` drops probes without a version (the temporal-join default); ``'left'``
     keeps them with nulls.  Versions sharing one time are ordered by their columns, so the
-    largest wins (deterministic).  Key equality treats nulls as equal.
+    largest wins (deterministic).  As in SQL (``p.k = v.k AND p.ts >= v.ts``) a null time on
+    either side and a null key match nothing; ``null_keys_equal`` lets null keys match each other.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -36,11 +37,17 @@ def asof_join(probe: DataFrame, versions: DataFrame, keys: Sequence[str], probe_
                      pstruct.alias("_p"), F.lit(None).cast(vstruct_type(versions, version_cols, prefix)).alias("_v"))
     v = versions.select(*[F.col(k) for k in keys], F.col(version_time).alias("_t"), F.lit(0).alias("_tag"),
                         F.lit(None).cast(p.schema["_p"].dataType).alias("_p"), vstruct.alias("_v"))
-    both = p.unionByName(v)
-    scanned = keyed_last_value(both, keys, ["_t", "_tag", "_v"], "_v", "_match", width, chunk_rows)
-    probes = scanned.where(F.col("_tag") == 1)
+    can_match = F.col("_t").isNotNull()
+    if not null_keys_equal:
+        for k in keys:
+            can_match = can_match & F.col(k).isNotNull()
+    both = p.where(can_match).unionByName(v.where(can_match))
+    scanned = keyed_last_value(both, keys, ["_t", "_tag", "_v"], "_v", "_match", chunk_rows)
+    probes = scanned.where(F.col("_tag") == 1).select("_p", "_match")
     if how == "inner":
         probes = probes.where(F.col("_match").isNotNull())
+    else:
+        probes = probes.unionByName(p.where(~can_match).select("_p", F.col("_v").alias("_match")))
     return probes.select("_p.*", *[F.col("_match." + prefix + c).alias(prefix + c) for c in version_cols])
 
 

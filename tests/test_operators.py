@@ -1,5 +1,5 @@
 """Operators against plain (single-task) window formulations on random inputs, with tiny chunk
-widths so that every key spans many chunks; plus the enrichment and as-of join contracts."""
+targets so that every key spans many chunks; plus the enrichment and as-of join contracts."""
 
 import random
 import time
@@ -48,7 +48,7 @@ def _count_window_model(rows, n, ttl=None):
     return out
 
 
-@given(ROWS, st.integers(1, 3), st.sampled_from([{"width": 7}, {"chunk_rows": 3}, {}]))
+@given(ROWS, st.integers(1, 3), st.sampled_from([{"chunk_rows": 1}, {"chunk_rows": 3}, {}]))
 @SETTINGS
 def test_count_window_matches_model(spark, rows, n, chunking):
     df = _frame(spark, rows)
@@ -63,16 +63,15 @@ def test_count_window_matches_model(spark, rows, n, chunking):
 def test_count_window_ttl_matches_model(spark, rows, ttl):
     df = _frame(spark, rows).withColumn("ts", F.timestamp_seconds("t"))
     data = [tuple(r)[:3] for r in df.collect()]
-    res = count_window_average(df, "k", "v", ["t"], n=2, ttl=f"{ttl} seconds", time_col="ts", width=7)
+    res = count_window_average(df, "k", "v", ["t"], n=2, ttl=f"{ttl} seconds", time_col="ts", chunk_rows=4)
     got = sorted((r.k, r.run_no, r.win_no, r.avg) for r in res.collect())
     assert got == sorted(_count_window_model(data, 2, ttl))
 
 
-@given(ROWS, st.integers(5, 40), st.sampled_from([{"width": 3_000_000}, {"width": 60_000_000},
-                                                   {"chunk_rows": 2}, {"chunk_rows": 5}, {}]))
+@given(ROWS, st.integers(5, 40), st.sampled_from([{"chunk_rows": 1}, {"chunk_rows": 2}, {"chunk_rows": 5}, {}]))
 @SETTINGS
 def test_count_window_ttl_one_pass_matches_model(spark, rows, ttl, chunking):
-    """Time-ordered keys take the one-pass path (chunk width capped at the TTL)."""
+    """Keys ordered by the time the TTL looks at."""
     df = _frame(spark, rows).withColumn("ts", F.timestamp_seconds("t"))
     data = [tuple(r)[:3] for r in df.collect()]
     res = count_window_average(df, "k", "v", ["ts", "t"], n=2, ttl=f"{ttl} seconds", time_col="ts", **chunking)
@@ -89,7 +88,7 @@ def test_sequence_and_last_value(spark, rows):
                      F.lag("v").over(w).alias("prev_v"),
                      F.last("x", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("lx"))
     seq = drop_scan_columns(keyed_sequence(df, ["k"], ["t"], total="tot", prev=["v"], chunk_rows=3))
-    got = keyed_last_value(seq, ["k"], ["t"], "x", "lx", width=3)
+    got = keyed_last_value(seq, ["k"], ["t"], "x", "lx", chunk_rows=2)
     cols = ["k", "t", "rn", "tot", "prev_v", "lx"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
 
@@ -102,7 +101,7 @@ def test_buffered_groups_many_chunks(spark):
         ids = [i for i, bb in rows if bb == b]
         full = len(ids) // 4 * 4
         want += [(b, j // 4, ids[j]) for j in range(full)]
-    for chunking in ({"width": 6}, {"chunk_rows": 5}, {}):
+    for chunking in ({"chunk_rows": 1}, {"chunk_rows": 5}, {}):
         got = sorted((r.bucket, r.batch_no, r.id)
                      for r in buffered_groups(df, "bucket", ["id"], 4, **chunking).collect())
         assert got == sorted(want), chunking
@@ -110,7 +109,7 @@ def test_buffered_groups_many_chunks(spark):
 
 def test_null_keys_group_together(spark):
     df = spark.createDataFrame([(None, 1, 10), (None, 2, 20), (1, 3, 5), (1, 4, 7)], "k int, t bigint, v bigint")
-    got = sorted((r.k if r.k is not None else -1, r.avg) for r in count_window_average(df, "k", "v", ["t"], width=1).collect())
+    got = sorted((r.k if r.k is not None else -1, r.avg) for r in count_window_average(df, "k", "v", ["t"], chunk_rows=1).collect())
     assert got == [(-1, 15), (1, 6)]
 
 
@@ -147,10 +146,29 @@ def test_asof_join_inner_and_left(spark):
     versions = spark.createDataFrame([("a", 5, "v5"), ("a", 12, "v12"), ("b", 2, "b2"), (None, 6, "n6")],
                                      "k string, t int, val string")
     inner = asof_join(probe, versions, ["k"], "t", "t", ["val"], chunk_rows=1)
-    assert sorted((r.pid, r.version_val) for r in inner.collect()) == [(1, "v5"), (2, "v5"), (4, "v12"), (5, "n6")]
+    assert sorted((r.pid, r.version_val) for r in inner.collect()) == [(1, "v5"), (2, "v5"), (4, "v12")]
     left = asof_join(probe, versions, ["k"], "t", "t", ["val"], how="left")
     assert sorted((r.pid, r.version_val) for r in left.collect()) == [
-        (1, "v5"), (2, "v5"), (3, None), (4, "v12"), (5, "n6")]
+        (1, "v5"), (2, "v5"), (3, None), (4, "v12"), (5, None)]
+    nulls = asof_join(probe, versions, ["k"], "t", "t", ["val"], null_keys_equal=True)
+    assert {r.pid: r.version_val for r in nulls.collect()}[5] == "n6"
+
+
+def test_asof_join_null_times_match_nothing(spark):
+    """The rules of ``ASOF JOIN ... ON p.k = v.k AND p.t >= v.t``."""
+    import duckdb
+    probe, versions = [(1, "a", 5), (2, "a", None), (3, None, 9), (4, "c", 9)], [("a", None, "vn"), (None, 1, "nk"), ("a", 4, "v4")]
+    p, v = spark.createDataFrame(probe, "pid int, k string, t int"), spark.createDataFrame(versions, "k string, t int, val string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (pid INT, k VARCHAR, t INT)")
+    con.execute("CREATE TABLE v (k VARCHAR, t INT, val VARCHAR)")
+    con.executemany("INSERT INTO p VALUES (?, ?, ?)", probe)
+    con.executemany("INSERT INTO v VALUES (?, ?, ?)", versions)
+    for how, sql in (("inner", "ASOF JOIN"), ("left", "ASOF LEFT JOIN")):
+        want = con.execute(f"SELECT pid, val FROM p {sql} v ON p.k = v.k AND p.t >= v.t").fetchall()
+        for rows in (1, 1000):
+            got = asof_join(p, v, ["k"], "t", "t", ["val"], how=how, chunk_rows=rows).collect()
+            assert sorted((r.pid, r.version_val) for r in got) == sorted(want)
 
 
 def test_lookup_above_broadcast_cap_uses_shuffle_join(spark):
@@ -209,3 +227,26 @@ def test_async_lookup_respects_capacity(spark):
     res = async_lookup(df, "id", counting_client, timeout_ms=5000, capacity=3, workers=10).collect()
     assert len(res) == 40
     assert 2 <= max(int(r.info) for r in res) <= 3  # concurrent, and bounded
+
+
+def test_split_path_equals_whole_path_on_nulls_strings_and_hashes(spark):
+    """Null order values come first, text and 64-bit hashes order like numbers, ties are stable."""
+    rows = [(i % 2, None if i % 7 == 0 else f"t{i * 37 % 100:03d}", i) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, s string, v bigint").withColumn("h", F.xxhash64("v"))
+    for order in (["s", "v"], ["h"], ["s"]):
+        whole = sorted(map(tuple, drop_scan_columns(keyed_sequence(df, ["k"], order, total="n", prev=["v"])).collect()), key=str)
+        split = sorted(map(tuple, drop_scan_columns(keyed_sequence(df, ["k"], order, total="n", prev=["v"], chunk_rows=5)).collect()), key=str)
+        assert whole == split
+        delivered = [sorted(map(tuple, buffered_groups(df, "k", order, 7, chunk_rows=c).collect()), key=str) for c in (5, None)]
+        assert delivered[0] == delivered[1] and len(delivered[0]) == 2 * (60 // 7 * 7)
+    timed = df.withColumn("ts", F.when(F.col("v") % 5 != 0, F.timestamp_seconds("v")))
+    runs = [sorted(map(tuple, count_window_average(timed, "k", "v", ["ts", "v"], n=2, ttl="3 seconds", time_col="ts",
+                                                   chunk_rows=c).collect())) for c in (4, None)]
+    assert runs[0] == runs[1] and runs[0]
+
+
+def test_null_value_fails_a_count_window(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 1, 3), (1, 2, None)], "k int, t int, v bigint")
+    with pytest.raises(Exception, match="null in v"):
+        count_window_average(df, "k", "v", ["t"]).collect()

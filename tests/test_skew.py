@@ -1,11 +1,10 @@
-"""A key holding a third of all rows: the default (automatic) path must detect it, split it into
-several chunks, and still give the same answer as a plain per-key window."""
+"""A key holding a third of all rows must be found, split into chunks of about the row target, and still give the same answer as a plain per-key window."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rivulet.operators.count_window import count_window_average
-from rivulet.operators.keyed_scan import CHUNK, KEY, MIN_CHUNK_ROWS, chunked
+from rivulet.operators.keyed_scan import CHUNK, KEY, SPLIT, chunked, keyed_runs
 
 COPIES = 40
 
@@ -21,21 +20,44 @@ def _skewed(spark):
         F.floor("value").cast("bigint").alias("v"))
 
 
+CHUNK_TARGET = 10_000
+
+
+def _largest_chunk(df, order):
+    frame = chunked(df, ["user_id"], order, CHUNK_TARGET)
+    counts = frame.groupBy(KEY, CHUNK, SPLIT).count()
+    return counts.agg(F.max("count")).first()[0], counts.where(SPLIT).count()
+
+
 def test_hot_key_detected_and_split(spark):
     df = _skewed(spark)
-    frame, split = chunked(df, ["user_id"], ["ts", "event_id"])
-    assert split
     hot_rows = df.where(F.col("user_id") == 0).count()
-    target = max(df.count() // int(spark.conf.get("spark.sql.shuffle.partitions")), MIN_CHUNK_ROWS)
-    chunks = frame.where(F.col("user_id") == 0).select(CHUNK).distinct().count()
-    assert chunks >= -(-hot_rows // target) >= 2
-    biggest = frame.groupBy(KEY, CHUNK).count().agg(F.max("count")).first()[0]
-    assert biggest <= 1.25 * target and biggest < hot_rows
+    largest, chunks = _largest_chunk(df, ["ts", "event_id"])
+    assert largest <= 2 * CHUNK_TARGET
+    assert hot_rows / (2 * CHUNK_TARGET) <= chunks <= 2 * hot_rows / CHUNK_TARGET
+
+
+def test_chunks_are_even_in_rows_however_the_times_are_spread(spark):
+    """98 % of a hot key's rows in one hour of a year, and one far-off time; text and hash order."""
+    rows = spark.range(200_000).select(
+        F.lit(0).alias("user_id"), F.col("id").alias("event_id"),
+        F.when(F.col("id") == 7, F.lit(4_000_000_000)).when(F.col("id") % 50 == 0, F.col("id") * 157)
+        .otherwise(1_000_000 + F.col("id") % 3600).cast("bigint").alias("t"))
+    for order in (["t", "event_id"], ["t"]):
+        assert _largest_chunk(rows, order)[0] <= 2 * CHUNK_TARGET
+    assert _largest_chunk(rows.withColumn("s", F.sha1(F.col("event_id").cast("string"))), ["s"])[0] <= 2 * CHUNK_TARGET
+    assert _largest_chunk(rows.withColumn("h", F.xxhash64("event_id")), ["h"])[0] <= 2 * CHUNK_TARGET
+
+
+def test_chunks_do_not_depend_on_the_ttl(spark):
+    df = _skewed(spark).withColumn("key", F.lit(0))
+    got = keyed_runs(df, ["key"], ["ts", "event_id"], "ts", 1_000_000, chunk_rows=CHUNK_TARGET)
+    assert got.select(CHUNK).distinct().count() <= 2 * df.count() / CHUNK_TARGET
 
 
 def test_hot_key_result_equals_plain_window(spark):
     df = _skewed(spark)
-    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2)
+    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2, chunk_rows=CHUNK_TARGET)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = (df.withColumn("win_no", F.floor((F.row_number().over(w) - 1) / 2).cast("bigint"))
              .groupBy("user_id", "win_no").agg(F.count(F.lit(1)).alias("c"), F.sum("v").alias("s"))
@@ -46,7 +68,8 @@ def test_hot_key_result_equals_plain_window(spark):
 
 def test_hot_key_ttl_runs_equal_plain_window(spark):
     df = _skewed(spark)
-    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2, ttl="1 hour", time_col="ts")
+    got = count_window_average(df, "user_id", "v", ["ts", "event_id"], n=2, ttl="1 hour", time_col="ts",
+                               chunk_rows=CHUNK_TARGET)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     brk = F.lag("ts").over(w).isNull() | (F.col("ts") >= F.lag("ts").over(w) + F.expr("INTERVAL 1 HOUR"))
     runs = (df.withColumn("brk", brk.cast("bigint"))
