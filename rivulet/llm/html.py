@@ -48,8 +48,9 @@ NAME_SCORE = {w: -12 for w in (
     "login form search comment comments commentlist disqus reply replies respond discussion share sharing social breadcrumb "
     "breadcrumbs pagination pager related recommended teaser toolbar masthead topbar bottombar copyright disclaimer skip"
 ).split()} | {"header": -8, "head": -4} | {w: 4 for w in "article content post entry story body main text".split()}
+LAYOUT_WORDS = frozenset("wrap wrapper container layout".split())
 TITLE_INSIDE = -1  # a header within the article holds its title
-LINK_WEIGHT, LENGTH_WEIGHT, PARAGRAPH, HEADING, BIAS = -5.0, 0.9, 0.8, 0.3, -2.2
+LINK_WEIGHT, LENGTH_WEIGHT, PARAGRAPH, HEADING, BIAS = -5.0, 0.9, 0.8, 1.5, -2.2
 SMOOTH = 1.2  # capacity between neighbours that are siblings
 
 
@@ -134,18 +135,35 @@ def _score(tag: str, attrs: dict, stack: list) -> float:
     score += ROLE_SCORE.get((attrs.get("role") or "").lower(), 0)
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
         score -= 12
+    if tag in ("html", "body"):
+        return score  # their names describe the whole page
     names = {p.lower() for p in _NAME_PARTS.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
     found = [NAME_SCORE[n] for n in names if n in NAME_SCORE]
+    if names & LAYOUT_WORDS and max(found, default=0) > 0 or names & {"has", "with", "no"}:
+        found = [s for s in found if s > 0]  # a frame around the content and something else
     if inside or max(found, default=0) > 0:
         found = [TITLE_INSIDE if s in (-8, -4) else s for s in found]
     return score + min(found, default=0) + (max(found, default=0) if min(found, default=0) >= TITLE_INSIDE else 0)
 
 
+def ancestry_score(scores: list[float]) -> float:
+    """Outermost ancestor first: a strong word against content wins over what stands around it, and
+    nothing within it speaks for content any more (an advert in an article, an article in a sidebar)."""
+    total = 0.0
+    for s in scores:
+        if s <= -4:
+            total = min(total, 0.0) + s
+        elif s < 0:
+            total += s
+        elif total >= TITLE_INSIDE:
+            total = max(total, s)
+    return total
+
+
 def block_score(block: Block) -> float:
     """Log odds of content: ancestors, share of linked text, length, own tag."""
-    scores = [s for _, _, s in block.path]
     n = len(block.text)
-    return (BIAS + sum(s for s in scores if s < 0) + max([0.0, *scores]) + LINK_WEIGHT * min(1.0, block.linked / n)
+    return (BIAS + ancestry_score([s for _, _, s in block.path]) + LINK_WEIGHT * min(1.0, block.linked / n)
             + LENGTH_WEIGHT * min(4.0, math.log(n) - 1) + PARAGRAPH * (block.tag in ("p", "pre", "blockquote"))
             + HEADING * (block.tag[0] == "h" and block.tag[1:].isdigit()))
 
