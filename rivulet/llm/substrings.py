@@ -43,7 +43,8 @@ from rivulet.llm.common import row_digest, stored, text_or_empty
 
 WINDOW = 300  # start positions of which one is sampled
 GRAM = 8  # bytes that the sampling hash looks at
-MAX_BUCKET = 4096  # representatives that one task refines together
+MAX_BUCKET = 4096  # representatives of a bucket up to which one task refines it
+BATCH = 1024  # members that are spelled out at a time
 FILTER_BITS = 1 << 26
 _CHUNK = 1 << 22  # positions sampled at a time (positions take 24 bits of a sampling key)
 
@@ -72,6 +73,13 @@ def anchors(raw: bytes, length: int, window: int):
     return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: what a step makes of one is held in memory at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _signed(values):
     import numpy as np
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64), pa.int64())
@@ -91,7 +99,7 @@ def anchor_rows(texts: DataFrame, length: int, window: int, wanted=None, with_co
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from xxhash import xxh64_intdigest as digest
-        for batch in batches:
+        for batch in _slices(batches, BATCH):
             c, e, ta, tb, start, pos, stop = [], [], [], [], [], [], []
             a_all, b_all = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for i, raw in enumerate(batch.column(0).to_pylist()):
@@ -157,16 +165,17 @@ def contexts(texts: DataFrame, length: int, window: int) -> DataFrame:
     """``texts(text, ta, tb, wanted: array<struct<c, n, pos>>)`` -> the surroundings of each."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in batches:
+        names = [f.split()[0] for f in _CONTEXTS.split(", ")]
+        for batch in _slices(batches, 64):
             rows = []
             for raw, a, b, want in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 for w in want:
                     p = w["pos"]
                     s = max(0, p - window + 1)
                     rows.append((w["c"], w["n"], a, b, p, p - s, raw[s:p + length]))
-            columns = zip(*rows) if rows else [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)],
-                                             names=[f.split()[0] for f in _CONTEXTS.split(", ")])
+            for at in range(0, len(rows), BATCH):
+                columns = zip(*rows[at:at + BATCH])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=names)
 
     return texts.select("text", "ta", "tb", "wanted").mapInArrow(cut, _CONTEXTS)
 
@@ -197,7 +206,7 @@ def string_ids(raws: list[bytes], leads, length: int, window: int):
             break
         level = joined(level[:, :-size], level[:, size:])
         size *= 2
-    return ids[:, ::-1], valid  # column p of ``ids`` starts p bytes after the earliest start
+    return np.ascontiguousarray(ids[:, ::-1]), valid  # column p of ``ids`` starts p bytes after the earliest start
 
 
 def refine(rows: DataFrame, length: int, window: int) -> DataFrame:
@@ -209,7 +218,8 @@ def refine(rows: DataFrame, length: int, window: int) -> DataFrame:
         import numpy as np
 
         def spans(c, n, a, b, pos, lead, raws):
-            ids, valid = string_ids(raws, lead, length, window)
+            parts = [string_ids(raws[i:i + BATCH], lead[i:i + BATCH], length, window) for i in range(0, len(raws), BATCH)]
+            ids, valid = (np.concatenate(p) for p in zip(*parts))
             c = np.array(c, dtype=np.int64)
             shared = np.zeros(valid.shape, dtype=bool)
             for d in range(window):
@@ -229,13 +239,16 @@ def refine(rows: DataFrame, length: int, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=["ta", "tb", "start", "stop"])
 
         held: list[list] = [[] for _ in range(7)]
-        for batch in batches:
+        for batch in _slices(batches, BATCH):
             for column, values in zip(held, (batch.column(i).to_pylist() for i in range(7))):
                 column += values
-            while len(held[0]) > 2 * MAX_BUCKET:  # whole buckets only; the last one may go on
-                cut = 2 * MAX_BUCKET
-                while cut and held[0][cut - 1] == held[0][cut]:
-                    cut -= 1
+            while len(held[0]) > BATCH and held[0][0] != held[0][-1]:  # whole buckets only
+                cut = BATCH
+                while cut < len(held[0]) and held[0][cut - 1] == held[0][cut]:
+                    cut += 1
+                if cut == len(held[0]):  # the last one may go on
+                    while held[0][cut - 1] == held[0][-1]:
+                        cut -= 1
                 yield spans(*(x[:cut] for x in held))
                 held = [x[cut:] for x in held]
         if held[0]:
@@ -250,15 +263,14 @@ def refine_large(rows: DataFrame, length: int, window: int) -> DataFrame:
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                c, n, a, b, pos, lead, raws = (x.to_pylist() for x in batch.slice(at, 1024).columns)
-                ids, valid = string_ids(raws, lead, length, window)
-                i, d = np.nonzero(valid)
-                take = lambda x: pa.array(np.array(x, dtype=np.int64)[i])
-                yield pa.RecordBatch.from_arrays(
-                    [take(c), pa.array(ids[i, d].view(np.int64)), take(n), take(a), take(b),
-                     pa.array((np.array(pos)[i] - d).astype(np.int32))], names=["c", "id", "n", "ta", "tb", "start"])
+        for batch in _slices(batches, BATCH):
+            c, n, a, b, pos, lead, raws = (x.to_pylist() for x in batch.columns)
+            ids, valid = string_ids(raws, lead, length, window)
+            i, d = np.nonzero(valid)
+            take = lambda x: pa.array(np.array(x, dtype=np.int64)[i])
+            yield pa.RecordBatch.from_arrays(
+                [take(c), pa.array(ids[i, d].view(np.int64)), take(n), take(a), take(b),
+                 pa.array((np.array(pos)[i] - d).astype(np.int32))], names=["c", "id", "n", "ta", "tb", "start"])
 
     strings = rows.mapInArrow(spell, shape)
     repeated = strings.groupBy("c", "id").agg(F.sum("n").alias("times")).where("times > 1")
