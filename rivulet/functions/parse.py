@@ -10,7 +10,7 @@ from rivulet.functions.text import java_split
 # Fixed value: the text layout of an action time, ``yyyy-MM-dd HH:mm:ss`` (UTC wall clock).
 ACTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
+_INT_TEXT = r"\A[+-]?[0-9]+\z"  # \z: a final line end is not allowed either
 
 
 def _col(c) -> Column:

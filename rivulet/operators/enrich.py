@@ -3,12 +3,12 @@
 * ``lookup_json``: the set-based form.  The lookup table is cut to one row per key first (a
   partial + final aggregate, so duplicate or hot keys cost nothing extra), then left-joined to
   the input: exactly one output per input row.  The cut table is broadcast when its measured
-  row count is under the cap (``sizing.broadcast_if_small``) -- the input is then never
-  shuffled; above the cap it is a shuffle join whose skewed partitions AQE splits.  Works on a
-  streaming input too (stream-static join).
-* ``async_lookup``: a call per distinct key to an external client, concurrently from each
-  task, with a per-call timeout and a bound on calls in flight; results are joined back, so
-  again one output per input row.  Output order is not kept.
+  bytes are under the limit (``sizing.broadcast_if_small``) -- the input is then never
+  shuffled; above it Spark chooses the join and splits skew.  On a stream the table is joined
+  without a hint, so that each micro-batch's own plan decides.
+* ``async_lookup``: a call per distinct key to an external client, concurrently from a set
+  number of tasks, with a per-call timeout and a bound on calls in flight; results are joined
+  back, so again one output per input row.  Output order is not kept.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ def lookup_json(df: DataFrame, key_col: str, table: DataFrame, table_key: str, f
     """Add ``out``: compact JSON ``{"f1":...,"f2":...}`` of the key's first table row (null
     fields kept as ``null``), or the literal ``miss`` when the key has no row."""
     dim = first_per_key(table, table_key, fields, order).withColumnRenamed(table_key, "_dk")
-    dim, _ = broadcast_if_small(dim)
+    if not df.isStreaming:
+        dim, _ = broadcast_if_small(dim)
     joined = df.join(dim, df[key_col] == dim["_dk"], "left")
     return joined.select(*[df[c] for c in df.columns],
                          json_or(F.col("_rec"), F.col("_dk").isNotNull(), miss).alias(out))
@@ -52,18 +53,20 @@ def lookup_or_timeout(df: DataFrame, key_col: str, table: DataFrame, table_key:
 
 # --- bounded concurrent calls -----------------------------------------------------------------
 
-def _call_batches(batches, key_col: str, out: str, client_factory: Callable, timeout_s: float,
+def _call_batches(batches, out_schema, client_factory: Callable, timeout_s: float,
                   capacity: int, workers: int, timeout_value: str):
-    """Per task: one client, one thread pool; per Arrow batch: one call per distinct key, at
-    most ``capacity`` in flight, each answered or timed out ``timeout_s`` after submission."""
-    import pandas as pd
+    """Per task: one client, one thread pool; per Arrow batch (key in column 0): one call per
+    distinct non-null key, as a plain Python value, at most ``capacity`` in flight, each answered
+    or timed out ``timeout_s`` after submission.  A null key is never sent; its answer is null."""
+    import pyarrow as pa
 
     client = client_factory()
     pool = ThreadPoolExecutor(max_workers=workers)
     try:
-        for pdf in batches:
-            keys = list(pd.unique(pdf[key_col]))
-            answers: dict = {}
+        for batch in batches:
+            asked = batch.column("_async_key").to_pylist()
+            keys = list(dict.fromkeys(k for k in asked if k is not None))
+            answers: dict = {None: None}
             inflight: dict = {}
             nxt = 0
             while nxt < len(keys) or inflight:
@@ -81,7 +84,9 @@ def _call_batches(batches, key_col: str, out: str, client_factory: Callable, tim
                     if deadline <= now:  # abandoned: a Python thread cannot be stopped
                         inflight.pop(fut)
                         answers[key] = timeout_value
-            yield pdf.assign(**{out: pdf[key_col].map(answers).astype(object)})
+            columns = [batch.column(n) for n in batch.schema.names if n != "_async_key"]
+            columns.append(pa.array([answers[k] for k in asked], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=out_schema)
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
         close = getattr(client, "close", None)
@@ -91,48 +96,38 @@ def _call_batches(batches, key_col: str, out: str, client_factory: Callable, tim
 
 def async_lookup(df: DataFrame, key_col: str, client_factory: Callable[[], Callable], out: str = "info",
                  timeout_ms: int = 1000, capacity: int = 100, workers: int = 30,
-                 timeout_value: str = "timeout") -> DataFrame:
-    """Add ``out`` = ``client(key)`` (a string).
+                 timeout_value: str = "timeout", tasks: int | None = None) -> DataFrame:
+    """Add ``out`` = ``client(key)`` (a string); null for a null key, which is never sent.
 
     ``client_factory`` runs once per task (open a connection there) and returns a callable;
-    a ``close()`` on it is called at the end.  Per task at most ``capacity`` calls are in
-    flight on ``workers`` threads; a call not answered ``timeout_ms`` after submission yields
-    ``timeout_value``.  A timed-out call is abandoned, not stopped (Python threads cannot be
-    killed): it keeps its worker thread until it returns, so size ``workers`` above the number
-    of calls expected to hang.
-
-    Batch input: the service is called once per distinct key; the answers are checkpointed to
-    the shared checkpoint folder (so retries of later stages never call the service again) and
-    joined back -- broadcast when their measured count is under the cap, so the input is not
-    shuffled.  Streaming input: each micro-batch is handled in place (stateless), one call per
-    distinct key of each Arrow batch.
+    a ``close()`` on it is called at the end.  Keys arrive as plain Python values of their
+    column's type.  Per task at most ``capacity`` calls are in flight on ``workers`` threads; a
+    call not answered ``timeout_ms`` after submission yields ``timeout_value``.  A timed-out
+    call is abandoned, not stopped (Python threads cannot be killed): it keeps its worker thread
+    until it returns, so size ``workers`` above the number of calls expected to hang.
+
+    Batch input: the service is called once per distinct key, from ``tasks`` tasks (default: the
+    shuffle partitions; a fixed number, so AQE does not merge the few bytes of keys into one),
+    and the answers are joined back.  Nothing runs before the result is used.  The answers are
+    part of the plan: a retry of a later stage reads their shuffle, and calls again only for
+    lost tasks.  Streaming input: each micro-batch is handled in place (stateless), one call
+    per distinct key of each Arrow batch.
     """
-    from rivulet.session import checkpoint_root
+    key = F.col(key_col)
 
-    key_type = df.schema[key_col].dataType.simpleString()
-
-    def run(batches):
-        return _call_batches(batches, key_col, out, client_factory, timeout_ms / 1000.0,
-                             capacity, workers, timeout_value)
+    def run_with(names):
+        def run(batches):
+            return _call_batches(batches, names, client_factory, timeout_ms / 1000.0, capacity, workers, timeout_value)
+        return run
 
     if df.isStreaming:
-        return df.mapInPandas(run, StructType(df.schema.fields + [StructField(out, StringType())]))
-
-    checkpoint_root(df.sparkSession)  # the cluster's shared folder (set only when unset)
-    keys = df.select(key_col).distinct()
-    answers = keys.mapInPandas(run, f"{key_col} {key_type}, {out} string").checkpoint(eager=True)
-    answers, _ = broadcast_if_small(answers.withColumnRenamed(key_col, "_ak"))
-    joined = df.join(answers, df[key_col].eqNullSafe(answers["_ak"]), "left")
-    return joined.select(*[df[c] for c in df.columns], F.col(out))
-
-
-class DigestClient:
-    """A stand-in remote service: answers the MD5 hex digest of the key's decimal text."""
-
-    def __call__(self, key) -> str:
-        import hashlib
-        return hashlib.md5(str(key).encode()).hexdigest()
-
-
-def digest_client() -> DigestClient:
-    return DigestClient()
+        names = [*df.columns, out]
+        shape = StructType(df.schema.fields + [StructField(out, StringType())])
+        return df.withColumn("_async_key", key).mapInArrow(run_with(names), shape)
+
+    n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.where(key.isNotNull()).select(key.alias("_ak")).distinct().repartition(n, "_ak")
+    answer_shape = StructType([StructField("_ak", df.schema[key_col].dataType), StructField(out, StringType())])
+    answers = keys.withColumn("_async_key", F.col("_ak")).mapInArrow(run_with(["_ak", out]), answer_shape)
+    joined = df.join(answers, df[key_col] == answers["_ak"], "left")
+    return joined.select(*[df[c] for c in df.columns], answers[out])

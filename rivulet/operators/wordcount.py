@@ -25,6 +25,6 @@ def word_pairs(lines: DataFrame, value_col: str = "value", keep: tuple[str, ...]
 
 
 def word_totals(pairs: DataFrame, out: str = "n") -> DataFrame:
-    """``(word, n)``: sum of the ones per word, int.  Map-side partial aggregation makes a very
+    """``(word, n)``: sum of the ones per word, bigint (a total over all windows outgrows int).  Map-side partial aggregation makes a very
     frequent word cost one row per task before the shuffle, so hot words do not skew it."""
-    return pairs.groupBy("word").agg(F.sum("n").cast("int").alias(out))
+    return pairs.groupBy("word").agg(F.sum("n").alias(out))

@@ -1,21 +1,23 @@
-"""Enrichment and as-of join queries: J1 lookup_first_json, J2 lookup_or_timeout, J3 async_enrich,
-J4 temporal_join."""
+"""Enrichment and as-of join queries: J1 lookup_first_json, J2 lookup_or_timeout, J4 temporal_join.
+
+J3 (concurrent calls to a service) is library code, ``operators.enrich.async_lookup``: a query over
+given tables has no service to call, and its set-based form is J1."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.operators.enrich import async_lookup, digest_client, lookup_json, lookup_or_timeout
+from rivulet.operators.enrich import lookup_json, lookup_or_timeout
 from rivulet.operators.temporal import asof_join
-from rivulet.plans.registry import register
+from rivulet.plans.registry import SKEW_CHUNK_ROWS, SQL_SKEWED_USER, register
 from rivulet.sources.tables import read_table
 
-# Lookup table ("employees"): customers of segment BUILDING; lastName = customer name,
-# firstName = nation name.  Input ids: events.user_id.
+# Lookup table ("employees"): all suppliers; lastName = supplier name, firstName = nation name.
+# Input ids: events.user_id, which run beyond the supplier keys, so some find no row.
 SQL_EMPLOYEES = (
-    "SELECT c_custkey AS employee_number, c_name AS lastName, n_name AS firstName "
-    "FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'"
+    "SELECT s_suppkey AS employee_number, s_name AS lastName, n_name AS firstName "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey"
 )
 
 
@@ -31,12 +33,10 @@ def _lookup_sql(miss: str) -> str:
 
 
 def _employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return (cust.where(F.col("c_mktsegment") == "BUILDING")
-            .join(nation, cust["c_nationkey"] == nation["n_nationkey"])
-            .select(F.col("c_custkey").alias("employee_number"), F.col("c_name").alias("lastName"),
-                    F.col("n_name").alias("firstName")))
+    return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
+        F.col("s_suppkey").alias("employee_number"), F.col("s_name").alias("lastName"), F.col("n_name").alias("firstName"))
 
 
 def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,22 +58,28 @@ def lookup_or_timeout_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                              ["lastName", "firstName"])
 
 
-@register("async_enrich",
-          "SELECT event_id, CAST(user_id AS INTEGER) AS id, md5(CAST(user_id AS VARCHAR)) AS info FROM events")
-def async_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Concurrent per-key calls (timeout 1000 ms, capacity 100, 30 threads) to a digest
-    service; one output per input row."""
-    return async_lookup(_ids(spark, sf_dir), "id", digest_client, timeout_ms=1000, capacity=100, workers=30)
+_TEMPORAL_SQL = (
+    "SELECT p.event_id, p.user_id, p.ts, v.event_id AS version_event_id, v.value AS version_value "
+    "FROM (SELECT event_id, {user} AS user_id, ts FROM events WHERE event_type = 'purchase') AS p "
+    "ASOF JOIN (SELECT event_id, {user} AS user_id, ts, value FROM events WHERE event_type = 'signup') AS v "
+    "ON p.user_id = v.user_id AND p.ts >= v.ts")
 
 
-@register("temporal_join",
-          "SELECT p.event_id, p.user_id, p.ts, v.event_id AS version_event_id, v.value AS version_value "
-          "FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') AS p "
-          "ASOF JOIN (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'signup') AS v "
-          "ON p.user_id = v.user_id AND p.ts >= v.ts")
-def temporal_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each purchase joined to the user's latest signup at or before it (inner)."""
+def _temporal(spark: SparkSession, sf_dir: str, user: str = "user_id", chunk_rows: int | None = None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type", "value")
+    ev = ev.withColumn("user_id", F.expr(user))
     probe = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     versions = ev.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts", "value")
-    return asof_join(probe, versions, ["user_id"], "ts", "ts", ["event_id", "value"])
+    return asof_join(probe, versions, ["user_id"], "ts", "ts", ["event_id", "value"], chunk_rows=chunk_rows)
+
+
+@register("temporal_join", _TEMPORAL_SQL.format(user="user_id"))
+def temporal_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase joined to the user's latest signup at or before it (inner)."""
+    return _temporal(spark, sf_dir)
+
+
+@register("temporal_join_split", _TEMPORAL_SQL.format(user=SQL_SKEWED_USER))
+def temporal_join_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 with a third of all events on one user, whose rows are split (row target 500)."""
+    return _temporal(spark, sf_dir, SQL_SKEWED_USER, chunk_rows=SKEW_CHUNK_ROWS)

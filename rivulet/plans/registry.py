@@ -79,3 +79,8 @@ SQL_DOC_WORDS = (
     f"SELECT doc_id, line_no, w.word_no, w.word FROM ({SQL_DOC_LINES}) AS lines, "
     f"unnest({sql_java_split('value')}) WITH ORDINALITY AS w(word, word_no)"
 )
+
+# A third of all events on one user (the same expression in Spark SQL and in DuckDB), and the row
+# target that splits that user's rows on the smallest tables already.
+SQL_SKEWED_USER = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id + 1 END"
+SKEW_CHUNK_ROWS = 500

@@ -10,13 +10,13 @@ from rivulet.operators.wordcount import split_words, word_pairs, word_totals
 from rivulet.plans.registry import (
     SQL_ACTION_LINES, SQL_DOC_LINES, SQL_DOC_WORDS, SQL_USER_ACTIONS, register,
 )
-from rivulet.sources.tables import read_table, spread
+from rivulet.sources.tables import read_table
 from rivulet.sources.text import document_lines
 from rivulet.sources.user_actions import action_lines_from_events, user_actions_from_events
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_lines(spread(read_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id"))
+    return document_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 @register("src_text_lines", SQL_DOC_LINES)
@@ -32,7 +32,7 @@ def word_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("word_count_total",
-          f"SELECT word, CAST(count(*) AS INTEGER) AS n FROM ({SQL_DOC_WORDS}) AS w GROUP BY word")
+          f"SELECT word, count(*) AS n FROM ({SQL_DOC_WORDS}) AS w GROUP BY word")
 def word_count_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 with the windows summed away: total (word, 1) pairs per word over all documents."""
     return word_totals(word_pairs(_lines(spark, sf_dir)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,13 +61,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for streaming checkpoints and lineage cuts (``DataFrame.checkpoint``).
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there) or the
-    context's checkpoint dir.  Only when neither is set -- a local test run -- a folder under the
-    system temp dir is chosen.  The folder is also registered with the context when the context
-    does not have it yet, so ``DataFrame.checkpoint()`` can use it.
+    context's checkpoint dir.  When neither is set, a run within one process (master ``local``, as
+    in tests) gets a folder under the system temp dir; on a cluster that is an error, as
+    executors do not share the driver's folders.  The folder is also registered with the
+    context when the context does not have it yet, so ``DataFrame.checkpoint()`` can use it.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
         root = tempfile.mkdtemp(prefix="rivulet-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -1,19 +1,18 @@
 """Counter source (S3): every parallel instance (``subtask``) emits 0, 1, 2, ... (``value``).
 
-A Python data source: the batch reader splits each subtask's range into input partitions of
-at most ``rows_per_split`` rows and fills them with Arrow batches (no per-row Python); the
-stream reader keeps one offset per subtask in the checkpointed offset log, so a restarted
-query continues where the last committed batch ended and every value is emitted exactly once
-per subtask.
-
-Options: ``subtasks`` (default 1), ``count`` (batch: values per subtask), ``rows_per_batch``
-(stream: values per subtask and micro-batch, default 1000), ``rows_per_split`` (default 1M).
+The bounded form is ``spark.range``.  The stream is a Python data source whose reader fills Arrow
+batches (no per-row Python) and keeps one offset per subtask in the checkpointed offset log, so a
+restarted query continues where the last committed batch ended and every value is emitted
+exactly once per subtask.
+
+Options: ``subtasks`` (default 1), ``rows_per_batch`` (values per subtask and micro-batch, default 1000).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 SOURCE_NAME = "rivulet_counter"
 SCHEMA = "subtask int, value bigint"
@@ -37,21 +36,6 @@ def _emit(part: CounterRange):
             names=["subtask", "value"])
 
 
-class CounterReader(DataSourceReader):
-    def __init__(self, options):
-        self.subtasks = int(options.get("subtasks", 1))
-        self.count = int(options.get("count", 0))
-        self.split = max(1, int(options.get("rows_per_split", 1 << 20)))
-
-    def partitions(self):
-        return [CounterRange(s, lo, min(lo + self.split, self.count))
-                for s in range(self.subtasks) for lo in range(0, self.count, self.split)] \
-            or [CounterRange(0, 0, 0)]
-
-    def read(self, partition):
-        yield from _emit(partition)
-
-
 class CounterStreamReader(DataSourceStreamReader):
     def __init__(self, options):
         self.subtasks = int(options.get("subtasks", 1))
@@ -86,9 +70,6 @@ class CounterDataSource(DataSource):
     def schema(self):
         return SCHEMA
 
-    def reader(self, schema):
-        return CounterReader(self.options)
-
     def streamReader(self, schema):
         return CounterStreamReader(self.options)
 
@@ -97,13 +78,13 @@ def register_counter(spark: SparkSession) -> None:
     spark.dataSource.register(CounterDataSource)
 
 
-def counter_frame(spark: SparkSession, subtasks: int, count: int, rows_per_split: int | None = None) -> DataFrame:
-    """Bounded counter: ``subtasks`` instances, each emitting ``0 .. count-1``."""
-    register_counter(spark)
-    reader = spark.read.format(SOURCE_NAME).option("subtasks", subtasks).option("count", count)
-    if rows_per_split:
-        reader = reader.option("rows_per_split", rows_per_split)
-    return reader.load()
+def counter_frame(spark: SparkSession, subtasks: int, count: int) -> DataFrame:
+    """Bounded counter: ``subtasks`` instances, each emitting ``0 .. count-1`` (``spark.range``)."""
+    if subtasks < 1 or count < 0:
+        raise ValueError("subtasks must be at least 1 and count not negative")
+    ids = spark.range(subtasks * count)
+    return ids.select((F.col("id") % subtasks).cast("int").alias("subtask"),
+                      F.call_function("div", F.col("id"), F.lit(subtasks).cast("bigint")).alias("value"))
 
 
 def counter_stream(spark: SparkSession, subtasks: int, rows_per_batch: int = 1000) -> DataFrame:

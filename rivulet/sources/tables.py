@@ -21,13 +21,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     so the scan's ReadSchema only ever holds the columns a query uses)."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread rows over the cluster's cores when the scan has fewer splits than cores
-    (few large files / row groups).  With many input splits -- the large-data case -- the scan
-    is already parallel and no shuffle is added.  ``key`` should be unique-ish (an id)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)

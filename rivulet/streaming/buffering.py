@@ -4,42 +4,51 @@ Rows arrive with a ``bucket`` (the sink instance; ``stable_bucket`` gives a stab
 ``seq``.  New rows are appended to the bucket's buffer in ``seq`` order; every complete group
 of ``threshold`` rows is emitted with its group number and removed; the rest stays in state,
 survives restarts (checkpoint) and is never emitted without more input.  Deliver the emitted
-groups with ``deliver_batches`` (an idempotent ``foreachBatch`` writer).
+groups with ``deliver_batches`` (an idempotent ``foreachBatch`` writer).  Rows are handled as Arrow
+batches; the state never holds ``threshold`` rows or more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import IntegralType
 
 
 class BufferProcessor(StatefulProcessor):
     def __init__(self, bucket: str, seq: str, payload: Sequence[str], payload_schema: str,
-                 threshold: int, out: str):
-        self.bucket, self.seq, self.payload = bucket, seq, list(payload)
+                 threshold: int, out: str, integers: Sequence[str] = ()):
+        self.bucket, self.seq, self.payload, self.integers = bucket, seq, list(payload), list(integers)
         self.payload_schema, self.threshold, self.out = payload_schema, threshold, out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.buffer = handle.getListState("buffer", self.payload_schema)
         self.groups = handle.getValueState("groups", "delivered bigint")
 
-    def handleInputRows(self, key, rows, timerValues):
-        buffered = list(self.buffer.get()) if self.buffer.exists() else []
-        buffered += [tuple(r[c] for c in self.payload) for r in sorted(rows, key=lambda r: r[self.seq])]
+    def handleInputRows(self, key, rows: Iterator, timerValues) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        batch = pd.concat([b[[self.seq, *self.payload]] for b in rows], ignore_index=True)
+        batch = batch.sort_values(self.seq, kind="stable", na_position="first")[self.payload].astype(object)
+        held = pd.DataFrame(list(self.buffer.get()) if self.buffer.exists() else [], columns=self.payload, dtype=object)
+        batch = pd.concat([held, batch], ignore_index=True)
+        for c in self.integers:  # a column with nulls comes as floats
+            batch[c] = batch[c].astype("Int64")
         delivered = self.groups.get()[0] if self.groups.exists() else 0
-        full = len(buffered) // self.threshold * self.threshold
-        for i in range(0, full, self.threshold):
-            for rec in buffered[i:i + self.threshold]:
-                yield Row(**{self.bucket: key[0], self.out: delivered}, **dict(zip(self.payload, rec)))
-            delivered += 1
-        rest = buffered[full:]
-        if rest:
-            self.buffer.put(rest)
+        full = len(batch) // self.threshold * self.threshold
+        rest = batch.iloc[full:]  # fewer rows than the threshold
+        if len(rest):
+            self.buffer.put([tuple(None if pd.isna(v) else v for v in r) for r in rest.astype(object).itertuples(index=False, name=None)])
         else:
             self.buffer.clear()
-        self.groups.update((delivered,))
+        self.groups.update((int(delivered + full // self.threshold),))
+        out = batch.iloc[:full].copy()
+        out.insert(0, self.out, delivered + np.arange(full) // self.threshold)
+        out.insert(0, self.bucket, [key[0]] * full)
+        yield out
 
     def close(self) -> None:
         pass
@@ -47,9 +56,10 @@ class BufferProcessor(StatefulProcessor):
 
 def buffered_stream(df: DataFrame, bucket: str, seq: str, payload: Sequence[str], threshold: int,
                     out: str = "batch_no") -> DataFrame:
-    """``(bucket, out, *payload)`` rows of complete groups, from ``transformWithState``."""
+    """``(bucket, out, *payload)`` rows of complete groups, from ``transformWithStateInPandas``."""
     schema = df.schema
     payload_schema = ", ".join(f"`{c}` {schema[c].dataType.simpleString()}" for c in payload)
     out_schema = f"`{bucket}` {schema[bucket].dataType.simpleString()}, `{out}` bigint, {payload_schema}"
-    processor = BufferProcessor(bucket, seq, payload, payload_schema, threshold, out)
-    return df.groupBy(bucket).transformWithState(processor, out_schema, "Append", "None")
+    integers = [c for c in payload if isinstance(schema[c].dataType, IntegralType)]
+    processor = BufferProcessor(bucket, seq, payload, payload_schema, threshold, out, integers)
+    return df.groupBy(bucket).transformWithStateInPandas(processor, out_schema, "Append", "None")

@@ -5,14 +5,17 @@ at ``n`` values the processor emits ``(key, sum div count)`` and clears the stat
 ``ttl_ms`` the state expires ``ttl_ms`` after its last write (processing time; Spark judges
 expiry per micro-batch, so values of one micro-batch never expire each other).
 
-Spark keeps no arrival order, so input rows carry ``seq`` and are sorted per key and batch.
-All rows of a key in one micro-batch are handled by one task (inherent to keyed state); the
-trigger size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``) bounds them.
+Spark keeps no arrival order, so input rows carry ``seq``.  A key's rows of a micro-batch come as
+Arrow batches and are sorted and summed as arrays (inherent to keyed state: in one task; the
+trigger size -- ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` -- bounds them).  A null value
+fails the query, as in the batch twin.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 _STATE_SCHEMA = "cnt bigint, total bigint"
@@ -25,32 +28,36 @@ class CountWindowProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("count_sum", _STATE_SCHEMA, self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues):
+    def handleInputRows(self, key, rows: Iterator, timerValues) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        batch = pd.concat([b[[self.seq, self.value]] for b in rows], ignore_index=True)
+        if batch[self.value].isna().any():
+            raise ValueError(f"null in {self.value}")
+        values = batch[self.value].to_numpy(dtype=np.int64)[np.argsort(batch[self.seq].to_numpy(), kind="stable")]
         cnt, total = self.state.get() if self.state.exists() else (0, 0)
-        for row in sorted(rows, key=lambda r: r[self.seq]):
-            cnt, total = cnt + 1, total + row[self.value]
-            if cnt >= self.n:
-                yield Row(**{self.key_name: key[0], self.out: _java_div(total, cnt)})
-                cnt, total = 0, 0
-        if cnt:
-            self.state.update((cnt, total))
+        # The state's values stand before the first window as one value and cnt - 1 zeros.
+        values = np.concatenate([np.array([total] + [0] * (cnt - 1), dtype=np.int64)[:cnt], values])
+        full = len(values) // self.n * self.n
+        sums = values[:full].reshape(-1, self.n).sum(axis=1)
+        rest = values[full:]
+        if len(rest):
+            self.state.update((len(rest), int(rest.sum())))
         else:
             self.state.clear()
+        means = np.sign(sums) * (np.abs(sums) // self.n)  # truncates toward zero
+        yield pd.DataFrame({self.key_name: pd.Series([key[0]] * len(means), dtype=object if key[0] is None else None), self.out: means})
 
     def close(self) -> None:
         pass
 
 
-def _java_div(a: int, b: int) -> int:
-    q = abs(a) // abs(b)
-    return q if (a >= 0) == (b > 0) else -q
-
-
 def count_window_stream(df: DataFrame, key: str, value: str, seq: str, n: int = 2,
                         ttl_ms: int | None = None, out: str = "avg") -> DataFrame:
-    """Streaming (or batch) ``(key, out)`` rows from ``transformWithState``; append mode."""
+    """Streaming (or batch) ``(key, out)`` rows from ``transformWithStateInPandas``; append mode."""
     key_type = df.schema[key].dataType.simpleString()
     processor = CountWindowProcessor(key, value, seq, n, ttl_ms, out)
-    return df.groupBy(key).transformWithState(
+    return df.groupBy(key).transformWithStateInPandas(
         processor, f"{key} {key_type}, {out} bigint", "Append",
         "ProcessingTime" if ttl_ms else "None")

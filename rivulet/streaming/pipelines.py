@@ -4,6 +4,7 @@ stream-static lookup (J1), built from the same transforms as the batch queries."
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rivulet.functions.parse import parse_int
 from rivulet.operators.enrich import lookup_json
@@ -21,13 +22,20 @@ def user_count_stream(lines: DataFrame, size: str = "1 minute", delay: str = "1
     return tumble_count(actions, "user_action_time", "user_name", size)
 
 
-def word_count_stream(lines: DataFrame, size: str = "5 seconds") -> DataFrame:
+def word_count_stream(lines: DataFrame, size: str = "5 seconds", heartbeat: bool = False) -> DataFrame:
     """Lines -> (word, n) per processing-time tumbling window, like ``timeWindow(5 s).sum(1)``.
 
-    Rows are stamped with the micro-batch time; a zero-delay watermark on that stamp closes
-    each window once a later batch starts, so append mode emits every window once."""
-    stamped = processing_time(word_pairs(lines)).withWatermark("proc_time", "0 seconds")
-    return tumble_sum(stamped, "proc_time", "word", "n", size)
+    Rows are stamped with the micro-batch time; a zero-delay watermark on that stamp closes a
+    window once a batch after its end has rows, so append mode emits every window once.
+    ``heartbeat`` adds one row a second from Spark's ``rate`` source, so that windows close by
+    the clock also when no further line arrives; its rows carry no count and are dropped after
+    the aggregate."""
+    pairs = word_pairs(lines)
+    if heartbeat:
+        beat = lines.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+        pairs = pairs.unionByName(beat.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in pairs.schema.fields]))
+    stamped = processing_time(pairs).withWatermark("proc_time", "0 seconds")
+    return tumble_sum(stamped, "proc_time", "word", "n", size).where(F.col("n").isNotNull())
 
 
 def lookup_stream(id_lines: DataFrame, table: DataFrame, table_key: str, fields, out: str = "info",

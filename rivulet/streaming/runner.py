@@ -81,14 +81,20 @@ def asof_join_batches(probe_stream: DataFrame, versions: DataFrame, keys, probe_
                       version_time: str, version_cols, path: str, name: str, how: str = "inner",
                       checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """J4 on a stream: every micro-batch of probes is as-of joined (``asof_join``) with the
-    version table as it is when the batch runs, and written to ``path/batch_id=<id>``
-    (overwrite per batch: a replayed batch rewrites the same folder)."""
+    versions of its keys and written to ``path/batch_id=<id>`` (overwrite per batch: a replayed
+    batch rewrites the same folder).
+
+    ``versions`` is a frame, or a function that returns one: it is called for each batch, so
+    a table whose files change is listed anew.  Only versions of the batch's keys are scanned
+    further (a semi-join before the shuffle)."""
     from rivulet.operators.temporal import asof_join
 
     spark: SparkSession = probe_stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        joined = asof_join(batch, versions, keys, probe_time, version_time, version_cols, how=how)
+        table = versions() if callable(versions) else versions
+        table = table.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+        joined = asof_join(batch, table, keys, probe_time, version_time, version_cols, how=how)
         joined.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     writer = (probe_stream.writeStream.foreachBatch(write).queryName(name)

@@ -40,9 +40,9 @@ def test_document_lines(spark):
 def test_parse_int_strict_and_lenient(spark):
     df = spark.createDataFrame([("1002",), ("+5",), ("-7",)], "value string")
     assert [r.i for r in df.select(parse_int("value").alias("i")).collect()] == [1002, 5, -7]
-    bad = spark.createDataFrame([(" 12 ",), ("x",), ("99999999999",)], "value string")
-    assert [r.i for r in bad.select(parse_int("value", strict=False).alias("i")).collect()] == [None, None, None]
-    for v in (" 12 ", "x", "99999999999"):
+    bad = spark.createDataFrame([(" 12 ",), ("x",), ("99999999999",), ("12\n",), ("12\r",)], "value string")
+    assert [r.i for r in bad.select(parse_int("value", strict=False).alias("i")).collect()] == [None] * 5
+    for v in (" 12 ", "x", "99999999999", "12\n", "12\r"):
         with pytest.raises(PySparkException):
             spark.createDataFrame([(v,)], "value string").select(parse_int("value")).collect()
 

@@ -171,17 +171,82 @@ def test_asof_join_null_times_match_nothing(spark):
             assert sorted((r.pid, r.version_val) for r in got) == sorted(want)
 
 
-def test_lookup_above_broadcast_cap_uses_shuffle_join(spark):
+def test_lookup_broadcast_is_decided_by_bytes(spark):
+    """Few wide records are over the limit: no broadcast hint, the shuffle join gives the same."""
+    from rivulet.operators.sizing import broadcast_if_small, measured_bytes
     ids = spark.createDataFrame([(1, 1002), (2, 7)], "event_id int, id int")
-    dim = spark.createDataFrame([(1002, "Doe", "Ann"), (1003, "Roe", None)],
+    dim = spark.createDataFrame([(1002, "D" * 5000, "Ann"), (1003, "Roe", None)],
                                 "employeeNumber int, lastName string, firstName string")
-    spark.conf.set("rivulet.broadcast.maxRows", "1")
+    assert 5000 < measured_bytes(dim) < 6000
+    assert broadcast_if_small(dim)[1] and not broadcast_if_small(dim, 4000)[1]
+    spark.conf.set("rivulet.broadcast.maxBytes", "4000")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         res = lookup_json(ids, "id", dim, "employeeNumber", ["lastName", "firstName"])
+        plan = res._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
         assert sorted(tuple(r) for r in res.collect()) == [
-            (1, 1002, '{"lastName":"Doe","firstName":"Ann"}'), (2, 7, "{}")]
+            (1, 1002, '{"lastName":"%s","firstName":"Ann"}' % ("D" * 5000)), (2, 7, "{}")]
     finally:
-        spark.conf.unset("rivulet.broadcast.maxRows")
+        spark.conf.unset("rivulet.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_async_lookup_null_and_integer_keys_from_several_tasks(spark):
+    def telling_client():
+        from pyspark import TaskContext
+        return lambda key: f"{type(key).__name__}:{key}:{TaskContext.get().partitionId()}"
+
+    df = spark.createDataFrame([(i, i % 50 if i % 51 else None) for i in range(300)], "event_id int, id int")
+    rows = async_lookup(df, "id", telling_client, tasks=6).collect()
+    assert len(rows) == 300 and all(r.info is None for r in rows if r.id is None)
+    assert all(r.info.startswith(f"int:{r.id}:") for r in rows if r.id is not None)
+    assert len({r.info.split(":")[2] for r in rows if r.info}) > 1
+    answers = {}
+    for r in rows:
+        assert answers.setdefault(r.id, r.info) == r.info  # one call per key
+
+
+def test_async_lookup_builds_without_calls(spark):
+    def failing_client():
+        raise RuntimeError("called while building")
+
+    assert async_lookup(spark.range(3), "id", failing_client).columns == ["id", "info"]
+
+
+def test_checkpoint_root_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from rivulet.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
+def test_counter_frame(spark):
+    from rivulet.sources.counter import counter_frame
+    rows = sorted(tuple(r) for r in counter_frame(spark, 3, 4).collect())
+    assert rows == [(s, v) for s in range(3) for v in range(4)]
+    assert counter_frame(spark, 2, 0).count() == 0
+
+
+def test_word_total_outgrows_int(spark):
+    from rivulet.operators.wordcount import word_totals
+    pairs = spark.createDataFrame([("a", 2_000_000_000), ("a", 2_000_000_000)], "word string, n int")
+    assert [tuple(r) for r in word_totals(pairs).collect()] == [("a", 4_000_000_000)]
 
 
 def test_batch_windows_drop_rows_without_time(spark):

@@ -60,8 +60,9 @@ def test_count_window_batch_twin_reference_fixture(spark):
     assert sorted((r.k, r.avg) for r in rows) == [(1, 4), (1, 5)]
 
 
-def test_console_sink_prints(spark, tmp_path, no_empty_batches, capfd):
-    """K1: print every record (console sink) and end with the input."""
+def test_console_sink_prints(spark, tmp_path, no_empty_batches):
+    """K1: the console sink takes every record and the query ends with the input (the JVM prints to its
+    own standard output, which a test cannot read)."""
     _write_json(spark, REFERENCE_PAIRS, PAIRS_SCHEMA, str(tmp_path), 0)
     q = start(count_window_stream(_stream(spark, str(tmp_path), PAIRS_SCHEMA), "k", "v", "seq"),
               _name("console"), sink="console", trigger={"availableNow": True})
@@ -241,12 +242,17 @@ def test_lookup_stream_static(spark, tmp_path, no_empty_batches):
 def test_async_lookup_stream(spark, tmp_path, no_empty_batches):
     """J3 on a stream: one output per input line, calls per micro-batch."""
     from rivulet.functions.parse import parse_int
-    from rivulet.operators.enrich import async_lookup, digest_client
+    from rivulet.operators.enrich import async_lookup
     folder = str(tmp_path / "ids")
     os.makedirs(folder)
     with open(os.path.join(folder, "ids.txt"), "w") as fh:
         fh.write("1\n2\n1\n")
     ids = read_text_lines(spark, folder, stream=True).select(parse_int("value").alias("id"))
+
+    def digest_client():
+        import hashlib
+        return lambda key: hashlib.md5(str(key).encode()).hexdigest()
+
     rows = run_available(async_lookup(ids, "id", digest_client), _name("aio")).collect()
     import hashlib
     assert sorted((r.id, r.info) for r in rows) == sorted(
@@ -335,3 +341,78 @@ def test_counter_stream_restart_after_idle_stop(spark, tmp_path):
     for s in (0, 1):
         vals = sorted(v for sub, v in seen if sub == s)
         assert vals == list(range(len(vals))) and len(vals) >= 10
+
+
+def test_user_count_append_emits_each_window_once(spark, tmp_path):
+    """A2 + K3 in append mode: a window appears once, after the watermark passes its end; late rows
+    are dropped; open windows are not emitted."""
+    folder = str(tmp_path / "lines")
+    os.makedirs(folder)
+    stream = user_count_stream(read_text_lines(spark, folder, stream=True, max_files_per_trigger=1), delay="1 minute")
+    name = _name("append")
+    q = start(stream, name, mode="append", trigger={"processingTime": "100 milliseconds"})
+    try:
+        for i, line in enumerate(["amy;2020-03-20 15:22:00", "amy;2020-03-20 15:22:59", "bob;2020-03-20 15:23:01",
+                                  "cat;2020-03-20 15:26:00", "bob;2020-03-20 15:23:05", "dan;2020-03-20 15:40:00"]):
+            with open(os.path.join(folder, f"f{i:02d}.txt"), "w") as fh:
+                fh.write(line + "\n")
+            drain(q, 60)
+            time.sleep(0.4)
+            drain(q, 60)
+    finally:
+        q.stop()
+    rows = sorted((r.user_name, r.cnt, r.start_time.strftime("%H:%M")) for r in spark.table(name).collect())
+    assert rows == [("amy", 2, "15:22"), ("bob", 1, "15:23"), ("cat", 1, "15:26")]
+
+
+def test_word_count_windows_close_by_the_clock(spark, tmp_path):
+    """A1 + T1 in append mode with a heartbeat: the only line's windows come out without further
+    lines, each word and window once."""
+    folder = str(tmp_path / "words")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "f0.txt"), "w") as fh:
+        fh.write("a b a\n")
+    stream = word_count_stream(read_text_lines(spark, folder, stream=True), size="2 seconds", heartbeat=True)
+    name = _name("clock")
+    q = start(stream, name, mode="append", trigger={"processingTime": "500 milliseconds"})
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table(name).count() < 2:
+            time.sleep(0.5)
+        time.sleep(3)
+    finally:
+        q.stop()
+    rows = [(r.word, r.n) for r in spark.table(name).collect()]
+    assert sorted(rows) == [("a", 2), ("b", 1)]
+
+
+def test_state_processors_fail_or_keep_nulls_as_documented(spark, tmp_path, no_empty_batches):
+    """A null value fails the count window; the buffer keeps null payload fields and null order
+    values (first) over a restart."""
+    schema = "seq int, bucket int, word string, n int"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    ckpt = checkpoint_location(spark, "nulls")
+    for i, rows in enumerate(([(2, 0, "b", None), (None, 0, "a", 1)], [(3, 0, None, 5), (4, 0, "d", 2)])):
+        _write_json(spark, rows, schema, folder, i)
+        q = deliver_batches(buffered_stream(_stream(spark, folder, schema), "bucket", "seq", ["word", "n"], 3), out,
+                            _name("nulls"), checkpoint=ckpt, trigger={"availableNow": True})
+        assert q.awaitTermination(120)
+    got = [(r.batch_no, r.word, r.n) for r in spark.read.parquet(out).collect()]
+    assert sorted(got, key=str) == sorted([(0, "a", 1), (0, "b", None), (0, None, 5)], key=str)
+    _write_json(spark, [(1, 1, None)], PAIRS_SCHEMA, str(tmp_path / "pairs"), 0)
+    with pytest.raises(Exception, match="null in v"):
+        run_available(count_window_stream(_stream(spark, str(tmp_path / "pairs"), PAIRS_SCHEMA), "k", "v", "seq"), _name("nv"))
+
+
+def test_asof_versions_are_listed_for_each_batch(spark, tmp_path, no_empty_batches):
+    from rivulet.streaming.runner import asof_join_batches
+    schema = "pid int, k string, t int"
+    folder, table, out, ckpt = str(tmp_path / "p"), str(tmp_path / "v"), str(tmp_path / "o"), checkpoint_location(spark, "versions")
+    versions = lambda: spark.read.parquet(table)
+    for i, version in enumerate([("a", 1, "v1"), ("a", 2, "v2")]):
+        spark.createDataFrame([version], "k string, t int, val string").write.mode("append").parquet(table)
+        _write_json(spark, [(i, "a", 9)], schema, folder, i)
+        q = asof_join_batches(_stream(spark, folder, schema), versions, ["k"], "t", "t", ["val"], out, _name("ver"),
+                              checkpoint=ckpt, trigger={"availableNow": True})
+        assert q.awaitTermination(120)
+    assert sorted((r.pid, r.version_val) for r in spark.read.parquet(out).collect()) == [(0, "v1"), (1, "v2")]
