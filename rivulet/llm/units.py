@@ -21,10 +21,12 @@ import json
 import re
 from array import array
 
-CACHE_LIMIT = 600_000
-PUNCTUATION = b".,;:!?"
-# Letters up to U+024F: their case mapping and composed form are the same everywhere.
-_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")  # without U+0130, whose lower case holds a mark
+CACHE_LIMIT = 300_000
+# ASCII punctuation without the apostrophe, which may start a token together with letters.
+PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Letters up to U+024F have the same case mapping and composed form everywhere; but for U+0130,
+# whose lower case holds a combining mark.
+_LAST_LETTER, _DOTTED = "\u024f", "\u0130"
 _SPACE_AFTER_SPACE = re.compile(r"[\s\x1c-\x1f] ")
 _UNIT_START = re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
 _LINE_END = re.compile(r"(?<=[^\s\x1c-\x1f])\n(?=[^\s\x1c-\x1f])")
@@ -57,43 +59,52 @@ class _Units(dict):
     def __init__(self, owner: "UnitEncoder", prefix: bytes):
         super().__init__()
         self.owner, self.prefix = owner, prefix
+        self.lead = "".join(byte_letters()[b] for b in prefix)
+        self.fold = owner.rule == "words"
+        self.kind, self.tokenize = owner.kind, owner.tokenizer.model.tokenize
 
     def __missing__(self, unit: bytes) -> bytes:
-        ids = self[unit] = self.owner.unit_ids(self, unit)
+        if not unit.isalpha():  # of bytes: ASCII letters only
+            ids = self.owner.unit_ids(self, unit)
+        elif self.fold and not unit.islower():
+            ids = self[unit.lower()]
+        else:  # ASCII letters spell themselves
+            ids = array(self.kind, [t.id for t in self.tokenize(self.lead + unit.decode())]).tobytes()
+        self[unit] = ids
         return ids
 
 
 class UnitEncoder:
-    def __init__(self, settings: str):
+    def __init__(self, settings: str, kind: str = "I"):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(settings)
-        self.rule = cut_rule(json.loads(settings))
+        self.rule, self.kind = cut_rule(json.loads(settings)), kind
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # units are cached here; the model's own cache only costs
         self.spelled = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
         self.heads = _Units(self, b"")  # units as they stand
         self.tails = _Units(self, b" ")  # units after a space (rule "spaces")
 
     def _text_ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
-
-    def _word_ids(self, word: bytes) -> bytes:
-        spelling = word.decode("latin-1").translate(self.spelled)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelling)]).tobytes()
+        return array(self.kind, self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def unit_ids(self, known: _Units, unit: bytes) -> bytes:
+        """Ids of a unit that is not just ASCII letters."""
         core = unit.rstrip(PUNCTUATION)
-        if not core.isalpha() and not _WORD.fullmatch(core.decode()):  # of bytes: ASCII letters
+        if len(core) < len(unit) and core.isalpha():
+            return known[core] + self.heads[unit[len(core):]]
+        text = core.decode()
+        if not (text.isalpha() and max(text) <= _LAST_LETTER and _DOTTED not in text):
             return self._mixed_ids(known, unit)
-        lower = core.lower() if core.isascii() else core.decode().lower().encode()
-        if self.rule == "words" and lower != core:
+        lower = text.lower().encode() if known.fold else core
+        if lower != core or len(core) < len(unit):
             ids = known[lower]
-        elif len(core) < len(unit):
-            ids = known[core]
-        else:
-            return self._word_ids(known.prefix + core)
-        return ids + self.heads[unit[len(core):]] if len(core) < len(unit) else ids
+            return ids + self.heads[unit[len(core):]] if len(core) < len(unit) else ids
+        spelling = known.lead + core.decode("latin-1").translate(self.spelled)
+        return array(self.kind, [t.id for t in known.tokenize(spelling)]).tobytes()
 
     def _mixed_ids(self, known: _Units, unit: bytes) -> bytes:
         text = (known.prefix + unit).decode()
@@ -105,7 +116,7 @@ class UnitEncoder:
         return self._text_ids(text)
 
     def encode(self, raw: bytes) -> bytes:
-        """Ids of one UTF-8 text as little-endian unsigned 32-bit integers."""
+        """Ids of one UTF-8 text as unsigned integers in the machine's (little-endian) order."""
         if not raw:
             return b""
         if self.rule == "whole":
@@ -128,13 +139,20 @@ def _spaced(raw: bytes) -> bool:
     return _SPACE_AFTER_SPACE.search(raw.decode()) is not None
 
 
-def encoder(settings: str) -> UnitEncoder:
-    """The worker process's encoder for these settings (kept across its tasks)."""
+def encoder(settings: str, kind: str = "I") -> UnitEncoder:
+    """The worker process's encoder for these settings (kept across its tasks).  ``kind``: ids of
+    32 bits (``I``) or of 16 (``H``)."""
     import multiprocessing
     kept = multiprocessing.current_process().__dict__.setdefault("_unit_encoders", {})
-    if settings not in kept:
-        kept[settings] = UnitEncoder(settings)
-    return kept[settings]
+    if (settings, kind) not in kept:
+        kept[settings, kind] = UnitEncoder(settings, kind)
+    return kept[settings, kind]
+
+
+def id_kind(settings: str) -> str:
+    """``H`` if every id of the tokenizer fits into 16 bits, else ``I``."""
+    from tokenizers import Tokenizer
+    return "H" if max(Tokenizer.from_str(settings).get_vocab().values()) < 1 << 16 else "I"
 
 
 def tokenizer_settings(path: str) -> str:
