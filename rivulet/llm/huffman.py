@@ -3,8 +3,9 @@
 Writing:
 1. Texts are range-partitioned by id and sorted, tokenised in that order and written as plain
    ids (one row per document with its part and its place in the part).
-2. Ids are counted over all documents (a row per task and id, summed by Spark); the counts -- a
-   row per id of the vocabulary -- give code lengths of at most ``max_bits`` by package-merge.
+   Each part ends with a row of its own (``seq`` -1) that holds its counts of ids.
+2. The parts' counts are summed; the sums -- a row per id of the vocabulary -- give code lengths of
+   at most ``max_bits`` by package-merge.
 3. Every task encodes its documents into independent blocks of whole documents: one bit string,
    with the bit offset of every ``STRIDE``-th id as a checkpoint.
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.units import encoder  # by name: its code is shipped with the functions that use it
+from rivulet.llm.units import encoder, id_kind  # by name: its code is shipped with the functions that use it
 
 MAX_BITS = 18
 STRIDE = 512
@@ -42,21 +43,38 @@ _BLOCKS = ("part int, seq bigint, before bigint, doc_ids array<bigint>, doc_toke
            "bits bigint, checkpoints array<bigint>, payload binary")
 
 
+def _dtype(kind: str) -> str:
+    return {"H": "<u2", "I": "<u4"}[kind]
+
+
 def write_plain(df: DataFrame, path: str, settings: str, end_id: int, id_col: str, text: str) -> DataFrame:
-    """Tokenise in order of id; ``ids`` are little-endian unsigned 32-bit."""
+    """Tokenise in order of id; ``ids`` are little-endian unsigned of 16 or 32 bits (``id_kind``)."""
+    kind = id_kind(settings)
+    dtype, width = _dtype(kind), 2 if kind == "H" else 4
+
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
         from pyspark import TaskContext
 
-        encode, end = encoder(settings).encode, end_id.to_bytes(4, "little")
+        names = ["part", "seq", "before", "id", "ids"]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        encode, end = encoder(settings, kind).encode, end_id.to_bytes(width, "little")
         part, seq, before = TaskContext.get().partitionId(), 0, 0
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             n = batch.num_rows
             ids = [encode(raw or b"") + end for raw in batch.column(1).to_pylist()]
-            places = list(accumulate((len(x) // 4 for x in ids), initial=before))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()), pa.array(places[:-1], pa.int64()),
-                 batch.column(0), pa.array(ids, pa.binary())], names=["part", "seq", "before", "id", "ids"])
+            own = np.bincount(np.frombuffer(b"".join(ids), dtype=dtype), minlength=len(total))
+            own[:len(total)] += total
+            total = own
+            places = list(accumulate((len(x) // width for x in ids), initial=before))
+            columns = [[part] * n, range(seq, seq + n), places[:-1], batch.column(0), ids]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
             seq, before = seq + n, places[-1]
+        if seq:
+            used = np.nonzero(total)[0]
+            counts = np.stack([used, total[used]], axis=1).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([part, -1, before, None, counts], types)], names=names)
 
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"))
     docs.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(tokenise, _PLAIN).write.option(
@@ -65,19 +83,19 @@ def write_plain(df: DataFrame, path: str, settings: str, end_id: int, id_col: st
 
 
 def token_counts(plain: DataFrame) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(token, n)`` over all parts; only the row groups that hold a part's counts are read."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(raw, dtype="<u4"))
-                if len(own) > len(total):
-                    total = np.concatenate([total, np.zeros(len(own) - len(total), dtype=np.int64)])
-                total[:len(own)] += own
+                pairs = np.frombuffer(raw, dtype="<i8").reshape(-1, 2)
+                total = np.concatenate([total, np.zeros(max(0, pairs[-1, 0] + 1 - len(total)), dtype=np.int64)])
+                total[pairs[:, 0]] += pairs[:, 1]
         used = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["token", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["token", "n"])
 
-    return plain.select("ids").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    return plain.where("seq = -1").select("ids").mapInArrow(unpack, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(weights, max_bits: int = MAX_BITS):
@@ -129,12 +147,14 @@ def encode_block(ids, code_of, bits_of, stride: int = STRIDE):
     end = np.cumsum(size)
     start = end - size
     total = int(end[-1])
-    word, inside = start >> 5, start & 31
-    value = code_of[ids].astype(np.uint64) << (64 - inside - size).astype(np.uint64)
-    n = (total + 31) // 32 + 1
-    # Codes never overlap, so sums of their 32-bit halves are exact in doubles.
-    words = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), n)
-    words[1:] += np.bincount(word, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), n)[:-1]
+    word = start >> 5
+    value = code_of[ids].astype(np.uint64) << (64 - (start & 31) - size).astype(np.uint64)
+    # All codes that start in one 32-bit word are joined in 64 bits; the low half runs into the next.
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    both = np.bitwise_or.reduceat(value, first)
+    words = np.zeros((total + 31) // 32 + 1, dtype=np.uint64)
+    words[word[first]] = both >> np.uint64(32)
+    words[word[first] + 1] |= both & np.uint64(0xFFFFFFFF)
     return words.astype(">u4").tobytes()[:(total + 7) // 8], total, start[::stride].tolist()
 
 
@@ -175,9 +195,10 @@ def decode_table(tokens, lengths, codes, max_bits: int):
     return table
 
 
-def write_blocks(plain: DataFrame, path: str, codes: list[tuple[int, int]], stride: int = STRIDE,
+def write_blocks(plain: DataFrame, path: str, codes: list[tuple[int, int]], kind: str, stride: int = STRIDE,
                  block_tokens: int = BLOCK_TOKENS) -> None:
     import numpy as np
+    dtype, width = _dtype(kind), 2 if kind == "H" else 4
     tokens, lengths, code = canonical([t for t, _ in codes], [b for _, b in codes])
     top = int(tokens.max()) + 1 if len(tokens) else 1
     code_of, bits_of = np.zeros(top, dtype=np.uint32), np.zeros(top, dtype=np.uint8)
@@ -190,9 +211,9 @@ def write_blocks(plain: DataFrame, path: str, codes: list[tuple[int, int]], stri
                             ("tokens", pa.int64()), ("bits", pa.int64()), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
 
         def block(part, seq, before, docs, raws):
-            ids = np.frombuffer(b"".join(raws), dtype="<u4")
+            ids = np.frombuffer(b"".join(raws), dtype=dtype)
             payload, bits, marks = encode_block(ids, code_of, bits_of, stride)
-            row = [part, seq, before, docs, [len(r) // 4 for r in raws], len(ids), bits, marks, payload]
+            row = [part, seq, before, docs, [len(r) // width for r in raws], len(ids), bits, marks, payload]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types)], schema=schema)
 
         for batch in batches:
@@ -205,11 +226,11 @@ def write_blocks(plain: DataFrame, path: str, codes: list[tuple[int, int]], stri
                     part, seq, before = p, s, b
                 docs.append(d)
                 raws.append(raw)
-                size += len(raw) // 4
+                size += len(raw) // width
             if raws:
                 yield block(part, seq, before, docs, raws)
 
-    plain.select("part", "seq", "before", "id", "ids").mapInArrow(encode, _BLOCKS).write.option("compression", "none").parquet(path)
+    plain.where("seq >= 0").select("part", "seq", "before", "id", "ids").mapInArrow(encode, _BLOCKS).write.option("compression", "none").parquet(path)
 
 
 def write_ids(df: DataFrame, folder: str, settings: str, end_id: int = 2, id_col: str = "doc_id", text: str = "text",
@@ -221,12 +242,13 @@ def write_ids(df: DataFrame, folder: str, settings: str, end_id: int = 2, id_col
     lengths = code_lengths([r["n"] for r in counted], max_bits)
     codes = [(r["token"], int(b)) for r, b in zip(counted, lengths)]
     spark.createDataFrame(codes, "id bigint, bits int").coalesce(1).write.parquet(f"{folder}/codes")
-    write_blocks(plain, f"{folder}/blocks", codes)
+    write_blocks(plain, f"{folder}/blocks", codes, id_kind(settings))
 
 
-def read_ids(spark: SparkSession, folder: str, max_bits: int = MAX_BITS) -> DataFrame:
+def read_ids(spark: SparkSession, folder: str, max_bits: int = MAX_BITS, sums_only: bool = False) -> DataFrame:
     """``(id, start, n_tokens, ids)`` of every document, decoded from the files: ``start`` counts
-    the ids of all documents before it, ``ids`` are little-endian unsigned 32-bit."""
+    the ids of all documents before it, ``ids`` are little-endian unsigned 32-bit.  ``sums_only``:
+    their unsigned crc32 (``crc``) in place of the ids."""
     codes = [(r["id"], r["bits"]) for r in spark.read.schema("id bigint, bits int").parquet(f"{folder}/codes").collect()]
     tokens, lengths, code = canonical([t for t, _ in codes], [b for _, b in codes])
     table = decode_table(tokens, lengths, code, max_bits)
@@ -236,6 +258,8 @@ def read_ids(spark: SparkSession, folder: str, max_bits: int = MAX_BITS) -> Data
     parts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
         import numpy as np
         for batch in batches:
             starts, docs, counts, tokens, marks, payload = (batch.column(i).to_pylist() for i in range(6))
@@ -243,11 +267,14 @@ def read_ids(spark: SparkSession, folder: str, max_bits: int = MAX_BITS) -> Data
             sizes = [c for own in counts for c in own]
             stops = np.cumsum(sizes).tolist()
             places = np.concatenate([np.cumsum([at] + own[:-1]) for at, own in zip(starts, counts)])
+            view = memoryview(ids)
+            parts = (view[4 * (e - n):4 * e] for e, n in zip(stops, sizes))
+            last = pa.array([zlib.crc32(x) for x in parts], pa.int64()) if sums_only else pa.array([bytes(x) for x in parts], pa.binary())
             yield pa.RecordBatch.from_arrays([
-                pa.array([d for x in docs for d in x], pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int64()),
-                pa.array([ids[4 * (e - n):4 * e] for e, n in zip(stops, sizes)], pa.binary())], names=["id", "start", "n_tokens", "ids"])
+                pa.array([d for x in docs for d in x], pa.int64()), pa.array(places, pa.int64()), pa.array(sizes, pa.int64()), last],
+                names=["id", "start", "n_tokens", "crc" if sums_only else "ids"])
 
     # A row per range partition of the writer: at most spark.sql.shuffle.partitions of them.
     placed = blocks.join(F.broadcast(parts), "part").withColumn("start", F.col("before") + F.col("part_start"))
     return placed.select("start", "doc_ids", "doc_tokens", "tokens", "checkpoints", "payload").mapInArrow(
-        decode, "id bigint, start bigint, n_tokens bigint, ids binary")
+        decode, "id bigint, start bigint, n_tokens bigint, " + ("crc bigint" if sums_only else "ids binary"))

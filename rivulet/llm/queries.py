@@ -63,7 +63,7 @@ def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.units import tokenizer_settings
     folder = shared_folder(spark, "token-ids")
     write_ids(read_table(spark, sf_dir, "documents", "doc_id", "text"), folder, tokenizer_settings(tokenizer_path("word_bpe_49k.json")), end_id=2)
-    return read_ids(spark, folder).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_ids(spark, folder, sums_only=True).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc").alias("ids_crc32"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
