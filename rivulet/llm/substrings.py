@@ -17,8 +17,9 @@ their buckets are refined until they answer for every start position:
    2k bytes from those of k bytes here and k bytes on, each round reusing the last one's -- and
    the bucket is sorted by them, offset by offset; equal neighbours are repeated strings.
    Buckets of up to ``MAX_BUCKET`` representatives are refined together in a task (many small
-   ones at a time); larger ones are spread by (bucket, string identifier) and counted with
-   map-side combine, so no bucket is ever gathered in one place unbounded.
+   ones at a time).  Larger ones are refined over all tasks: ranges of offsets first, as in step 3,
+   then the strings of the ranges left open, counted with map-side combine; no bucket is ever
+   gathered in one place unbounded.
 5. Spans are gathered per text and cut out.
 
 Identifiers are 64-bit hashes compared within a bucket, which is itself a 64-bit hash.  Texts
@@ -44,7 +45,8 @@ from rivulet.llm.common import row_digest, stored, text_or_empty
 WINDOW = 300  # start positions of which one is sampled
 GRAM = 8  # bytes that the sampling hash looks at
 MAX_BUCKET = 4096  # representatives of a bucket up to which one task refines it
-BATCH = 1024  # members that are spelled out at a time
+RANGES = 16  # ranges of offsets in the refinement of larger buckets
+BATCH = 256  # rows that a step takes at a time: what it makes of them is held in memory at once
 FILTER_BITS = 1 << 26
 _CHUNK = 1 << 22  # positions sampled at a time (positions take 24 bits of a sampling key)
 
@@ -257,24 +259,64 @@ def refine(rows: DataFrame, length: int, window: int) -> DataFrame:
     return rows.repartition("c").sortWithinPartitions("c").mapInArrow(settle, shape)
 
 
+_RANGES = ("c bigint, r int, core bigint, e bigint, n bigint, ta bigint, tb bigint, pos int, low int, high int")
+
+
 def refine_large(rows: DataFrame, length: int, window: int) -> DataFrame:
-    """The same for buckets of any size: strings are counted by identifier over all tasks."""
-    shape = "c bigint, id bigint, n bigint, ta bigint, tb bigint, start int"
+    """The same for buckets of any size, over all tasks; ``rows`` are stored.
+
+    The offsets are cut into ``RANGES`` ranges.  A range is a bucket of its own, by the bytes that
+    all its strings hold (``core``), and its surroundings ``e`` settle it as in the first
+    refinement: shared surroundings repeat every string of the range, and a member alone in its
+    bucket repeats none.  Only ranges that neither settles -- about those at the ends of a repeat
+    -- are spelled out string by string and counted.  All counts combine map-side.
+    """
+    step = -(-window // RANGES)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest as digest
+        names = [f.split()[0] for f in _RANGES.split(", ")]
+        kinds = [pa.int64(), pa.int32(), None, None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        for batch in _slices(batches, BATCH):
+            out = []
+            for c, n, a, b, pos, lead, raw in zip(*(x.to_pylist() for x in batch.columns)):
+                last = min(window - 1, lead)  # offsets whose string the text holds: first..last
+                first = max(0, lead + length - len(raw))
+                for r, low in enumerate(range(0, window, step)):
+                    high = min(low + step, window) - 1
+                    d0, d1 = max(low, first), min(high, last)
+                    if d0 <= d1:
+                        out.append((c, r, digest(raw[lead - low:lead - high + length]),
+                                    digest(raw[lead - d1:lead - d0 + length], seed=(d0 - low) * window + d1 - low), n, a, b, pos, d0, d1))
+            columns = list(zip(*out)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([_signed(x) if k is None else pa.array(x, k) for x, k in zip(columns, kinds)], names=names)
+
+    cuts = rows.mapInArrow(cut, _RANGES)
+    alike = cuts.groupBy("c", "r", "core", "e").agg(F.sum("n").alias("m"), *[F.first(x).alias(x) for x in ("ta", "tb", "pos", "low", "high")])
+    alike = stored(alike, "sub-ranges")
+    settled = cuts.where("n = 1").join(alike.where("m > 1").select("c", "r", "core", "e"), ["c", "r", "core", "e"], "left_semi")
+    several = alike.groupBy("c", "r", "core").agg(F.count(F.lit(1)).alias("k"), F.min("m").alias("least")).where("k > 1 AND least = 1")
+    open_ = alike.join(several.select("c", "r", "core"), ["c", "r", "core"])
+    asked = open_.groupBy("c", "ta", "tb", "pos").agg(F.collect_list(F.struct("m", "low", "high")).alias("ranges"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+        from xxhash import xxh64_intdigest as digest
         for batch in _slices(batches, BATCH):
-            c, n, a, b, pos, lead, raws = (x.to_pylist() for x in batch.columns)
-            ids, valid = string_ids(raws, lead, length, window)
-            i, d = np.nonzero(valid)
-            take = lambda x: pa.array(np.array(x, dtype=np.int64)[i])
+            out = []
+            for c, a, b, pos, lead, raw, ranges in zip(*(x.to_pylist() for x in batch.columns)):
+                for x in ranges:
+                    out += [(c, digest(raw[lead - d:lead - d + length]), x["m"], a, b, pos - d) for d in range(x["low"], x["high"] + 1)]
+            c, ids, m, a, b, start = zip(*out) if out else [()] * 6
             yield pa.RecordBatch.from_arrays(
-                [take(c), pa.array(ids[i, d].view(np.int64)), take(n), take(a), take(b),
-                 pa.array((np.array(pos)[i] - d).astype(np.int32))], names=["c", "id", "n", "ta", "tb", "start"])
+                [pa.array(c, pa.int64()), _signed(ids), pa.array(m, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                 pa.array(start, pa.int32())], names=["c", "id", "n", "ta", "tb", "start"])
 
-    strings = rows.mapInArrow(spell, shape)
+    strings = rows.join(asked, ["c", "ta", "tb", "pos"]).select("c", "ta", "tb", "pos", "lead", "bytes", "ranges").mapInArrow(
+        spell, "c bigint, id bigint, n bigint, ta bigint, tb bigint, start int")
     repeated = strings.groupBy("c", "id").agg(F.sum("n").alias("times")).where("times > 1")
-    return strings.where("n = 1").join(repeated, ["c", "id"]).select("ta", "tb", "start", (F.col("start") + length).alias("stop"))
+    single = strings.where("n = 1").join(repeated, ["c", "id"], "left_semi")
+    return settled.select("ta", "tb", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("stop")).union(
+        single.select("ta", "tb", "start", (F.col("start") + length).alias("stop")))
 
 
 def merged(spans: Column) -> Column:
@@ -326,7 +368,7 @@ def repeated_spans(df: DataFrame, text: str = "text", length: int = 400, window:
     small = around.join(sizes, "c", "left_anti")
     spans = settled.union(refine(small, length, window))
     if not sizes.isEmpty():
-        spans = spans.union(refine_large(large, length, window))
+        spans = spans.union(refine_large(stored(large, "sub-large"), length, window))
     marks = spans.distinct().groupBy("ta", "tb").agg(F.collect_list(F.struct("start", "stop")).alias("_sub_spans"))
     marks = stored(marks, "sub-marks")
 
