@@ -76,7 +76,7 @@ def thresholds(docs: DataFrame, goals: DataFrame) -> DataFrame:
     goals = goals.withColumn("epochs", F.when(F.col("source_size") == 0, F.lit(0).cast("bigint"))
                              .otherwise(F.floor(F.col("target") / F.col("source_size")).cast("bigint")))
     state = goals.select("source", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("_left"),
-                         F.lit(0).cast("bigint").alias("_prefix"))
+                         F.lit(0).cast("bigint").alias("_prefix")).where("_left > 0")
     shift = HASH_BITS
     for bits in LEVELS:
         width = shift
