@@ -305,16 +305,17 @@ def refine_large(rows: DataFrame, length: int, window: int) -> DataFrame:
             out = []
             for c, a, b, pos, lead, raw, ranges in zip(*(x.to_pylist() for x in batch.columns)):
                 for x in ranges:
-                    out += [(c, digest(raw[lead - d:lead - d + length]), x["m"], a, b, pos - d) for d in range(x["low"], x["high"] + 1)]
-            c, ids, m, a, b, start = zip(*out) if out else [()] * 6
+                    out += [(c, d, digest(raw[lead - d:lead - d + length]), x["m"], a, b, pos - d) for d in range(x["low"], x["high"] + 1)]
+            c, offsets, ids, m, a, b, start = zip(*out) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()), _signed(ids), pa.array(m, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                 pa.array(start, pa.int32())], names=["c", "id", "n", "ta", "tb", "start"])
+                [pa.array(c, pa.int64()), pa.array(offsets, pa.int32()), _signed(ids), pa.array(m, pa.int64()), pa.array(a, pa.int64()),
+                 pa.array(b, pa.int64()), pa.array(start, pa.int32())], names=["c", "d", "id", "n", "ta", "tb", "start"])
 
     strings = rows.join(asked, ["c", "ta", "tb", "pos"]).select("c", "ta", "tb", "pos", "lead", "bytes", "ranges").mapInArrow(
-        spell, "c bigint, id bigint, n bigint, ta bigint, tb bigint, start int")
-    repeated = strings.groupBy("c", "id").agg(F.sum("n").alias("times")).where("times > 1")
-    single = strings.where("n = 1").join(repeated, ["c", "id"], "left_semi")
+        spell, "c bigint, d int, id bigint, n bigint, ta bigint, tb bigint, start int")
+    # Offset by offset, as in ``refine``: two anchors of a text may cover the same string, at different offsets.
+    repeated = strings.groupBy("c", "d", "id").agg(F.sum("n").alias("times")).where("times > 1")
+    single = strings.where("n = 1").join(repeated, ["c", "d", "id"], "left_semi")
     return settled.select("ta", "tb", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("stop")).union(
         single.select("ta", "tb", "start", (F.col("start") + length).alias("stop")))
 

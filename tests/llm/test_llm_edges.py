@@ -184,6 +184,25 @@ def test_substrings_against_brute_force(spark, max_bucket):
         assert bytes(r["kept"]) == brute.cut(raws[r["doc_id"]], want[r["doc_id"]])
 
 
+@pytest.mark.parametrize("max_bucket", [1, 4096])
+def test_substrings_with_a_gram_twice_in_a_window(spark, max_bucket):
+    """Two anchors with the same q-gram cover one string: it must not count as two."""
+    import random
+    rng = random.Random(11)
+    texts = []
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    for _ in range(12):
+        line = word(rng.randint(16, 22)) + "\n"
+        passage = word(rng.randint(4, 30)) + line * rng.randint(2, 3) + word(rng.randint(4, 30))
+        texts += [word(40) + passage[:len(passage) - rng.randrange(12)] + word(40) for _ in range(4)]
+        texts.append(word(30) + "-" * rng.randint(24, 44) + word(30))
+    raws = [t.encode() for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    got = repeated_spans(df, length=40, window=28, max_bucket=max_bucket).collect()
+    want = brute.repeated_bytes(raws, 40)
+    assert any(want) and {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in got} == dict(enumerate(want))
+
+
 def test_simhash(docs, none):
     rows = simhash_groups(docs).collect()
     assert len(rows) == len(TEXTS)
