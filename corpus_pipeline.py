@@ -5,13 +5,14 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all documents that the o
 next.  All stages but the last return the columns of ``documents``; the last returns a row per
 packed piece.  Rows are never capped or sampled.
 
-Edge cases follow the operators: null texts count as empty (the quality rules reject them), rows
-that share an id (nulls too) share the decision of the near-duplicate stage, empty tables pass
-through as empty tables.
+Edge cases follow the operators: null texts count as empty (the quality rules reject them), the
+dedup stages decide per row, so rows with null or repeated ids go only if their own text is a
+copy, empty tables pass through as empty tables.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from rivulet.llm.units import tokenizer_settings
 from rivulet.session import configure
 from rivulet.sources.tables import read_table
 
-BROADCAST_IDS = 200_000  # rows of (id) that are broadcast instead of shuffling the texts
+BROADCAST_IDS = 200_000  # rows of (file, row) that are broadcast instead of shuffling the texts
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +42,27 @@ def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus the content locator of each row (input file, row in the file)."""
+    place = [F.col("_metadata.file_path").alias("_near_file"), F.col("_metadata.row_index").alias("_near_row")]
+    try:
+        return docs.select("*", *place)
+    except AnalysisException:  # not read from files
+        return stored(docs, "near-input").select("*", *place)
+
+
 def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the least id."""
+    """Of each group of near duplicates, one row: the least id (nulls last), then locator."""
     configure(spark)
-    groups = simhash_groups(docs, shingle=3, max_bits=2)
-    gone = stored(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")), "near-gone")
-    return docs.join(broadcast_below(gone, BROADCAST_IDS), docs["doc_id"].eqNullSafe(F.col("gone_id")), "left_anti")
+    placed = _placed(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_near_file").alias("file"),
+                   F.col("_near_row").alias("row"))
+    groups = simhash_groups(placed.select(row.alias("place"), "text"), id_col="place", shingle=3, max_bits=2)
+    gone = stored(groups.where((F.col("place.file") != F.col("component_id.file")) | (F.col("place.row") != F.col("component_id.row")))
+                  .select(F.col("place.file").alias("_gone_file"), F.col("place.row").alias("_gone_row")), "near-gone")
+    return placed.join(broadcast_below(gone, BROADCAST_IDS),
+                       (F.col("_near_file") == F.col("_gone_file")) & (F.col("_near_row") == F.col("_gone_row")),
+                       "left_anti").drop("_near_file", "_near_row")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

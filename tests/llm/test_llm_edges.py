@@ -211,6 +211,24 @@ def test_simhash(docs, none):
     assert simhash_groups(none).count() == 0
 
 
+def test_near_duplicates_go_row_by_row(spark):
+    """Null and repeated ids: of each group of near copies one row stays, and every other text."""
+    import random
+
+    import corpus_pipeline as cp
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join("".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(400)) for _ in range(5))
+    near = str.title  # the same fingerprint, another text
+    rows = [(5, a), (5, b), (3, near(b)), (9, near(a)), (None, c), (None, near(c)), (7, d), (None, near(d)), (None, e)]
+    group = {t: k for k, text in enumerate((a, b, c, d, e)) for t in (text, near(text))}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for docs in (stored(df.repartition(3), "near"), df):
+        got = cp.keep_near(spark, docs, "")
+        assert got.columns == df.columns
+        assert sorted((r["doc_id"] or 0, group[r["text"]]) for r in got.collect()) == [(0, 2), (0, 4), (3, 1), (5, 0), (7, 3)]
+    assert cp.keep_near(spark, df.where("doc_id = 0"), "").count() == 0
+
+
 def test_html(spark):
     pages = [
         (1, None, ""), (2, "", ""), (3, "plain words only, without any markup at all", "plain words only, without any markup at all"),
