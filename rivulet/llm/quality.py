@@ -4,6 +4,9 @@
 ratios of them into one boolean column.  Everything is a projection: no shuffle, one pass, and
 a row needs memory in proportion to its own text only.
 
+The stop-word rule holds for the languages of STOP_WORDS only: texts whose language column names
+another one, or most of whose letters are not Latin, are exempt from it.
+
 Edge cases: a null text counts as empty (no words, base rules fail it); null or repeated ids
 and any further columns pass through untouched (internal columns are prefixed ``_q_``); an
 empty table gives an empty result.
@@ -26,26 +29,31 @@ STOP_WORDS = (
     "au dans de du en est et il la le les par pas pour que qui sur un une "
     "al con del el los no para por se su y"
 ).split()
+# What a language column calls these four, and a language it does not know.
+STOP_LANGUAGES = "en eng english de deu ger german fr fra fre french es spa spanish".split()
+NO_LANGUAGE = ["", "und", "unknown", "none", "null"]
 
 WINDOW = 5  # words of a window that must not recur
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A text passes if ``low <= measure <= high``; texts under ``min_words`` words are exempt."""
+    """A text passes if ``low <= measure <= high``; texts under ``min_words`` words are exempt,
+    and with ``listed`` those of languages that STOP_WORDS does not cover."""
 
     name: str
     measure: str
     low: float | None = None
     high: float | None = None
     min_words: int = 0
+    listed: bool = False
 
 
 #: Production thresholds; ``measure`` names an entry of RATIOS.
 RULES = (
     Rule("word length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbols_per_word", None, 0.2),
-    Rule("stop words", "stop_word_ratio", 0.03, None, min_words=60),
+    Rule("stop words", "stop_word_ratio", 0.03, None, min_words=60, listed=True),
     Rule("repeated lines", "duplicate_line_ratio", None, 0.5),
     Rule("bullet lines", "bullet_line_ratio", None, 0.9),
     Rule("ellipsis lines", "ellipsis_line_ratio", None, 0.5),
@@ -125,7 +133,18 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def verdict(rules: Sequence[Rule] = RULES) -> Column:
+def unlisted(lang: Column | None = None) -> Column:
+    """True if STOP_WORDS does not cover a measured text's language: its label says so, or most of
+    its letters are not Latin."""
+    count = lambda kind: F.regexp_count("_q_text", F.lit(kind))
+    script = 2 * count(r"\p{IsLatin}") < count(r"\p{L}")
+    if lang is None:
+        return script
+    code = F.lower(F.regexp_extract(F.coalesce(lang.cast("string"), F.lit("")), r"^\s*([^\s_-]*)", 1))
+    return ~code.isin(STOP_LANGUAGES + NO_LANGUAGE) | script
+
+
+def verdict(rules: Sequence[Rule] = RULES, lang: Column | None = None) -> Column:
     """True if a measured text passes every rule of the table."""
     passed = F.lit(True)
     for r in rules:
@@ -135,15 +154,16 @@ def verdict(rules: Sequence[Rule] = RULES) -> Column:
             ok = ok & (value >= r.low)
         if r.high is not None:
             ok = ok & (value <= r.high)
-        passed = passed & (ok if not r.min_words else ok | (F.col("n_words") < r.min_words))
+        ok = ok if not r.min_words else ok | (F.col("n_words") < r.min_words)
+        passed = passed & (ok if not r.listed else ok | unlisted(lang))
     return passed
 
 
-def quality_rules(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+def quality_rules(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, lang: str = "lang") -> DataFrame:
     """``df`` plus the five measures, ``base_failed`` and ``kept``.  Columns of these names that
-    ``df`` already has are replaced."""
+    ``df`` already has are replaced.  ``lang``: the column of the language, if ``df`` has one."""
     out = measured(df, text).withColumn("base_failed", base_failed())
-    out = out.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    out = out.withColumn("kept", ~F.col("base_failed") & verdict(rules, F.col(lang) if lang in df.columns else None))
     return out.drop(*[c for c in out.columns if c.startswith("_q_")])
 
 

@@ -68,7 +68,7 @@ def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.quality import quality_rules
-    return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text")).select(
+    return quality_rules(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -66,6 +66,20 @@ def test_quality_counts_match_brute_force(spark):
             len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered))
 
 
+def test_stop_words_of_listed_languages_only(spark):
+    import random
+    rng = random.Random(6)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(7)) for _ in range(80))
+    latin, digits = text("bcdfghklm"), " ".join(str(10 ** 6 + i) for i in range(80))
+    rows = [(text("абвгдежзи"), None, True), (text("αβγδεζηθι"), "el", True), (text("ابتثجحخد"), "", True), (text("абвгдежзи"), "en", True),
+            (latin, None, False), (latin, "en-GB", False), (latin, "DE", False), (latin, "", False), (latin, "pl", True),
+            (digits, None, False), (latin + " the of and in", "en", True)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, text string, lang string, want boolean")
+    got = quality_rules(df).collect()
+    assert [r["kept"] for r in sorted(got, key=lambda r: r["doc_id"])] == [r[2] for r in rows]
+    assert {r["doc_id"] for r in quality_rules(df.drop("lang")).where("kept").collect()} == {0, 1, 2, 3, 10}
+
+
 def test_exact(docs, none):
     rows = exact_groups(docs).collect()
     groups = Counter(brute.normal_sha(t) for _, t, _ in TEXTS)
