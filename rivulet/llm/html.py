@@ -31,7 +31,8 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead tr ul".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object select textarea button datalist".split())
+SILENT = frozenset("script style noscript template head title svg annotation annotation-xml iframe object select textarea button datalist".split())
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
 CLOSES_P = BLOCK - {"option", "html", "body"}
 ALIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}, "p": {"p"}}
@@ -81,6 +82,14 @@ class _Page(HTMLParser):
             self.silent -= tag in SILENT
         del self.stack[at:]
 
+    def _close_head(self, tag: str) -> None:
+        """An open head ends at <body> and, outside its own elements, at any tag it cannot hold."""
+        for i, (_, open_tag, _) in enumerate(self.stack):
+            if open_tag == "head":
+                if tag == "body" or not any(t in SILENT for _, t, _ in self.stack[i + 1:]):
+                    self._close_to(i)
+                break
+
     def _close_implied(self, tag: str) -> None:
         ends = ALIKE.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
         stop = HOLDERS.get(tag, set())
@@ -93,6 +102,8 @@ class _Page(HTMLParser):
                 break
 
     def handle_starttag(self, tag, attrs) -> None:
+        if self.silent and tag not in IN_HEAD:
+            self._close_head(tag)
         if tag in BLOCK:
             self.flush()
             self._close_implied(tag)
@@ -118,6 +129,8 @@ class _Page(HTMLParser):
                 break  # an inline end tag does not close blocks
 
     def handle_data(self, data) -> None:
+        if self.stack and self.stack[-1][1] == "head" and data.strip():
+            self._close_head("")
         if not self.silent:
             self.buffer.append(data)
             if any(t == "a" for _, t, _ in self.stack[-4:]):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import stored
 from rivulet.llm.exact import drop_exact_duplicates, exact_groups
-from rivulet.llm.html import extract_text
+from rivulet.llm.html import extract_text, main_text
 from rivulet.llm.huffman import read_ids, write_ids
 from rivulet.llm.lines import apply_bitmaps, line_keep_bitmaps
 from rivulet.llm.mixing import mix_sources
@@ -260,6 +260,16 @@ def test_html(spark):
     assert extract_text(df.where("page_id = 0")).count() == 0
 
 
+def test_html_head_left_open_and_formulas():
+    para = "A paragraph that is long enough to be taken as the text of this page."
+    for page in (f"<html><head><title>T</title><body><article><p>{para}</article>", f"<head><meta charset=utf-8><title>T</title><p>{para}",
+                 f"<head><style>p {{}}</style><script>x='<p>'</script><noscript><img src=x></noscript><article><p>{para}</article>",
+                 f"<head><title>T</title></head><body><p>{para}", f"<head><title>T</title>{para}"):
+        assert main_text(page) == para
+    page = f"<article><p>{para} <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math> holds.</p></article>"
+    assert main_text(page) == f"{para} E=m holds."
+
+
 def test_crc_is_unsigned(spark):
     assert spark.range(1).select(F.crc32(F.lit(b"abc")).alias("c")).first()["c"] == zlib.crc32(b"abc")
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256).alias("c")).first()["c"]
