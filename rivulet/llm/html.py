@@ -50,6 +50,16 @@ NAME_SCORE = {w: -12 for w in (
     "breadcrumbs pagination pager related recommended teaser toolbar masthead topbar bottombar copyright disclaimer skip"
 ).split()} | {"header": -8, "head": -4} | {w: 4 for w in "article content post entry story body main text".split()}
 LAYOUT_WORDS = frozenset("wrap wrapper container layout".split())
+# Words that articles use themselves, in slugs and styles; words that make a known compound with a name;
+# prefixes of classes that file an article under a topic.
+PLAIN_WORDS = frozenset(
+    "form search comment reply replies respond discussion share sharing social related recommended alert notice notification "
+    "skip disclaimer copyright consent promotion advertising navigation banner menu cookie cookies signup login subscribe".split())
+COMPOUND_WORDS = frozenset(
+    "site page box bar block list links link posts articles section area thread inner outer top bottom left right buttons button "
+    "icons icon title item items module component embed inline unit slot feed cta js".split()) | LAYOUT_WORDS | NAME_SCORE.keys()
+TOPIC_PREFIXES = frozenset("category tag topic type format".split())
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 TITLE_INSIDE = -1  # a header within the article holds its title
 LINK_WEIGHT, LENGTH_WEIGHT, PARAGRAPH, HEADING, BIAS = -5.0, 0.9, 0.8, 1.5, -2.2
 SMOOTH = 1.2  # capacity between neighbours that are siblings
@@ -140,6 +150,17 @@ class _Page(HTMLParser):
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def _tells(tag: str, words: set, name: str, is_id: bool) -> bool:
+    """Whether a name within an article, as part of the token ``words``, speaks against content."""
+    if tag in ("article", "main"):
+        return False  # the tag says what it is
+    if name not in PLAIN_WORDS and not is_id:
+        return not words & TOPIC_PREFIXES
+    if not words <= COMPOUND_WORDS:
+        return False  # a slug
+    return name not in PLAIN_WORDS or tag not in TEXT_TAGS and (len(words) > 1 or not is_id)
+
+
 def _score(tag: str, attrs: dict, stack: list) -> float:
     inside = any(t in ("article", "main") for _, t, _ in stack)
     score = TAG_SCORE.get(tag, 0)
@@ -150,8 +171,14 @@ def _score(tag: str, attrs: dict, stack: list) -> float:
         score -= 12
     if tag in ("html", "body"):
         return score  # their names describe the whole page
-    names = {p.lower() for p in _NAME_PARTS.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}")}
-    found = [NAME_SCORE[n] for n in names if n in NAME_SCORE]
+    own = [(x, False) for x in (attrs.get("class") or "").split()]
+    if not (tag in TEXT_TAGS and tag[0] == "h"):  # the id of a heading is made of its title
+        own += [(x, True) for x in (attrs.get("id") or "").split()]
+    own = [({p.lower() for p in _NAME_PARTS.findall(x)}, is_id) for x, is_id in own]
+    names = {n for words, _ in own for n in words}
+    counted = {n for words, is_id in own for n in words if n in NAME_SCORE
+               and (NAME_SCORE[n] > -12 or not (inside or tag in ("article", "main")) or _tells(tag, words, n, is_id))}
+    found = [NAME_SCORE[n] for n in counted]
     if names & LAYOUT_WORDS and max(found, default=0) > 0 or names & {"has", "with", "no"}:
         found = [s for s in found if s > 0]  # a frame around the content and something else
     if inside or max(found, default=0) > 0:

@@ -270,6 +270,19 @@ def test_html_head_left_open_and_formulas():
     assert main_text(page) == f"{para} E=m holds."
 
 
+def test_html_names_within_an_article():
+    first, second = "The first paragraph of this article is long enough to be kept.", "The second paragraph says something else at some length, too."
+    page = "<body><article{}><p>" + first + "</p>{}</article></body>"
+    for kept in (f'<section id="discussion"><p>{second}</p></section>', f'<div id="search-algorithms"><p>{second}</p></div>',
+                 f'<p class="notice">{second}</p>', f'<div class="tag-newsletter"><p>{second}</p></div>'):
+        assert main_text(page.format("", kept)) == f"{first}\n{second}"
+    assert main_text(page.format("", f'<h2 id="related-work">Related work</h2><p>{second}</p>')) == f"{first}\nRelated work\n{second}"
+    assert main_text(page.format(' class="post category-social"', f"<p>{second}</p>")) == f"{first}\n{second}"
+    for gone in ('<section id="comments">', '<div class="share">', '<div class="related-posts">', '<div class="cookie-banner">',
+                 '<div id="search-form">', '<div class="sidebar-left">'):
+        assert main_text(page.format("", f"{gone}<p>{second}</p></{gone[1:4] if gone[1] == 'd' else 'section'}>")) == first
+
+
 def test_crc_is_unsigned(spark):
     assert spark.range(1).select(F.crc32(F.lit(b"abc")).alias("c")).first()["c"] == zlib.crc32(b"abc")
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256).alias("c")).first()["c"]
