@@ -87,4 +87,68 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
        doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM d"""
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op6_exact_dedup": OP6, "op5_quality_rules": OP5, "op7_mix_sources": OP7}
+OP11 = rf"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}+') AS w FROM documents),
+s AS (SELECT DISTINCT i, array_to_string(w[p:p + 3], ' ') AS g
+      FROM (SELECT i, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT i, count(*) AS n FROM s GROUP BY i),
+c AS (SELECT a.i AS a, b.i AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.i < b.i GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.i = a JOIN n y ON y.i = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT i, i FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT a AS i, min(doc_id) AS component_id FROM r JOIN d ON d.i = r.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN m USING (i) LEFT JOIN n USING (i)"""
+
+OP12 = rf"""
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS t,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS r
+           FROM conversations),
+v AS (SELECT c, c - c % 20 AS b, n, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0],
+                                          lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 4 AS h
+      FROM (SELECT c, count(*) AS n FROM o GROUP BY c)),
+x AS (SELECT v.c, o.r AS p, role, t FROM v JOIN o ON o.c = v.b AND o.r <= v.h
+      UNION ALL
+      SELECT v.c, least(v.h, coalesce(b.n, 0)) + o.r - v.h, role, t FROM v LEFT JOIN v b ON b.c = v.b JOIN o ON o.c = v.c AND o.r > v.h),
+k AS (SELECT c, p, array_to_string(list(md5(md5(role) || md5(t))) OVER (PARTITION BY c ORDER BY p), '') AS k,
+             len(regexp_extract_all(t, '{WORD}+')) AS words FROM x
+      UNION ALL SELECT c, 0, '', 0 FROM v),
+n AS (SELECT k, p, min(c) AS conv, count(*) AS n_convs, max(words) AS words, left(k, greatest(length(k) - 32, 0)) AS up FROM k GROUP BY k, p),
+ch AS (SELECT up, count(*) AS n_children FROM n WHERE p > 0 GROUP BY up),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch ON ch.up = n.k),
+anc AS (SELECT DISTINCT a.k AS a, d.k AS d FROM k a JOIN k d ON a.c = d.c AND d.p >= a.p),
+roll AS (SELECT a AS k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved FROM anc JOIN f ON f.k = anc.d GROUP BY a),
+e AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends
+      FROM (SELECT c, arg_max(k, p) AS k FROM k GROUP BY c) GROUP BY k)
+SELECT f.conv AS conv_id, CAST(f.p AS BIGINT) AS depth, up.conv AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM f JOIN roll USING (k) LEFT JOIN e USING (k) LEFT JOIN n up ON up.k = f.up AND f.p > 0"""
+
+OP13 = r"""
+WITH p AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS x
+                 FROM documents)),
+s AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, unnest([1, 2, 3]) AS u(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM s GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 10),
+halves AS (SELECT lang, k, phrase, a, j, array_to_string(w[1:j], ' ') AS first, array_to_string(w[j + 1:], ' ') AS rest
+           FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+cuts AS (SELECT h.lang, h.k, h.phrase, h.a, j, x.a AS l, y.a AS r,
+                CAST((CAST(1000000 AS HUGEINT) * h.a * h.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+         FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.first JOIN f y ON y.lang = h.lang AND y.phrase = h.rest),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (SELECT lang, phrase, max(a) AS longer
+           FROM (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM c, unnest([1, 2]) AS u(i) WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inside i ON i.lang = best.lang AND i.phrase = best.phrase AND best.k = 2
+         WHERE i.longer IS NULL OR 100 * i.longer < 50 * best.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN t USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL = {"op1_line_dedup": OP1, "op6_exact_dedup": OP6, "op5_quality_rules": OP5, "op7_mix_sources": OP7,
+              "op11_minhash_near_dedup": OP11, "op12_conversation_trie": OP12, "op13_phrase_collocations": OP13}

@@ -86,6 +86,22 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.minhash import minhash_groups
+    return minhash_groups(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, percent=80)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.trie import prefix_trie, rebuilt
+    turns, convs = rebuilt(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return prefix_trie(turns, convs)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rivulet.llm.phrases import collocations
+    return collocations(read_table(spark, sf_dir, "documents", "lang", "text"), min_count=10, top=2000, inside_percent=50)
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
     return str(public_tokenizers.path(name))
@@ -93,7 +109,8 @@ def tokenizer_path(name: str) -> str:
 
 BUILDERS = {f.__name__: f for f in (
     op1_line_dedup, op2_secret_scan, op3_html_min_cut, op4_huffman_ids, op5_quality_rules,
-    op6_exact_dedup, op7_mix_sources, op8_suffix_dedup, op9_simhash_near_dedup, op10_best_fit_packing)}
+    op6_exact_dedup, op7_mix_sources, op8_suffix_dedup, op9_simhash_near_dedup, op10_best_fit_packing,
+    op11_minhash_near_dedup, op12_conversation_trie, op13_phrase_collocations)}
 
 
 def _configured(fn):
