@@ -9,17 +9,19 @@ Every document has the set of its distinct word shingles (XXH64 each) and a sign
 2. *Prefixes.*  Two nodes that agree on ``matches`` of k coordinates share a key among the k -
    matches + 1 rarest of either (keys in one global order by frequency), so only these are
    joined; the frequent keys are skipped and looked at for surviving pairs only.
-3. *Stars.*  Each key's nodes are paired with the least node of the key, not with each other.
-   Pairs whose whole signatures collide on at least ``matches`` coordinates are confirmed on the full
-   sets; confirmed pairs give components.
-4. *Rest.*  A key whose nodes now lie in one component has nothing left to find.  In all others,
-   the nodes outside the component of the key's least node are paired with the nodes of
-   other components; again collisions are counted and pairs confirmed.
+3. *Stars.*  Each key's nodes are paired with the key's hub, its node with the most frequent keys, not
+   with each other.  Pairs whose whole signatures collide on at least ``matches`` coordinates are
+   confirmed on the full sets; confirmed pairs give components.
+4. *Rest.*  Nodes that share a key share its hub, so all other pairs meet at a hub.  A hub whose nodes now
+   lie in one component has nothing left to find.  At all others, the nodes outside the hub's
+   component meet those of other components; a join counts collisions and compares full sets, and
+   only links leave it.
 
 So every pair that agrees on ``matches`` coordinates is confirmed, or its ends are already connected;
 components are exactly those of all such pairs.  With 64 coordinates and 32 matches a link of
-similarity 0.8 is missed with probability 2e-8, of 0.85 with 6e-12.  No step makes all pairs of
-a group of copies.
+similarity 0.8 is missed with probability 2e-8, of 0.85 with 6e-12.  Copies and near copies that
+a hub connects are never compared with each other; nodes that no hub connects are, so a large group whose
+members lie just below the similarity costs its unconnected members times all members.
 
 Texts are moved only for nodes of candidate pairs, whose sets are made again from the text.
 
@@ -112,13 +114,14 @@ def _sets(shingle: int):
     return F.arrow_udf(compute, "array<bigint>")
 
 
-def _postings(nodes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """``(key, node)`` of the prefixes: the rarest shared keys of each node that can have a partner."""
+def _postings(nodes: DataFrame, matches: int) -> DataFrame:
+    """``(key, node, central)`` of the prefixes: the rarest shared keys of each node that can have a partner."""
     every = nodes.select("node", F.explode("sig").alias("key"))
     shared = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "minhash-keys")
-    own = every.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("keys"))  # coordinates at most
+    own = every.join(shared, "key").groupBy("node").agg(F.sum("freq").alias("central"),
+                                                        F.sort_array(F.collect_list(F.struct("freq", "key"))).alias("keys"))  # one per coordinate
     prefix = F.slice("keys", F.lit(1), F.greatest(F.size("keys") - matches + 1, F.lit(0)))
-    return stored(own.select("node", F.explode(prefix).alias("k")).select("k.key", "node"), "minhash-postings")
+    return stored(own.select("node", "central", F.explode(prefix).alias("k")).select("k.key", "node", "central"), "minhash-postings")
 
 
 def _ratio(small: Column, large: Column, percent: int) -> Column:
@@ -130,54 +133,44 @@ def _collisions(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b))
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Of distinct node pairs ``(a, b)`` those whose full sets reach the similarity."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(needed.join(nodes.select("node", "text"), "node"), "minhash-wanted")
-    own = texts.select(row_digest(F.col("text")).alias("digest"), "text").join(
-        broadcast_below(wanted.select(F.col("text").alias("digest"), "node"), BROADCAST_TEXTS), "digest")
-    own = own.groupBy("node").agg(F.min("text").alias("text"))
-    sets = stored(own.select("node", _sets(shingle)(F.col("text")).alias("set")), "minhash-sets")
-    found = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a") \
-        .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    both = F.size(F.array_intersect("sa", "sb"))
-    either = F.size("sa") + F.size("sb") - both
-    return found.where(100 * both.cast("bigint") >= percent * either.cast("bigint")).select("a", "b")
+def _similar(a: str, b: str, percent: int) -> Column:
+    both = F.size(F.array_intersect(a, b)).cast("bigint")
+    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
 
 
-def _collide(pairs: DataFrame, nodes: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Distinct pairs whose signatures collide often enough and whose sizes fit."""
-    side = lambda c, s: nodes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"))
-    both = pairs.join(side("a", "a"), "a").join(side("b", "b"), "b")
-    return both.where(_ratio(F.col("n_a"), F.col("n_b"), percent)).where(_collisions("sig_a", "sig_b") >= matches).select("a", "b")
+def _full_sets(needed: DataFrame, nodes: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """``(node, set)`` of the needed nodes, from one of the texts that have the set."""
+    wanted = stored(needed.join(nodes.select("node", "text"), "node").select(F.col("text").alias("digest"), "node"), "minhash-wanted")
+    own = texts.select(row_digest(F.col("text")).alias("digest"), "text").join(broadcast_below(wanted, BROADCAST_TEXTS), "digest")
+    own = own.groupBy("node").agg(F.min("text").alias("text"))
+    return stored(own.select("node", _sets(shingle)(F.col("text")).alias("set")), "minhash-sets")
 
 
-def near_links(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int, coordinates: int, matches: int) -> DataFrame:
+def near_links(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int, matches: int) -> DataFrame:
     """``(a, b)``: links that connect exactly the nodes which all links connect."""
-    postings = _postings(nodes, coordinates, matches)
-    least = postings.groupBy("key").agg(F.min("node").alias("hub"))
-    stars = postings.join(least, "key").where("hub <> node").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = stored(_collide(stars, nodes, matches, percent), "minhash-stars")
-    links = stored(_confirmed(stars, texts, nodes, shingle, percent), "minhash-links")
+    postings = _postings(nodes, matches)
+    hubs = postings.groupBy("key").agg(F.max(F.struct("central", "node")).alias("hub"))
+    members = stored(postings.join(hubs, "key").select(F.col("hub.node").alias("hub"), "node").distinct(), "minhash-members")
+    sets = _full_sets(members.select("node").distinct(), nodes, texts, shingle)
+
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("n").alias(f"n_{c}"))
+    stars = members.where("hub <> node").select(F.col("node").alias("a"), F.col("hub").alias("b")).join(side("a"), "a").join(side("b"), "b")
+    stars = stars.where(_ratio(F.col("n_a"), F.col("n_b"), percent)).where(_collisions("sig_a", "sig_b") >= matches).select("a", "b")
+    full = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
+    links = stars.join(full("a"), "a").join(full("b"), "b").where(_similar("set_a", "set_b", percent)).select("a", "b")
+    links = stored(links, "minhash-links")
 
     roots = stored(connected_components(links, "a", "b"), "minhash-roots")
-    named = postings.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    named = stored(named, "minhash-named")
-    open_keys = stored(named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("first"))
-                       .where("low <> high").select("key", F.col("first.root").alias("main")), "minhash-open")
-    # Pairs compared already need no second look; the open keys hold few of the nodes.
-    left = named.join(open_keys, "key").join(nodes.select("node", "sig", "n"), "node")
+    named = stored(members.join(roots, "node", "left").select("hub", "node", F.coalesce("root", "node").alias("root")), "minhash-named")
+    main = F.max(F.when(F.col("hub") == F.col("node"), F.col("root")))
+    left = named.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high"), main.alias("main")).where("low <> high")
+    left = named.join(left.select("hub", "main"), "hub").join(nodes.select("node", "n", "sig"), "node").join(sets, "node")
     left = stored(left, "minhash-rest")
     a, b = left.where("root <> main").alias("a"), left.alias("b")
     once = (F.col("b.root") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
-    fits = _ratio(F.col("a.n"), F.col("b.n"), percent)
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & once & fits
-                  & (_collisions("a.sig", "b.sig") >= matches))
-    rest = rest.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
-    rest = rest.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    rest = stored(rest, "minhash-rest-pairs")
-    more = links if rest.isEmpty() else links.union(_confirmed(rest, texts, nodes, shingle, percent))
-    return more
+    met = (F.col("a.root") != F.col("b.root")) & once & _ratio(F.col("a.n"), F.col("b.n"), percent)
+    found = a.join(b, (F.col("a.hub") == F.col("b.hub")) & met & (_collisions("a.sig", "b.sig") >= matches) & _similar("a.set", "b.set", percent))
+    return links.union(found.select(F.col("a.node"), F.col("b.node")))
 
 
 def minhash_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
@@ -190,7 +183,7 @@ def minhash_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", sh
     full = docs.where("n > 0")
     nodes = full.groupBy("node").agg(F.min("id").alias("least"), F.min(F.struct("text", "n", "sig")).alias("any"))
     nodes = stored(nodes.select("node", "least", "any.*"), "minhash-nodes")
-    links = near_links(nodes, texts, shingle, percent, coordinates, matches)
+    links = near_links(nodes, texts, shingle, percent, matches)
     roots = connected_components(links, "a", "b")
     rooted = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
