@@ -25,7 +25,7 @@ def test_oracle(spark, name):
 
 
 def test_every_query_is_an_operator_number():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in q.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in q.queries()) == list(range(1, 14))
 
 
 def test_secret_scan(spark):
