@@ -11,6 +11,7 @@ from rivulet.operators.enrich import lookup_json
 from rivulet.operators.windows import processing_time, tumble_count, tumble_sum
 from rivulet.operators.wordcount import word_pairs
 from rivulet.sources.user_actions import parse_user_actions, with_event_time
+from rivulet.streaming.clock_windows import clock_tumble_sum
 
 
 def user_count_stream(lines: DataFrame, size: str = "1 minute", delay: str = "1 minute") -> DataFrame:
@@ -22,20 +23,19 @@ def user_count_stream(lines: DataFrame, size: str = "1 minute", delay: str = "1
     return tumble_count(actions, "user_action_time", "user_name", size)
 
 
-def word_count_stream(lines: DataFrame, size: str = "5 seconds", heartbeat: bool = False) -> DataFrame:
-    """Lines -> (word, n) per processing-time tumbling window, like ``timeWindow(5 s).sum(1)``.
+def word_count_stream(lines: DataFrame, size: str = "5 seconds", timers: bool = True) -> DataFrame:
+    """Lines -> (word, start_time, n) per processing-time tumbling window, like ``timeWindow(5 s).sum(1)``.
 
-    Rows are stamped with the micro-batch time; a zero-delay watermark on that stamp closes a
-    window once a batch after its end has rows, so append mode emits every window once.
-    ``heartbeat`` adds one row a second from Spark's ``rate`` source, so that windows close by
-    the clock also when no further line arrives; its rows carry no count and are dropped after
-    the aggregate."""
+    By default windows close by processing-time timers (``clock_windows``): append mode emits every
+    window once, the last one too, with no further line.  Such a query runs a batch at every
+    trigger.  ``timers=False`` stamps rows with the micro-batch time and leaves closing to a zero-delay
+    watermark on that stamp: windows then close only when later lines come, which suits update mode
+    and runs over what is available now."""
     pairs = word_pairs(lines)
-    if heartbeat:
-        beat = lines.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
-        pairs = pairs.unionByName(beat.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in pairs.schema.fields]))
+    if timers:
+        return clock_tumble_sum(pairs, "word", "n", size)
     stamped = processing_time(pairs).withWatermark("proc_time", "0 seconds")
-    return tumble_sum(stamped, "proc_time", "word", "n", size).where(F.col("n").isNotNull())
+    return tumble_sum(stamped, "proc_time", "word", "n", size)
 
 
 def lookup_stream(id_lines: DataFrame, table: DataFrame, table_key: str, fields, out: str = "info",

@@ -183,7 +183,7 @@ def test_word_count_stream_totals(spark, tmp_path, no_empty_batches):
         with open(os.path.join(folder, f"f{i}.txt"), "w") as fh:
             fh.write(t + "\n")
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
-    stream = word_count_stream(read_text_lines(spark, folder, stream=True, max_files_per_trigger=1))
+    stream = word_count_stream(read_text_lines(spark, folder, stream=True, max_files_per_trigger=1), timers=False)
     name = _name("wc")
     q = start(stream, name, mode="update", trigger={"availableNow": True})
     assert q.awaitTermination(120)
@@ -366,13 +366,13 @@ def test_user_count_append_emits_each_window_once(spark, tmp_path):
 
 
 def test_word_count_windows_close_by_the_clock(spark, tmp_path):
-    """A1 + T1 in append mode with a heartbeat: the only line's windows come out without further
-    lines, each word and window once."""
+    """A1 + T1 in append mode: the only line's windows come out without further lines, each word
+    and window once."""
     folder = str(tmp_path / "words")
     os.makedirs(folder)
     with open(os.path.join(folder, "f0.txt"), "w") as fh:
         fh.write("a b a\n")
-    stream = word_count_stream(read_text_lines(spark, folder, stream=True), size="2 seconds", heartbeat=True)
+    stream = word_count_stream(read_text_lines(spark, folder, stream=True), size="2 seconds")
     name = _name("clock")
     q = start(stream, name, mode="append", trigger={"processingTime": "500 milliseconds"})
     try:

@@ -1,0 +1,213 @@
+"""State that outlives batches: rescaled buffers, the two-stream temporal join, per-value expiry,
+windows that the clock closes, and exact integers beside nulls."""
+
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from test_streaming import _name, _stream, _write_json
+
+from rivulet.operators.buffering import buffered_groups
+from rivulet.operators.count_window import count_window_average
+from rivulet.operators.temporal import asof_join
+from rivulet.session import checkpoint_location
+from rivulet.sources.text import read_text_lines
+from rivulet.streaming.buffering import buffered_stream, committed_offset, held_rows, rescaled, unread
+from rivulet.streaming.count_window import count_window_stream
+from rivulet.streaming.expiry import expiring_count_window
+from rivulet.streaming.pipelines import word_count_stream
+from rivulet.streaming.runner import deliver_batches, run_available
+from rivulet.streaming.temporal import temporal_join_stream
+
+BIG = (1 << 53) + 1
+
+
+@pytest.fixture
+def no_empty_batches(spark):
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+
+
+def _deliver(spark, stream, out, ckpt):
+    q = deliver_batches(stream, out, _name("deliver"), checkpoint=ckpt, trigger={"availableNow": True})
+    assert q.awaitTermination(120)
+
+
+def test_integers_beside_nulls_are_exact(spark, tmp_path, no_empty_batches):
+    schema = "seq bigint, bucket int, n bigint, word string"
+    folder, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), checkpoint_location(spark, "exact")
+    rows = [(BIG + 1, 0, None, "c"), (BIG, 0, BIG, "b"), (None, 0, -BIG, None), (BIG + 2, 0, BIG + 2, "held"), (BIG + 3, 0, None, "held too")]
+    _write_json(spark, rows, schema, folder, 0)
+    run = lambda: _deliver(spark, buffered_stream(_stream(spark, folder, schema), "bucket", "seq", ["n", "word"], 3), out, ckpt)
+    run()
+    read = lambda no: [(r.n, r.word) for r in spark.read.parquet(out).where(f"batch_no = {no}").collect()]
+    assert sorted(read(0), key=str) == sorted([(-BIG, None), (BIG, "b"), (None, "c")], key=str)
+    _write_json(spark, [(None, 0, BIG + 4, "d")], schema, folder, 1)
+    run()
+    assert sorted(read(1), key=str) == sorted([(BIG + 2, "held"), (None, "held too"), (BIG + 4, "d")], key=str)
+
+
+def test_null_seq_comes_first_as_in_the_batch_twin(spark, tmp_path, no_empty_batches):
+    schema = "seq bigint, k string, v bigint"
+    rows = [(1, "a", 10), (2, "a", 20), (None, "a", 90), (BIG, "b", 1), (None, "b", 7), (BIG + 1, "b", 5), (BIG - 1, "b", 3), (0, None, 4), (None, None, 8)]
+    _write_json(spark, rows, schema, str(tmp_path), 0)
+    got = run_available(count_window_stream(_stream(spark, str(tmp_path), schema), "k", "v", "seq"), _name("nullseq")).collect()
+    want = count_window_average(spark.createDataFrame(rows, schema), "k", "v", ["seq"]).collect()
+    assert sorted(((r.k, r.avg) for r in got), key=str) == sorted(((r.k, r.avg) for r in want), key=str)
+    assert ("a", 50) in {(r.k, r.avg) for r in got}
+
+
+@pytest.mark.parametrize("buckets", [6, 1])
+def test_buffers_go_on_with_another_number_of_buckets(spark, tmp_path, no_empty_batches, buckets):
+    """4 buckets -> 6 (or 1): every row is delivered once or still held, and no (bucket, group)
+    comes twice."""
+    schema = "seq bigint, n bigint, word string"
+    folder, threshold = str(tmp_path / "in"), 5
+    place = lambda k: F.pmod(F.xxhash64("word"), F.lit(k)).cast("int")
+    rows = [(i, None if i % 7 == 0 else BIG + i, f"w{i}") for i in range(133)]
+    for i in range(2):
+        _write_json(spark, rows[i * 30:(i + 1) * 30], schema, folder, i)
+
+    def source(k):
+        return _stream(spark, folder, schema).withColumn("bucket", place(k))
+
+    old = checkpoint_location(spark, "old")
+    _deliver(spark, buffered_stream(source(4), "bucket", "seq", ["seq", "n", "word"], threshold), str(tmp_path / "a"), old)
+    before = spark.read.parquet(str(tmp_path / "a"))
+    assert before.count() + held_rows(spark, old).count() == 60 and committed_offset(spark, old) == {"logOffset": 1}
+
+    again = rescaled(spark, old, ["seq", "n", "word"], threshold, place(buckets))
+    again.ready.write.parquet(str(tmp_path / "b"))
+    for i in range(2, 4):
+        _write_json(spark, rows[i * 30:(i + 1) * 30 + (13 if i == 3 else 0)], schema, folder, i)
+    new = checkpoint_location(spark, "new")
+
+    def go():
+        stream = buffered_stream(unread(source(buckets), old), "bucket", "seq", ["seq", "n", "word"], threshold, resumed=again)
+        _deliver(spark, stream, str(tmp_path / "c"), new)
+
+    go()
+    go()  # a restart of the new query changes nothing
+    out = [before, spark.read.parquet(str(tmp_path / "b")), spark.read.parquet(str(tmp_path / "c"))]
+    delivered = [(r.seq, r.n, r.word) for d in out for r in d.collect()]
+    held = [tuple(r.payload) for r in held_rows(spark, new).collect()]
+    assert sorted(delivered + held) == sorted(rows) and len(held) < buckets * threshold
+    groups = {}
+    for generation, d in ((0, out[0]), (1, out[1].select("bucket", "batch_no", "seq")), (1, out[2])):
+        for r in d.collect():
+            groups.setdefault((generation, r.bucket, r.batch_no), []).append(r.seq)
+    assert all(len(v) == threshold for v in groups.values())
+    assert min(k[2] for k in groups if k[0]) > max(k[2] for k in groups if not k[0])
+
+
+def _times(rng, n):
+    return [1_700_000_000_000_000 + rng.randrange(0, 600_000_000) for _ in range(n)]
+
+
+def _timed(df):
+    return df.withColumn("ts", F.timestamp_micros("us")).drop("us")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_two_stream_temporal_join_equals_asof_join(spark, tmp_path, how):
+    """Shuffled arrival in several batches, with a restart between them, equals the batch twin."""
+    rng = random.Random(4)
+    p_schema, v_schema = "us bigint, k string, pid bigint, note string", "us bigint, k string, price decimal(10,2), code bigint"
+    keys = ["a", "b", "c", "d", None]
+    probes = [(t if rng.random() > 0.05 else None, rng.choice(keys), BIG + i, rng.choice(["x", None, "é\"\n"])) for i, t in enumerate(_times(rng, 120))]
+    versions = [(t, rng.choice(keys[:3] + [None]), str(rng.randrange(100)), rng.choice([None, BIG, BIG + 1])) for t in _times(rng, 60)]
+    versions += [(versions[0][0], versions[0][1], "99.5", None), (probes[3][0], probes[3][1], "1.25", 7)] + versions[:2]
+    probes += probes[:3]
+    as_dec = lambda rows: [(a, b, __import__("decimal").Decimal(c), d) for a, b, c, d in rows]
+    rng.shuffle(probes)
+    rng.shuffle(versions)
+    end = 1_700_000_000_000_000 + 3_600_000_000
+    folders = {x: str(tmp_path / x) for x in "pv"}
+    ckpt = checkpoint_location(spark, "temporal")
+    collected = []
+
+    def streams():
+        p = _timed(_stream(spark, folders["p"], p_schema)).withWatermark("ts", "20 minutes")
+        v = _timed(_stream(spark, folders["v"], v_schema)).withWatermark("ts", "20 minutes")
+        return temporal_join_stream(p, v, ["k"], "ts", "ts", ["price", "code"], how=how)
+
+    def go(step):
+        q = deliver_batches(streams(), str(tmp_path / "out"), _name("tj"), checkpoint=ckpt, trigger={"availableNow": True})
+        assert q.awaitTermination(180), step
+
+    for step in range(3):  # the last step brings rows an hour later: all held probes come out
+        for i in range(2 if step < 2 else 0):
+            at = step * 2 + i
+            _write_json(spark, probes[at::4], p_schema, folders["p"], at)
+            _write_json(spark, as_dec(versions[at::4]), v_schema, folders["v"], at)
+        if step == 2:
+            _write_json(spark, [(end, "z", 0, None)], p_schema, folders["p"], 90)
+            _write_json(spark, as_dec([(end, "z", "0", 0)]), v_schema, folders["v"], 90)
+        go(step)
+    collected = spark.read.parquet(str(tmp_path / "out")).where("pid <> 0").collect()
+    twin = asof_join(_timed(spark.createDataFrame(probes, p_schema)), _timed(spark.createDataFrame(as_dec(versions), v_schema)), ["k"], "ts", "ts",
+                     ["price", "code"], how=how).collect()
+    shape = lambda rows: sorted(((r.ts, r.k, r.pid, r.note, r.version_price, r.version_code) for r in rows), key=str)
+    assert shape(collected) == shape(twin) and len(twin) > 50
+
+
+def test_expiring_count_window_equals_the_batch_twin(spark, tmp_path):
+    """Per-value expiry: however rows are cut into batches and ordered, the result is that of
+    ``count_window_average`` with a TTL."""
+    rng = random.Random(8)
+    schema = "us bigint, k string, seq bigint, v bigint"
+    rows = [(t - t % 250_000, rng.choice(["a", "b", None]), i if i % 9 else None, rng.randrange(-50, 50)) for i, t in enumerate(_times(rng, 260))]
+    rows += [(rows[0][0], rows[0][1], 10_001, 5), (rows[0][0] + 4_000_000, rows[0][1], 10_002, BIG)]
+    seen = set()
+    rows = [r for r in rows if not ((r[0], r[1], r[2]) in seen or seen.add((r[0], r[1], r[2])))]
+    twin = count_window_average(_timed(spark.createDataFrame(rows, schema)), "k", "v", ["ts", "seq"], n=2, ttl="4 seconds", time_col="ts").collect()
+    want = sorted(((r.k, r.run_no, r.win_no, r.avg) for r in twin), key=str)
+    for cuts in (1, 5):
+        rng.shuffle(rows)
+        folder, out, ckpt = str(tmp_path / f"in{cuts}"), str(tmp_path / f"out{cuts}"), checkpoint_location(spark, "expiry")
+        for i in range(cuts + 1):
+            _write_json(spark, rows[i::cuts] if i < cuts else [(1_700_000_000_000_000 + 7_200_000_000, "end", 0, 0)], schema, folder, i)
+            stream = _timed(_stream(spark, folder, schema)).withWatermark("ts", "1 hour")
+            _deliver(spark, expiring_count_window(stream, "k", "v", "seq", "ts", "4 seconds"), out, ckpt)  # restarts each time
+        got = spark.read.parquet(out).collect()
+        assert sorted(((r.k, r.run_no, r.win_no, r.avg) for r in got), key=str) == want and len(want) > 20
+
+
+def test_expired_state_is_cleared(spark, tmp_path):
+    schema = "us bigint, k string, seq bigint, v bigint"
+    folder, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), checkpoint_location(spark, "cleared")
+    day = 1_700_000_000_000_000
+    for i, rows in enumerate(([(day, "a", 1, 3)], [(day + 60_000_000, "b", 2, 4)], [(day + 120_000_000, "b", 3, 4)])):
+        _write_json(spark, rows, schema, folder, i)
+        stream = _timed(_stream(spark, folder, schema)).withWatermark("ts", "1 second")
+        _deliver(spark, expiring_count_window(stream, "k", "v", "seq", "ts", "2 seconds"), out, ckpt)
+    window = spark.read.format("statestore").option("stateVarName", "window").load(ckpt)
+    assert [r[0] for r in window.select("key.k").where("value is not null").collect()] in ([], ["b"])
+
+
+def test_clock_windows_sum_hot_words_and_restart(spark, tmp_path):
+    """Windows that were open when the query stopped are emitted after its restart, once."""
+    folder = str(tmp_path / "words")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "f0.txt"), "w") as fh:
+        fh.write("hot " * 5000 + "\nb\n" + "hot\n" * 300)
+    ckpt, out = checkpoint_location(spark, "clock"), str(tmp_path / "out")
+    lines = lambda: read_text_lines(spark, folder, stream=True)
+    q = deliver_batches(word_count_stream(lines(), size="30 seconds"), out, _name("clock"), checkpoint=ckpt, trigger={"processingTime": "300 milliseconds"})
+    deadline = time.time() + 60
+    while time.time() < deadline and not (q.lastProgress and any(p["numInputRows"] for p in q.recentProgress)):
+        time.sleep(0.2)
+    q.stop()
+    q = deliver_batches(word_count_stream(lines(), size="30 seconds"), out, _name("clock"), checkpoint=ckpt, trigger={"processingTime": "500 milliseconds"})
+    read = lambda: [(r.word, r.n) for r in spark.read.schema("word string, start_time timestamp, n int").parquet(out).collect()]
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and (not os.path.exists(out) or len(read()) < 2):
+            time.sleep(0.5)
+        time.sleep(2)
+    finally:
+        q.stop()
+    assert sorted(read()) == [("b", 1), ("hot", 5300)]
