@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
@@ -55,38 +56,56 @@ def lookup_or_timeout(df: DataFrame, key_col: str, table: DataFrame, table_key:
 
 def _call_batches(batches, out_schema, client_factory: Callable, timeout_s: float,
                   capacity: int, workers: int, timeout_value: str):
-    """Per task: one client, one thread pool; per Arrow batch (key in column 0): one call per
-    distinct non-null key, as a plain Python value, at most ``capacity`` in flight, each answered
-    or timed out ``timeout_s`` after submission.  A null key is never sent; its answer is null."""
+    """Per task: one client, one thread pool and one window of at most ``capacity`` calls in flight,
+    which slides on over the borders of Arrow batches: while calls of one batch are out, those of
+    the next are sent, so a slow call holds back only its own batch and those behind it in the output.
+    Per batch one call per distinct non-null key (in ``_async_key``), as a plain Python value, each answered
+    or timed out ``timeout_s`` after submission; a null key is never sent, its answer is null.
+    Batches come out in order; one is read ahead only when all keys before it are sent, so at
+    most ``capacity`` + 1 batches are held."""
     import pyarrow as pa
 
     client = client_factory()
     pool = ThreadPoolExecutor(max_workers=workers)
+    held: deque = deque()  # (batch, its keys, answers so far, number of answers to come)
+    inflight: dict = {}  # future -> (key, deadline, entry of held)
+
+    def settle(until_below: int):
+        """Take answers until fewer than ``until_below`` calls are in flight or the first batch is whole."""
+        while len(inflight) >= until_below and held[0]["open"]:
+            earliest = min(deadline for _, deadline, _ in inflight.values())
+            done, _ = wait(list(inflight), timeout=max(0.0, earliest - time.monotonic()), return_when=FIRST_COMPLETED)
+            now = time.monotonic()
+            for fut, (key, deadline, entry) in list(inflight.items()):
+                if fut in done or deadline <= now:  # abandoned: a Python thread cannot be stopped
+                    inflight.pop(fut)
+                    # a failing call fails the task (Spark retries it)
+                    entry["answers"][key] = fut.result() if fut in done else timeout_value
+                    entry["open"] -= 1
+
+    def finished():
+        while held and not held[0]["open"]:
+            entry = held.popleft()
+            batch = entry["batch"]
+            columns = [batch.column(n) for n in batch.schema.names if n != "_async_key"]
+            columns.append(pa.array([entry["answers"][k] for k in entry["asked"]], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=out_schema)
+
     try:
         for batch in batches:
             asked = batch.column("_async_key").to_pylist()
             keys = list(dict.fromkeys(k for k in asked if k is not None))
-            answers: dict = {None: None}
-            inflight: dict = {}
-            nxt = 0
-            while nxt < len(keys) or inflight:
-                while nxt < len(keys) and len(inflight) < capacity:
-                    inflight[pool.submit(client, keys[nxt])] = (keys[nxt], time.monotonic() + timeout_s)
-                    nxt += 1
-                earliest = min(deadline for _, deadline in inflight.values())
-                done, _ = wait(list(inflight), timeout=max(0.0, earliest - time.monotonic()),
-                               return_when=FIRST_COMPLETED)
-                for fut in done:
-                    key, _ = inflight.pop(fut)
-                    answers[key] = fut.result()  # a failing call fails the task (Spark retries it)
-                now = time.monotonic()
-                for fut, (key, deadline) in list(inflight.items()):
-                    if deadline <= now:  # abandoned: a Python thread cannot be stopped
-                        inflight.pop(fut)
-                        answers[key] = timeout_value
-            columns = [batch.column(n) for n in batch.schema.names if n != "_async_key"]
-            columns.append(pa.array([answers[k] for k in asked], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=out_schema)
+            entry = {"batch": batch, "asked": asked, "answers": {None: None}, "open": len(keys)}
+            held.append(entry)
+            for key in keys:
+                while len(inflight) >= capacity:
+                    settle(capacity)
+                    yield from finished()
+                inflight[pool.submit(client, key)] = (key, time.monotonic() + timeout_s, entry)
+            yield from finished()
+        while held:
+            settle(1)
+            yield from finished()
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
         close = getattr(client, "close", None)
@@ -111,7 +130,7 @@ def async_lookup(df: DataFrame, key_col: str, client_factory: Callable[[], Calla
     and the answers are joined back.  Nothing runs before the result is used.  The answers are
     part of the plan: a retry of a later stage reads their shuffle, and calls again only for
     lost tasks.  Streaming input: each micro-batch is handled in place (stateless), one call
-    per distinct key of each Arrow batch.
+    per distinct key of each Arrow batch, with one window of calls in flight per task.
     """
     key = F.col(key_col)
 

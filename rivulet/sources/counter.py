@@ -3,13 +3,15 @@
 The bounded form is ``spark.range``.  The stream is a Python data source whose reader fills Arrow
 batches (no per-row Python) and keeps one offset per subtask in the checkpointed offset log, so a
 restarted query continues where the last committed batch ended and every value is emitted
-exactly once per subtask.
+exactly once per subtask, also when it is restarted with another number of subtasks.
 
 Options: ``subtasks`` (default 1), ``rows_per_batch`` (values per subtask and micro-batch, default 1000).
 """
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -37,6 +39,11 @@ def _emit(part: CounterRange):
 
 
 class CounterStreamReader(DataSourceStreamReader):
+    """Offsets are a list with one next value per subtask.
+
+    The list only ever grows: a restart with more subtasks starts the new ones at 0, a restart with fewer
+    keeps the places of those that are gone, so that they go on there if they come back."""
+
     def __init__(self, options):
         self.subtasks = int(options.get("subtasks", 1))
         self.step = int(options.get("rows_per_batch", 1000))
@@ -46,14 +53,16 @@ class CounterStreamReader(DataSourceStreamReader):
         return {"next": [0] * self.subtasks}
 
     def latestOffset(self):
-        self.pos = [p + self.step for p in self.pos]
+        self.pos = [p + self.step * (i < self.subtasks) for i, p in enumerate(self.pos)]
         return {"next": list(self.pos)}
 
     def partitions(self, start, end):
         # After a restart Spark replays from the offset log; move our position up to it so
         # that the next latestOffset() continues after the last planned batch.
-        self.pos = [max(p, e) for p, e in zip(self.pos, end["next"])]
-        return [CounterRange(i, s, e) for i, (s, e) in enumerate(zip(start["next"], end["next"]))]
+        self.pos = [max(p, e) for p, e in zip_longest(self.pos, end["next"], fillvalue=0)]
+        # A planned batch is replayed as it was planned, for the subtasks of that time.
+        ranges = enumerate(zip_longest(start["next"], end["next"], fillvalue=0))
+        return [CounterRange(i, s, e) for i, (s, e) in ranges if e > s] or [CounterRange(0, 0, 0)]
 
     def read(self, partition):
         yield from _emit(partition)
