@@ -7,13 +7,14 @@ holding a third of the data makes one task read a third of the data.  Here long
 0. boundaries: a uniform sample (``SAMPLES_PER_CHUNK`` rows per chunk) gives, for every key that
    has more sampled rows than a chunk, the rows at every ``SAMPLES_PER_CHUNK``-th place of its
    order.  They are quantiles, so chunks are even in *rows* however the values are spread.
-   Nothing runs while the query is built: the sampled pass is part of the plan.  The boundaries
-   are joined to the rows by broadcast in two levels (groups of ``FAN`` chunks, then chunks), so
+   The sampled pass runs when the query is built; its table is written once under the shared
+   checkpoint folder, so every branch of the plan reads the same few rows.  If no key is long
+   there is no table, and the plan is that of a plain window.  The boundaries are joined to the rows by broadcast in two levels (groups of ``FAN`` chunks, then chunks), so
    a row is compared with about 2 * FAN of them at most; there are ``MAX_BOUNDARIES`` at most
    (beyond that the chunks grow), a fixed bound on what is broadcast.  Only comparisons of
    (key, order tuple) are made: any orderable type, no arithmetic on values, nulls included.
-   The chunk is a pure function of the row and the sample (fixed seed), so every branch of the
-   plan and every retry computes the same chunks;
+   The chunk is a pure function of the row and the table, so every branch of the plan and every
+   retry computes the same chunks;
 1. local scan: the window runs within ``(key, chunk)`` -- one hash shuffle, bounded groups;
 2. chunk summaries: one row per chunk of a split key (count, last value, runs, ...), from the rows
    after the local window -- same partitioning, no further shuffle; rows of keys kept whole are
@@ -37,6 +38,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.session import checkpoint_location
+
 KEY = "_scan_key"
 CHUNK = "_scan_chunk"
 SPLIT = "_scan_split"  # the row's key is cut into several chunks (only those need a carry)
@@ -74,6 +77,19 @@ def chunk_table(keyed: DataFrame, chunk_rows: int) -> DataFrame:
     return marks.select(F.col(KEY).alias("_ck"), F.inline(F.when(F.col("_m") == 1, F.array(first, own)).otherwise(F.array(own))))
 
 
+def _stored_chunks(keyed: DataFrame, chunk_rows: int) -> DataFrame | None:
+    """The chunk table, written once under the shared checkpoint folder; None if no key is long
+    (counted first: a sample with map-side combine, which is all that most inputs need)."""
+    fraction = min(1.0, SAMPLES_PER_CHUNK / chunk_rows)
+    sample = keyed.select(KEY) if fraction == 1.0 else keyed.select(KEY).sample(fraction=fraction, seed=_SEED)
+    if sample.groupBy(KEY).count().where(F.col("count") > max(1, round(chunk_rows * fraction))).isEmpty():
+        return None
+    spark, table = keyed.sparkSession, chunk_table(keyed, chunk_rows)
+    path = checkpoint_location(spark, "chunks")
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
     """``df`` with the struct key, the order tuple, the chunk and the flag of split keys."""
     chunk_rows = CHUNK_ROWS if chunk_rows is None else chunk_rows
@@ -81,7 +97,10 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows
         raise ValueError("chunk_rows must be at least 1")
     tie = F.xxhash64(*df.columns)
     keyed = df.withColumns({KEY: F.struct(*keys), ORDER: F.struct(*[F.col(c) for c in order], tie.alias("_tie"))})
-    fine = chunk_table(keyed, chunk_rows).withColumn("_coarse", F.floor(F.col("_chunk") / FAN))
+    chunks = _stored_chunks(keyed, chunk_rows)
+    if chunks is None:  # literals: Spark drops all that concerns split keys from the plan
+        return keyed.withColumns({CHUNK: F.lit(0).cast("bigint"), SPLIT: F.lit(False)})
+    fine = chunks.withColumn("_coarse", F.floor(F.col("_chunk") / FAN))
     ends = Window.partitionBy("_ck").orderBy("_chunk")
     coarse = fine.where(F.col("_chunk") % FAN == 0).select(
         F.col("_ck").alias("_gk"), F.col("_coarse").alias("_group"), F.col("_lo").alias("_glo"), F.lead("_lo").over(ends).alias("_ghi"))
@@ -108,10 +127,11 @@ def _summary(local: DataFrame, *aggs: Column) -> DataFrame:
 
 
 def _with_carry(local: DataFrame, carry: DataFrame) -> DataFrame:
-    """Left join on (key, chunk); a struct key is never null, so null key values meet."""
+    """Left join on (key, chunk): a struct key is never null and its nulls are equal, so null key
+    values meet by plain equality, which keeps the partitioning of the window."""
     names = [c for c in carry.columns if c not in (KEY, CHUNK)]
     carry = carry.select(F.col(KEY).alias("_ck"), F.col(CHUNK).alias("_cc"), *names)
-    joined = local.join(carry, local[KEY].eqNullSafe(F.col("_ck")) & (local[CHUNK] == F.col("_cc")), "left")
+    joined = local.join(carry, (local[KEY] == F.col("_ck")) & (local[CHUNK] == F.col("_cc")), "left")
     return joined.drop("_ck", "_cc")
 
 
