@@ -98,21 +98,24 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     else:
         groups = stored(run_state(place, schema, spark, files_per_trigger), "exact-groups")
     found = rows.join(groups, "digest")
-    odd = stored(_unequal(source, groups.where("n > 1")), "exact-odd")
-    if not odd.isEmpty():
+    odd = _unequal(source, groups.where("n > 1"))
+    if odd is not None:
         found = _regroup(found, odd)
     stays = (F.col("file") == F.col("stay.file")) & (F.col("row") == F.col("stay.row"))
     return found.select(F.col("id").alias(id_col), F.col("stay.id").alias("keep_id"), F.col("n").alias("group_size"),
                         stays.alias("kept"), "digest", "file", "row")
 
 
-def _unequal(source: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows whose digest stands for different bytes.  Per digest with a hit, the least and the
-    greatest text are compared byte for byte; they are found with map-side combine."""
+def _unequal(source: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Rows whose digest stands for different bytes (None: there are none).  Per digest with a hit, the
+    least and the greatest text are compared byte for byte; they are found with map-side combine."""
     key = F.xxhash64("digest")
     hits = with_may_match(source, key, bit_table(groups.select("digest"), key), "_hit").where("_hit")
     mixed = hits.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("b")).where("a <> b").select("digest")
-    return hits.join(mixed, "digest").select("id", "digest", "file", "row", "norm")
+    mixed = stored(mixed, "exact-mixed")
+    if mixed.isEmpty():
+        return None
+    return stored(hits.join(mixed, "digest").select("id", "digest", "file", "row", "norm"), "exact-odd")
 
 
 def _regroup(found: DataFrame, odd: DataFrame) -> DataFrame:
@@ -124,10 +127,16 @@ def _regroup(found: DataFrame, odd: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of a frame read straight from files that stay, with all their columns."""
+    """The rows of a frame that stay, with all their columns (a frame not read from files is written
+    to the shared folder first)."""
+    place = [F.col("_metadata.file_path").alias("_dedup_file"), F.col("_metadata.row_index").alias("_dedup_row")]
+    try:
+        placed = df.select("*", *place)
+    except AnalysisException:  # not read from files
+        df = stored(df, "exact-input")
+        placed = df.select("*", *place)
     groups = exact_groups(df, id_col, text)
     gone = stored(groups.where(~F.col("kept")).select(F.col("file").alias("_gone_file"), F.col("row").alias("_gone_row")), "exact-gone")
     gone = broadcast_below(gone, BROADCAST_ROWS)
-    placed = df.select("*", F.col("_metadata.file_path").alias("_dedup_file"), F.col("_metadata.row_index").alias("_dedup_row"))
     return placed.join(gone, (F.col("_dedup_file") == F.col("_gone_file")) & (F.col("_dedup_row") == F.col("_gone_row")),
                        "left_anti").drop("_dedup_file", "_dedup_row")
