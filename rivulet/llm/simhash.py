@@ -110,7 +110,9 @@ def _meeting_links(hot: DataFrame, max_bits: int) -> DataFrame:
 def fingerprint_links(prints: DataFrame, max_bits: int = 2, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """``prints(fp)`` distinct -> ``(a, b)``: pairs within ``max_bits`` bits that connect exactly
     the fingerprints which all such pairs connect (within a large variant not every pair)."""
-    index = _indexed(prints.repartition("fp"), max_bits)  # the stored table is narrow: few splits
+    # The stored table is narrow: without a number its few bytes would be merged into one or two tasks.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = _indexed(prints.repartition(parts, "fp"), max_bits)
     sides = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("side").cast("int")))
     counts = index.groupBy("tag", "masked").agg(F.count(F.lit(1)).alias("n"), sides.alias("sides"))
     shared = stored(counts.where(((F.col("sides") == 1 << WHOLE) & (F.col("n") > 1)) | (F.col("sides") == 3))
