@@ -27,18 +27,30 @@ from rivulet.llm.units import tokenizer_settings
 from rivulet.session import configure
 from rivulet.sources.tables import read_table
 
+# Memory beside the heap: Arrow batches by bytes (texts may be long), one bounded store cache per executor.
+BOUNDED = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+}
 BROADCAST_IDS = 200_000  # rows of (file, row) that are broadcast instead of shuffling the texts
 
 
+def _prepare(spark: SparkSession) -> None:
+    configure(spark)
+    for key, value in BOUNDED.items():
+        spark.conf.set(key, value)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    configure(spark)
+    _prepare(spark)
     return kept_documents(docs)
 
 
 def keep_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the least id."""
-    configure(spark)
+    _prepare(spark)
     return drop_exact_duplicates(docs)
 
 
@@ -53,7 +65,7 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, one row: the least id (nulls last), then locator."""
-    configure(spark)
+    _prepare(spark)
     placed = _placed(docs)
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_near_file").alias("file"),
                    F.col("_near_row").alias("row"))
@@ -67,7 +79,7 @@ def keep_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    configure(spark)
+    _prepare(spark)
     mixed = mix_sources(docs.select("*", F.struct("*").alias("_document")))
     taken = mixed.where("copies > 0").select("_document", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return taken.select("_document.*")
@@ -75,7 +87,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of at most 1024 ids."""
-    configure(spark)
+    _prepare(spark)
     packed = pack_documents(docs, tokenizer_settings(tokenizer_path("byte_bpe_50k.json")), end_id=2, size=1024)
     return packed.select("doc_id", "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
 
@@ -94,7 +106,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    configure(spark)
+    _prepare(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
