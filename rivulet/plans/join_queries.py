@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.operators.enrich import lookup_json, lookup_or_timeout
-from rivulet.operators.temporal import asof_join
+from rivulet.operators.temporal import asof_join_within
 from rivulet.plans.registry import SKEW_CHUNK_ROWS, SQL_SKEWED_USER, register
 from rivulet.sources.tables import read_table
 
@@ -68,9 +68,9 @@ _TEMPORAL_SQL = (
 def _temporal(spark: SparkSession, sf_dir: str, user: str = "user_id", chunk_rows: int | None = None) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type", "value")
     ev = ev.withColumn("user_id", F.expr(user))
-    probe = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    versions = ev.where(F.col("event_type") == "signup").select("event_id", "user_id", "ts", "value")
-    return asof_join(probe, versions, ["user_id"], "ts", "ts", ["event_id", "value"], chunk_rows=chunk_rows)
+    kind = F.col("event_type")
+    return asof_join_within(ev, kind == "purchase", kind == "signup", ["user_id"], "ts", ["event_id", "user_id", "ts"],
+                            ["event_id", "value"], chunk_rows=chunk_rows)
 
 
 @register("temporal_join", _TEMPORAL_SQL.format(user="user_id"))
