@@ -8,8 +8,10 @@ value that still costs ``MIN_GUESSES`` or more is random enough to be a real sec
 placeholders such as ``changeme`` or ``xxxxxxxx`` cost little and are left alone.
 
 The scan is one Arrow pass without a shuffle.  Byte searches rule out almost all texts before a
-pattern runs.  The dynamic program is linear in the value's length: words, walks and dates have
-bounded length by their nature, a repeat's unit has at most ``MAX_UNIT`` characters.
+pattern runs.  The dynamic program keeps only places whose cost is still below the limit.  Every span
+costs something, words, walks and dates have bounded length and a repeat's unit has at most
+``MAX_UNIT`` characters, so it looks at a bounded stretch of a value, however long the value is;
+only repeats are followed further, by comparing slices.
 
 Edge cases: a null text has no spans; ids are never read, repeated rows get equal spans;
 positions count code points; further columns pass through; an empty table gives an empty result.
@@ -17,6 +19,7 @@ positions count code points; further columns pass through; an empty table gives
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex", "guess")
 MIN_GUESSES = 10.0  # log10 guesses from which a value counts as random
 MAX_UNIT = 16  # characters of a repeat's unit
-SPAN_COST = 0.3  # log10 guesses for each further span
+SPAN_COST = 0.6  # log10 guesses for each further span
 
 # The base patterns (ASCII letters of the keyword in either case).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -36,9 +39,9 @@ HEX = re.compile(r"[0-9a-f]+")
 HEX_BYTES = re.compile(rb"[0-9a-f]{24}")
 
 CONTEXT = re.compile(
-    r"(?<![a-z])(?:pass(?:word|wd|phrase|code|key)?|pwd|secret|token|credentials?|auth|bearer|pin"
+    r"(?<![a-z])(?:(?:pass(?:word|wd|phrase|code|key)?|pwd|secret|token|credentials?|auth|bearer|pin"
     r"|(?:api|access|private|secret|auth|client)[_\-\x20]?(?:key|token|secret))"
-    r"[\"']?\x20*(?:=>|:=|[:=])\x20*(\"[^\"\s]+\"|'[^'\s]+'|[^\s\"'<>]+)", re.I | re.A)
+    r"[\"']?[\x20\t]*(?:=>|:=|[:=])[\x20\t]*|bearer[\x20\t]+)(\"[^\"\s]+\"|'[^'\s]+'|[^\s\"'<>]+)", re.I | re.A)
 CONTEXT_BYTES = (b"pass", b"pwd", b"secret", b"token", b"credential", b"auth", b"bearer", b"pin", b"key")
 BASE_BYTES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
@@ -57,8 +60,12 @@ KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 PLACE = {c: (r, i) for r, row in enumerate(KEY_ROWS) for i, c in enumerate(row)}
 DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?"
                   r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d", re.A)
-WORDLIKE = re.compile(r"[A-Za-z]?[a-z]{3,}", re.A)
-ODD_RUN = re.compile(r"[aeiou]{4}|[^aeiou]{5}")
+WORDLIKE = re.compile(r"[A-Za-z]?[a-z]{3,15}", re.A)
+# Letter runs that words hardly have; the last letter of a match is one too many.
+ODD_RUN = re.compile(r"[aeiou]{4}|[^aeiouy]{4}|[jqvz][^aeiouyz]|q[^u]")
+# Characters to try per class (small letters, capitals, digits, ASCII signs, others).
+ALPHABETS = (26, 26, 10, 33, 100)
+SEPARATORS = "_-. ${}"
 
 
 def _near(a: str, b: str) -> bool:
@@ -66,65 +73,122 @@ def _near(a: str, b: str) -> bool:
     return p is not None and q is not None and a != b and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
 
-def _char_cost(c: str) -> float:
-    if c in "_-. ":
-        return 0.5  # a separator
-    if c.isascii():
-        return 1.0 if c.isdigit() else 1.4 if c.isalpha() else 1.5
-    return 2.0
+def _class(c: str) -> int:
+    if not c.isascii():
+        return 4
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def spans_from(value: str, at: int):
-    """``(end, cost, kind)`` of the spans other than brute force that start at ``at``."""
-    n, low = len(value), value.lower()
+#: By set of classes (bits): log10 of the characters to try at each place.
+_PER_CHAR = [math.log10(max(1, sum(size for i, size in enumerate(ALPHABETS) if mask >> i & 1))) for mask in range(1 << len(ALPHABETS))]
+#: By class: the sets that hold it.
+_MASKS = [[mask for mask in range(1 << len(ALPHABETS)) if mask >> i & 1] for i in range(len(ALPHABETS))]
+
+
+def brute_cost(piece: str) -> float:
+    """Guesses for a piece without structure: the alphabet of the classes in use, per character."""
+    mask = 0
+    for c in piece:
+        mask |= 1 << _class(c)
+    return len(piece) * _PER_CHAR[mask]
+
+
+def _equal_run(value: str, a: int, b: int) -> int:
+    """Length of the longest common prefix of ``value[a:]`` and ``value[b:]`` (a < b)."""
+    most, n, step = len(value) - b, 0, 16
+    while n < most:
+        step = min(step, most - n)
+        if value[a + n:a + n + step] == value[b + n:b + n + step]:
+            n, step = n + step, 2 * step
+        elif step == 1:
+            break
+        else:
+            step = step // 2
+    return n
+
+
+def spans_from(value: str, at: int, limit: float = math.inf):
+    """``(end, cost, kind)`` of the spans other than brute force that start at ``at``; walks are not
+    followed once they cost ``limit``."""
+    n = len(value)
+    for end in range(at + 1, min(n, at + 2) + 1):  # one or two, as in ${name}
+        if value[end - 1] not in SEPARATORS:
+            break
+        yield end, 0.5, "separator"
+    piece = value[at:at + LONGEST_WORD]
+    low = piece.lower() if piece.isascii() else "".join(c.lower() if c.isascii() else c for c in piece)
     plain = low.translate(LEET)
-    for end in range(at + 2, min(n, at + LONGEST_WORD) + 1):
-        rank = WORD_RANK.get(low[at:end]) or WORD_RANK.get(plain[at:end])
+    for size in range(2, len(piece) + 1):
+        rank = WORD_RANK.get(low[:size]) or WORD_RANK.get(plain[:size])
         if rank:
-            varied = (value[at:end] != low[at:end]) + (low[at:end] != plain[at:end])
-            yield end, math.log10(rank + 1) + 0.5 * varied, "word"
+            varied = (piece[:size] != low[:size]) + (low[:size] != plain[:size])
+            yield at + size, math.log10(rank + 1) + 0.5 * varied, "word"
     m = WORDLIKE.match(value, at)
-    if m and not ODD_RUN.search(m[0].lower()):
-        yield m.end(), 5.0, "word"  # looks like a word of some language
+    if m:  # looks like a word of some language; longer words are rarer
+        odd = ODD_RUN.search(m[0].lower())
+        for size in range(4, (odd.end() - 1 if odd else len(m[0])) + 1):
+            yield at + size, 3.2 + 0.45 * size, "word"
     m = DATE.match(value, at)
     if m:
         yield m.end(), math.log10(120 if m.end() - at == 4 else 120 * 366), "date"
-    end, turns = at + 1, 0
+    end, turns, cost = at + 1, 0, 0.0
     step = None
-    while end < n and _near(low[end - 1], low[end]):
-        move = (PLACE[low[end]][0] - PLACE[low[end - 1]][0], PLACE[low[end]][1] - PLACE[low[end - 1]][1])
+    while end < n and cost < limit and _near(value[end - 1].lower(), value[end].lower()):
+        a, b = PLACE[value[end - 1].lower()], PLACE[value[end].lower()]
+        move = (b[0] - a[0], b[1] - a[1])
         turns, step, end = turns + (step is not None and move != step), move, end + 1
-        if end - at >= 3:
-            yield end, math.log10(len(PLACE) * (end - at)) + 0.6 * turns, "walk"
+        cost = math.log10(len(PLACE) * (end - at)) + 0.6 * turns
+        if end - at >= 3 + (turns > 0):
+            yield end, cost, "walk"
     for unit in range(1, min(MAX_UNIT, (n - at) // 2) + 1):
-        times = 1
-        while value.startswith(value[at:at + unit], at + times * unit):
-            times += 1
+        times = 1 + _equal_run(value, at, at + unit) // unit
         if times >= 2 and unit * times >= 3:
-            yield at + unit * times, sum(map(_char_cost, value[at:at + unit])) + math.log10(times), "repeat"
+            yield at + unit * times, brute_cost(value[at:at + unit]) + math.log10(times), "repeat"
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
-    """Least log10 guesses of a value and the segmentation that attains it."""
+def guess_cost(value: str, limit: float = math.inf) -> tuple[float, list[tuple[int, int, str]]]:
+    """Least log10 guesses of a value and a segmentation that attains it; ``(inf, [])`` if it is
+    ``limit`` or more.  Places are visited from left to right.  ``closed`` holds the least cost of
+    the value up to a place, ``open_brute`` that with a brute-force span still open, by the
+    classes that the span may use."""
     n = len(value)
-    best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
-    for at in range(n):
-        cost, _, kind = best[at]
-        open_brute = SPAN_COST * (kind != "brute" and at > 0)
-        options = [(at + 1, _char_cost(value[at]) + open_brute, "brute")]
-        options += [(end, c + SPAN_COST * (at > 0), k) for end, c, k in spans_from(value, at)]
-        for end, c, k in options:
-            if cost + c < best[end][0]:
-                best[end] = (cost + c, at, k)
+    closed: dict[int, tuple[float, int, str]] = {0: (0.0, 0, "")}
+    open_brute: dict[int, dict[int, tuple[float, int]]] = {}
+    todo, known = [0], {0}
+
+    def reach(place: int) -> None:
+        if place not in known:
+            known.add(place)
+            heapq.heappush(todo, place)
+
+    while todo:
+        at = heapq.heappop(todo)
+        running = open_brute.pop(at, {})
+        for cost, start in running.values():
+            if cost < closed.get(at, (math.inf,))[0]:
+                closed[at] = (cost, start, "brute")
+        if at == n:
+            break
+        before = closed[at][0] + SPAN_COST * (at > 0)
+        for end, cost, kind in spans_from(value, at, limit - before):
+            if before + cost < min(limit, closed.get(end, (math.inf,))[0]):
+                closed[end] = (before + cost, at, kind)
+                reach(end)
+        further = open_brute.setdefault(at + 1, {})
+        for mask in _MASKS[_class(value[at])]:
+            cost, start = min((before, at), running.get(mask, (math.inf, 0)))
+            if cost + _PER_CHAR[mask] < limit:
+                further[mask] = (cost + _PER_CHAR[mask], start)
+        if further:
+            reach(at + 1)
+    if n not in closed:
+        return math.inf, []
     parts, end = [], n
     while end:
-        _, at, kind = best[end]
-        if parts and kind == "brute" == parts[-1][2]:
-            parts[-1] = (at, parts[-1][1], kind)
-        else:
-            parts.append((at, end, kind))
+        _, at, kind = closed[end]
+        parts.append((at, end, kind))
         end = at
-    return best[n][0], parts[::-1]
+    return closed[n][0], parts[::-1]
 
 
 def find_spans(raw: bytes | None) -> list[tuple[str, int, int]]:
@@ -133,7 +197,7 @@ def find_spans(raw: bytes | None) -> list[tuple[str, int, int]]:
         return []
     low = raw.lower()
     assign = any(k in low for k in BASE_BYTES)
-    context = (b"=" in low or b":" in low) and any(k in low for k in CONTEXT_BYTES)
+    context = (b"=" in low or b":" in low or b"bearer" in low) and any(k in low for k in CONTEXT_BYTES)
     access, hexa = b"AKIA" in raw, HEX_BYTES.search(raw) is not None
     if not (assign or context or access or hexa):
         return []
@@ -151,7 +215,7 @@ def find_spans(raw: bytes | None) -> list[tuple[str, int, int]]:
                 start, end = start + 1, end - 1
             else:
                 end = start + len(text[start:end].rstrip(".,;:!?)]}"))
-            if end > start and guess_cost(text[start:end])[0] >= MIN_GUESSES:
+            if end > start and guess_cost(text[start:end], MIN_GUESSES)[0] >= MIN_GUESSES:
                 found.append(("guess", start, end))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
