@@ -15,7 +15,7 @@ The per-source table (one row per distinct source) is joined by broadcast when i
 to hold at most ``BROADCAST_SOURCES`` rows, else by Spark's own choice of join.
 
 Edge cases: a null text has size 0; a null source is a source of its own, ordered last; null
-ids hash like the text 'null'; rows that share an id share its hash and are taken alike;
+ids hash like the text 'null'; the hash is of id and text, so only rows equal in both are taken alike;
 sources without tokens have target 0; ties at the threshold (equal 60-bit hashes) are taken
 together; an empty table gives an empty result.  Further columns pass through (internal columns
 are prefixed ``_mix_``).
@@ -35,9 +35,9 @@ LEVELS = (12, 16, 32)  # bits of each histogram level; they add up to HASH_BITS
 BROADCAST_SOURCES = 100_000
 
 
-def unit_hash(key: Column, seed: str = "mix") -> Column:
-    """60 bits of the md5 of ``seed:key``, as a non-negative bigint (the same in plain SQL)."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null"))))
+def unit_hash(key: Column, text: Column, seed: str = "mix") -> Column:
+    """60 bits of the md5 of ``seed:key:md5(text)``, as a non-negative bigint (the same in plain SQL)."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null")), F.md5(text_or_empty(text))))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -108,7 +108,7 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text: str = "text", source:
              weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """One row per source: source, source_size, weight, target, epochs, threshold."""
     docs = stored(df.select(F.col(source).cast("string").alias("source"), word_count(text).alias("size"),
-                            unit_hash(F.col(id_col), seed).alias("hash")), "mix-sizes")
+                            unit_hash(F.col(id_col), F.col(text), seed).alias("hash")), "mix-sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     return stored(thresholds(docs, stored(targets(sizes, weights, max_epochs), "mix-targets")), "mix-plan")
 
@@ -128,7 +128,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text: str = "text", sourc
     out = df.join(broadcast_below(plan, BROADCAST_SOURCES),
                   df[source].cast("string").eqNullSafe(F.col("_mix_source")))
     p = F.col("_mix_plan")
-    once_more = F.when(unit_hash(F.col(id_col), seed) <= p["threshold"], 1).otherwise(0)
+    once_more = F.when(unit_hash(F.col(id_col), F.col(text), seed) <= p["threshold"], 1).otherwise(0)
     out = out.withColumns({"size": word_count(text), "source_size": p["source_size"], "target": p["target"],
                            "copies": (p["epochs"] + once_more).cast("bigint")})
     return out.withColumn("taken", F.col("size") * F.col("copies")).drop("_mix_source", "_mix_plan")

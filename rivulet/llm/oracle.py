@@ -49,7 +49,7 @@ FROM b"""
 OP7 = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
-         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, {HASH_BITS // 4}) AS BIGINT) AS h
+         CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))), 1, {HASH_BITS // 4}) AS BIGINT) AS h
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),

@@ -130,6 +130,17 @@ def test_mixing(docs, none):
     assert mix_sources(none).count() == 0
 
 
+def test_mixing_meets_targets_when_ids_are_missing_or_repeated(spark):
+    import random
+    rng = random.Random(6)
+    rows = [(None if i % 3 == 0 else i % 7 if i % 3 == 1 else i, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randint(1, 40))), rng.choice("abc")) for i in range(900)]
+    got = mix_sources(spark.createDataFrame(rows, SCHEMA)).collect()
+    largest = max(r["size"] for r in got)
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= largest
+
+
 def test_mixing_caps_and_reshares(spark):
     rows = [(i, "w " * 10, "big") for i in range(300)] + [(1000 + i, "w " * 5, "small") for i in range(4)]
     got = mix_sources(spark.createDataFrame(rows, SCHEMA), weights=(1, 2)).collect()
