@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches_below(spark: SparkSession, size: int):
+    """While a job is started in here, Arrow batches sent to Python end at ``size`` bytes: 10,000 long
+    texts in one batch can take a worker hundreds of MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a (stored, narrow) frame only if it is counted to hold at most ``rows`` rows;
     else leave the choice of join to Spark."""

@@ -1,7 +1,7 @@
 """Canonical length-limited Huffman coding of token ids, written and read as a table of blocks.
 
 Writing:
-1. Texts are range-partitioned by id and sorted, tokenised in that order and written as plain
+1. Texts are range-partitioned by id and a hash of the text and sorted, tokenised in that order and written as plain
    ids (one row per document with its part and its place in the part).
    Each part ends with a row of its own (``seq`` -1) that holds its counts of ids.
 2. The parts' counts are summed; the sums -- a row per id of the vocabulary -- give code lengths of
@@ -32,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import arrow_batches_below
 from rivulet.llm.units import encoder, id_kind  # by name: its code is shipped with the functions that use it
 
 MAX_BITS = 18
 STRIDE = 512
 BLOCK_TOKENS = 1 << 17
+BATCH_BYTES = 4 << 20  # of text sent to a worker at once
 
 _PLAIN = "part int, seq bigint, before bigint, id bigint, ids binary"
 _BLOCKS = ("part int, seq bigint, before bigint, doc_ids array<bigint>, doc_tokens array<int>, tokens bigint, "
@@ -77,8 +79,11 @@ def write_plain(df: DataFrame, path: str, settings: str, end_id: int, id_col: st
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([part, -1, before, None, counts], types)], names=names)
 
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"))
-    docs.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(tokenise, _PLAIN).write.option(
-        "compression", "zstd").parquet(path)
+    # The hash of the text divides rows that share an id (or have none); only it and the id are sampled for the ranges.
+    docs = docs.withColumn("_dealt", F.xxhash64("text"))
+    docs = docs.repartitionByRange("id", "_dealt").sortWithinPartitions("id", "_dealt", "text").drop("_dealt")
+    with arrow_batches_below(df.sparkSession, BATCH_BYTES):
+        docs.mapInArrow(tokenise, _PLAIN).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(_PLAIN).parquet(path)
 
 
