@@ -65,51 +65,79 @@ LINK_WEIGHT, LENGTH_WEIGHT, PARAGRAPH, HEADING, BIAS = -5.0, 0.9, 0.8, 1.5, -2.2
 SMOOTH = 1.2  # capacity between neighbours that are siblings
 
 
+class Node:
+    """An open block element: its place in the tree and what its ancestors say of content."""
+
+    __slots__ = ("parent", "number", "tag", "depth", "standing")
+
+    def __init__(self, parent: Node | None, number: int, tag: str, score: float):
+        self.parent, self.number, self.tag = parent, number, tag
+        self.depth = parent.depth + 1 if parent else 0
+        self.standing = next_standing(parent.standing, score) if parent else 0.0
+
+
 class Block:
-    __slots__ = ("text", "path", "linked", "tag")
+    __slots__ = ("text", "node", "linked")
 
-    def __init__(self, text: str, path: tuple, linked: int, tag: str):
-        self.text, self.path, self.linked, self.tag = text, path, linked, tag
+    def __init__(self, text: str, node: Node, linked: int):
+        self.text, self.node, self.linked = text, node, linked
 
 
 class _Page(HTMLParser):
+    """Work per tag does not grow with the number of open elements: the places of every kind of open
+    element and of open blocks are kept beside the stack, ancestors as parent links."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[int, str, float]] = []  # (number, tag, score) of open elements
+        self.stack: list[tuple[str, int, Node]] = []  # (tag, silent ones before it, its or the next outer block)
+        self.places: dict[str, list[int]] = {}  # by tag
+        self.open_blocks: list[int] = []
+        self.root = Node(None, 0, "body", 0.0)
         self.blocks: list[Block] = []
         self.buffer: list[str] = []
         self.linked = self.silent = self.number = 0
 
+    def _node(self) -> Node:
+        return self.stack[-1][2] if self.stack else self.root
+
+    def _last(self, tag: str) -> int:
+        """Place of the innermost open element of this kind (-1: none)."""
+        return self.places[tag][-1] if self.places.get(tag) else -1
+
     def flush(self) -> None:
         text = " ".join("".join(self.buffer).split())
         if text:
-            tag = next((t for _, t, _ in reversed(self.stack) if t in BLOCK), "body")
-            self.blocks.append(Block(text, tuple(e for e in self.stack if e[1] in BLOCK), self.linked, tag))
+            self.blocks.append(Block(text, self._node(), self.linked))
         self.buffer, self.linked = [], 0
 
     def _close_to(self, at: int) -> None:
-        for _, tag, _ in self.stack[at:]:
+        for tag, _, _ in self.stack[at:]:
             self.silent -= tag in SILENT
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.open_blocks.pop()
         del self.stack[at:]
 
     def _close_head(self, tag: str) -> None:
         """An open head ends at <body> and, outside its own elements, at any tag it cannot hold."""
-        for i, (_, open_tag, _) in enumerate(self.stack):
-            if open_tag == "head":
-                if tag == "body" or not any(t in SILENT for _, t, _ in self.stack[i + 1:]):
-                    self._close_to(i)
-                break
+        at = self.places["head"][0] if self.places.get("head") else -1
+        if at >= 0 and (tag == "body" or self.silent - self.stack[at][1] <= 1):
+            self._close_to(at)
 
     def _close_implied(self, tag: str) -> None:
         ends = ALIKE.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-        stop = HOLDERS.get(tag, set())
-        for i in range(len(self.stack) - 1, -1, -1):
-            open_tag = self.stack[i][1]
-            if open_tag in ends:
-                self._close_to(i)
-                ends = ends - {"p"}
-            elif open_tag in stop or open_tag in BLOCK and not stop:
+        stop = HOLDERS.get(tag)
+        while ends:
+            if stop:
+                at = max(map(self._last, ends))
+                barrier = max(map(self._last, stop))
+            else:  # any block that is not to be closed
+                at = self.open_blocks[-1] if self.open_blocks else -1
+                barrier = -1 if at >= 0 and self.stack[at][0] in ends else at
+            if at <= barrier:
                 break
+            self._close_to(at)
+            ends = ends - {"p"}
 
     def handle_starttag(self, tag, attrs) -> None:
         if self.silent and tag not in IN_HEAD:
@@ -122,8 +150,14 @@ class _Page(HTMLParser):
         if tag in VOID:
             return
         self.number += 1
+        node, at = self._node(), len(self.stack)
+        if tag in BLOCK:
+            inside = self._last("article") >= 0 or self._last("main") >= 0
+            node = Node(node, self.number, tag, _score(tag, dict(attrs), inside))
+            self.open_blocks.append(at)
+        self.stack.append((tag, self.silent, node))
+        self.places.setdefault(tag, []).append(at)
         self.silent += tag in SILENT
-        self.stack.append((self.number, tag, _score(tag, dict(attrs), self.stack)))
 
     def handle_startendtag(self, tag, attrs) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
@@ -131,19 +165,17 @@ class _Page(HTMLParser):
     def handle_endtag(self, tag) -> None:
         if tag in BLOCK:
             self.flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][1] == tag:
-                self._close_to(i)
-                break
-            if self.stack[i][1] in BLOCK and tag not in BLOCK:
-                break  # an inline end tag does not close blocks
+        at = self._last(tag)
+        # an inline end tag does not close blocks
+        if at >= 0 and (tag in BLOCK or not self.open_blocks or self.open_blocks[-1] < at):
+            self._close_to(at)
 
     def handle_data(self, data) -> None:
-        if self.stack and self.stack[-1][1] == "head" and data.strip():
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
             self._close_head("")
         if not self.silent:
             self.buffer.append(data)
-            if any(t == "a" for _, t, _ in self.stack[-4:]):
+            if any(t == "a" for t, _, _ in self.stack[-4:]):
                 self.linked += len(data.strip())
 
 
@@ -161,8 +193,8 @@ def _tells(tag: str, words: set, name: str, is_id: bool) -> bool:
     return name not in PLAIN_WORDS or tag not in TEXT_TAGS and (len(words) > 1 or not is_id)
 
 
-def _score(tag: str, attrs: dict, stack: list) -> float:
-    inside = any(t in ("article", "main") for _, t, _ in stack)
+def _score(tag: str, attrs: dict, inside: bool) -> float:
+    """What an element says of content; ``inside``: it is within an article."""
     score = TAG_SCORE.get(tag, 0)
     if tag == "header" and inside:
         score = TITLE_INSIDE
@@ -186,35 +218,34 @@ def _score(tag: str, attrs: dict, stack: list) -> float:
     return score + min(found, default=0) + (max(found, default=0) if min(found, default=0) >= TITLE_INSIDE else 0)
 
 
-def ancestry_score(scores: list[float]) -> float:
-    """Outermost ancestor first: a strong word against content wins over what stands around it, and
-    nothing within it speaks for content any more (an advert in an article, an article in a sidebar)."""
-    total = 0.0
-    for s in scores:
-        if s <= -4:
-            total = min(total, 0.0) + s
-        elif s < 0:
-            total += s
-        elif total >= TITLE_INSIDE:
-            total = max(total, s)
-    return total
+def next_standing(standing: float, score: float) -> float:
+    """What the ancestors say of content, taken on by one element, from the outermost inwards: a strong
+    word against content wins over what stands around it, and nothing within it speaks for content
+    any more (an advert in an article, an article in a sidebar)."""
+    if score <= -4:
+        return min(standing, 0.0) + score
+    if score < 0:
+        return standing + score
+    return max(standing, score) if standing >= TITLE_INSIDE else standing
 
 
-def block_score(block: Block) -> float:
+def block_score(block: Block, bias: float = BIAS) -> float:
     """Log odds of content: ancestors, share of linked text, length, own tag."""
-    n = len(block.text)
-    return (BIAS + ancestry_score([s for _, _, s in block.path]) + LINK_WEIGHT * min(1.0, block.linked / n)
-            + LENGTH_WEIGHT * min(4.0, math.log(n) - 1) + PARAGRAPH * (block.tag in ("p", "pre", "blockquote"))
-            + HEADING * (block.tag[0] == "h" and block.tag[1:].isdigit()))
+    n, tag = len(block.text), block.node.tag
+    return (bias + block.node.standing + LINK_WEIGHT * min(1.0, block.linked / n)
+            + LENGTH_WEIGHT * min(4.0, math.log(n) - 1) + PARAGRAPH * (tag in ("p", "pre", "blockquote"))
+            + HEADING * (tag[0] == "h" and tag[1:].isdigit()))
 
 
-def _tree_distance(a: tuple, b: tuple) -> int:
-    same = 0
-    for x, y in zip(a, b):
-        if x[0] != y[0]:
-            break
-        same += 1
-    return len(a) + len(b) - 2 * same
+def _tree_distance(a: Node, b: Node) -> int:
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -280,14 +311,14 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
             a = to[e]
 
 
-def label(blocks: list[Block]) -> list[bool]:
-    scores = [block_score(b) for b in blocks]
+def label(blocks: list[Block], bias: float = BIAS) -> list[bool]:
+    scores = [block_score(b, bias) for b in blocks]
     soft = lambda x: math.log1p(math.exp(-abs(x))) + max(x, 0.0)
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            edges.append((i - 1, i, SMOOTH / max(1, _tree_distance(blocks[i - 1].path, b.path) - 1)))
-        parent = b.path[-2][0] if len(b.path) > 1 else 0
+            edges.append((i - 1, i, SMOOTH / max(1, _tree_distance(blocks[i - 1].node, b.node) - 1)))
+        parent = b.node.parent.number if b.node.parent else 0
         if last.get(parent, i - 1) != i - 1:
             edges.append((last[parent], i, SMOOTH / 2))
         last[parent] = i
@@ -302,7 +333,11 @@ def main_text(page: str | None) -> str:
     parser.close()
     parser.flush()
     blocks = parser.blocks
-    return "\n".join(b.text for b, keep in zip(blocks, label(blocks)) if keep)
+    kept = label(blocks)
+    if not any(kept):  # a short page without any mark of content: a cut of what no ancestor speaks against
+        blocks = [b for b in blocks if b.node.standing > -4]
+        kept = label(blocks, 0.0)
+    return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 
 
 def main_text_column(page: Column) -> Column:
