@@ -78,11 +78,11 @@ hot_cases = {
 }
 lines += ["", "## With a hot key", "",
           "The same operators on 400k rows derived from the sf0.01 events (40 time-shifted copies), a "
-          "third of them on one user, with a row target of 10,000: one sampled pass gives the chunk "
-          "boundaries (broadcast, bounded). The plan is the same as without a hot key; two shuffles move "
-          "the data (the window within (key, chunk) and, for count windows, the window aggregate), the "
-          "others move the sample and the split keys' chunk summaries. A plan that appears twice (rows and "
-          "summary) is run once: the exchange is reused at run time.", "",
+          "third of them on one user, with a row target of 10,000: a sampled pass while the query is built writes "
+          "the chunk boundaries (a bounded table, broadcast). Two shuffles move the data (the window within "
+          "(key, chunk) and, for count windows, the window aggregate), the others move the split keys' chunk "
+          "summaries. A plan that appears twice (rows and summary) is run once: the exchange is reused at run "
+          "time. Without a long key (above) the same operators are a plain window.", "",
           "| case | shuffles | broadcasts | joins | windows | aggregates | scans: read schema / pushed filters |",
           "|---|---|---|---|---|---|---|"]
 for name, df in hot_cases.items():
