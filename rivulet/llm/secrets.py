@@ -66,6 +66,7 @@ ODD_RUN = re.compile(r"[aeiou]{4}|[^aeiouy]{4}|[jqvz][^aeiouyz]|q[^u]")
 # Characters to try per class (small letters, capitals, digits, ASCII signs, others).
 ALPHABETS = (26, 26, 10, 33, 100)
 SEPARATORS = "_-. ${}"
+SEPARATOR_COST = 0.2
 
 
 def _near(a: str, b: str) -> bool:
@@ -114,7 +115,7 @@ def spans_from(value: str, at: int, limit: float = math.inf):
     for end in range(at + 1, min(n, at + 2) + 1):  # one or two, as in ${name}
         if value[end - 1] not in SEPARATORS:
             break
-        yield end, 0.5, "separator"
+        yield end, SEPARATOR_COST, "separator"
     piece = value[at:at + LONGEST_WORD]
     low = piece.lower() if piece.isascii() else "".join(c.lower() if c.isascii() else c for c in piece)
     plain = low.translate(LEET)

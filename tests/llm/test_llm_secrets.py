@@ -9,7 +9,7 @@ import time
 
 import pytest
 
-from rivulet.llm.secrets import ALPHABETS, COMMON, LEET, MIN_GUESSES, PLACE, SEPARATORS, SPAN_COST, brute_cost, find_spans, guess_cost
+from rivulet.llm.secrets import ALPHABETS, COMMON, LEET, MIN_GUESSES, PLACE, SEPARATOR_COST, SEPARATORS, SPAN_COST, brute_cost, find_spans, guess_cost
 
 
 def piece_cost(piece: str) -> float:
@@ -17,7 +17,7 @@ def piece_cost(piece: str) -> float:
     classes = {4 if not c.isascii() else 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in piece}
     costs = [len(piece) * math.log10(sum(ALPHABETS[c] for c in classes))]
     if len(piece) <= 2 and all(c in SEPARATORS for c in piece):
-        costs.append(0.5)
+        costs.append(SEPARATOR_COST)
     low = "".join(c.lower() if c.isascii() else c for c in piece)
     plain = low.translate(LEET)
     for word, extra in ((low, 0), (plain, low != plain)):
