@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from rivulet.llm.mixing import HASH_BITS
-from rivulet.llm.quality import RATIOS, RULES, STOP_WORDS
+from rivulet.llm.quality import NO_LANGUAGE, RATIOS, RULES, STOP_LANGUAGES, STOP_WORDS
 
 SPACES = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -11,13 +11,19 @@ WORD = r"[^\x20\x09-\x0D]"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '{WORD}+')"
 
 
+# Texts of languages without a stop-word list, by label or by script.
+_UNLISTED = (r"(lower(regexp_extract(coalesce(_q_lang, ''), '^\s*([^\s_-]*)', 1)) NOT IN (" + ", ".join(f"'{x}'" for x in STOP_LANGUAGES + NO_LANGUAGE)
+             + r") OR 2 * length(regexp_replace(_q_text, '\P{Latin}+', '', 'g')) < length(regexp_replace(_q_text, '\P{L}+', '', 'g')))")
+
+
 def _verdict() -> str:
     parts = []
     for r in RULES:
         part, whole = RATIOS[r.measure]
         value = f"(CASE WHEN {whole} = 0 THEN 0.0 ELSE CAST({part} AS DOUBLE) / {whole} END)"
         ok = " AND ".join([f"{value} >= CAST({r.low} AS DOUBLE)"] * (r.low is not None) + [f"{value} <= CAST({r.high} AS DOUBLE)"] * (r.high is not None))
-        parts.append(f"(({ok}) OR n_words < {r.min_words})" if r.min_words else f"({ok})")
+        exempt = [f"n_words < {r.min_words}"] * bool(r.min_words) + [_UNLISTED] * r.listed
+        parts.append(f"({' OR '.join([f'({ok})', *exempt])})")
     return " AND ".join(parts)
 
 
@@ -25,7 +31,7 @@ _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 OP5 = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
+  SELECT doc_id, lang AS _q_lang, coalesce(text, '') AS t, {_WORDS} AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS l
   FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
@@ -33,7 +39,7 @@ h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i:i+4]) AS n FROM
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
       FROM h, unnest([0, 1, 2, 3, 4]) AS u(k) WHERE n > 1 GROUP BY doc_id),
 m AS (
-  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  SELECT d.doc_id, _q_lang, t AS _q_text, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,

@@ -24,6 +24,21 @@ def test_oracle(spark, name):
     assert res["ok"], res
 
 
+def test_quality_sql_knows_the_languages_too(spark):
+    import duckdb
+    from rivulet.llm.quality import quality_rules
+    texts = [("слово " + "другое иное третье пятое шестое " * 14, lang) for lang in (None, "en", "ru")]
+    texts += [(" ".join(f"kolme{i} sana{i}" for i in range(40)), lang) for lang in (None, "en", "fi", "FI-fi", "de_AT", " unknown ")]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(texts)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    result = con.sql(SQL["op5_quality_rules"])
+    want = {r[result.columns.index("doc_id")]: r[result.columns.index("kept")] for r in result.fetchall()}
+    assert got == want and len(set(want.values())) == 2
+
+
 def test_every_query_is_an_operator_number():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in q.queries()) == list(range(1, 14))
 
