@@ -209,6 +209,19 @@ def test_substrings_against_brute_force(spark, max_bucket):
         assert bytes(r["kept"]) == brute.cut(raws[r["doc_id"]], want[r["doc_id"]])
 
 
+def test_substrings_are_cut_without_python_workers(spark):
+    """The step that reads every text again runs beside no worker: each of them takes memory of its executor."""
+    line = "".join(chr(97 + i * i % 23) for i in range(500))
+    texts = ["é" + line, line + "ü" * 3, "", None, line * 2 + "-" * 300 + line]
+    found = repeated_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    kept = found.select("doc_id", "spans", kept_bytes(F.col("text"), F.col("spans")).alias("kept"))
+    assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+    raws = [(t or "").encode() for t in texts]
+    want = brute.repeated_bytes(raws, 400)
+    assert len(want[4]) > 1
+    assert {r["doc_id"]: bytes(r["kept"]) for r in kept.collect()} == {i: brute.cut(raw, runs) for i, (raw, runs) in enumerate(zip(raws, want))}
+
+
 @pytest.mark.parametrize("max_bucket", [1, 4096])
 def test_substrings_with_a_gram_twice_in_a_window(spark, max_bucket):
     """Two anchors with the same q-gram cover one string: it must not count as two."""
