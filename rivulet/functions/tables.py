@@ -36,4 +36,5 @@ class SplitWords:
 
 
 def register_table_functions(spark: SparkSession) -> None:
-    spark.udtf.register("split_words", udtf(SplitWords, useArrow=True))
+    # Rows go to Python and back pickled, many lines at a time; with Arrow each line's words are a batch of their own.
+    spark.udtf.register("split_words", udtf(SplitWords, useArrow=False))
