@@ -211,3 +211,30 @@ def test_clock_windows_sum_hot_words_and_restart(spark, tmp_path):
     finally:
         q.stop()
     assert sorted(read()) == [("b", 1), ("hot", 5300)]
+
+
+def test_clock_windows_close_after_a_stop_between_batches(spark, tmp_path):
+    """Nothing is left to replay and no line comes: the open windows are emitted all the same."""
+    folder = str(tmp_path / "words")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "f0.txt"), "w") as fh:
+        fh.write("hot hot\nb\n")
+    ckpt, out = checkpoint_location(spark, "between"), str(tmp_path / "out")
+    stream = lambda trigger: deliver_batches(word_count_stream(read_text_lines(spark, folder, stream=True), size="5 seconds"),
+                                             out, _name("between"), checkpoint=ckpt, trigger={"processingTime": trigger})
+    q = stream("1 hour")  # one batch, then none for long
+    deadline = time.time() + 60
+    while time.time() < deadline and not q.lastProgress:
+        time.sleep(0.2)
+    time.sleep(1)
+    q.stop()
+    q = stream("500 milliseconds")
+    read = lambda: [(r.word, r.n) for r in spark.read.schema("word string, start_time timestamp, n int").parquet(out).collect()]
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and len(read()) < 2:
+            time.sleep(0.5)
+        time.sleep(2)
+    finally:
+        q.stop()
+    assert sorted(read()) == [("b", 1), ("hot", 2)]
