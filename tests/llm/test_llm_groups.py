@@ -77,6 +77,57 @@ def test_minhash_edges(spark):
     assert minhash_groups(df.where("doc_id = -1")).count() == 0
 
 
+@pytest.mark.parametrize("rows, values, texts", [(2048, 1 << 20, 200_000), (16, 1 << 20, 0), (2048, 500, 0)])
+def test_minhash_blocks_of_a_group(spark, monkeypatch, rows, values, texts):
+    """A large group is compared in blocks, with the same components for any size of them; what is handed
+    on is a forest of links, found without a comparison of two arrays for each pair."""
+    from rivulet.llm import minhash
+    rng = random.Random(11)
+    docs = dense_group(rng, 160, 14) + dense_group(rng, 30, 9) + [None, ""]
+    docs += docs[:3]
+    roots, sizes = near_brute(docs, 4)
+    assert len(set(roots)) > 40
+    for name, value in (("_CELL_ROWS", rows), ("_CELL_VALUES", values), ("BROADCAST_TEXTS", texts)):
+        monkeypatch.setattr(minhash, name, value)
+    links, found = [], minhash.connected_components
+    monkeypatch.setattr(minhash, "connected_components", lambda frame, *ends: links.append(frame) or found(frame, *ends))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string").repartition(5)
+    got = {r["doc_id"]: r for r in minhash_groups(df, shingle=4).collect()}
+    assert {i: (r["component_id"], r["n_shingles"]) for i, r in got.items()} == {i: (roots[i], sizes[i]) for i in range(len(docs))}
+    assert "array_intersect" not in links[-1]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_minhash_common_sizes_of_sets(monkeypatch):
+    from rivulet.llm import minhash
+    rng = np.random.default_rng(2)
+    base = rng.integers(-1 << 62, 1 << 62, 900)
+    sets = [np.unique(np.concatenate([base[rng.random(900) < 0.8], rng.integers(0, 3000, rng.integers(0, 300))])) for _ in range(40)]
+    rows, values = np.repeat(np.arange(40), [len(s) for s in sets]), np.concatenate(sets)
+    in_a, in_b = np.full(40, -1), np.full(40, -1)
+    a, b = np.arange(0, 40, 3), np.arange(40)
+    in_a[a], in_b[b] = np.arange(len(a)), np.arange(len(b))
+    brute_force = np.array([[len(np.intersect1d(sets[i], sets[j])) for j in b] for i in a])
+    for share, pairs in ((64, 1 << 22), (0, 100), (1 << 40, 1 << 22), (2, 1000)):
+        monkeypatch.setattr(minhash, "_DENSE_SHARE", share)
+        monkeypatch.setattr(minhash, "_PAIRS", pairs)
+        got = minhash._shared_sizes(rows, values, in_a, in_b)
+        assert ((got == brute_force) | (a[:, None] == b[None, :])).all()
+    met = rng.random((50, 40)) < 0.03
+    links = [tuple(x) for x in minhash._forest(met)]
+    assert all(met[x] for x in links) and len(links) < 90
+    root = list(range(90))
+
+    def joined(pairs):
+        root[:] = range(90)
+        for x, y in pairs:
+            old, new = root[x], root[50 + y]
+            root[:] = [new if r == old else r for r in root]
+        return len(set(root))
+
+    assert joined(links) == joined(zip(*np.nonzero(met)))
+    assert len(links) == 90 - joined(links)
+
+
 def test_signatures_estimate_similarity():
     co = _coefficients(64)
     rng = np.random.default_rng(3)
